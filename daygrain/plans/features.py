@@ -68,7 +68,7 @@ def _activity_codes() -> Catalogue:
     )
 
 
-def _from_day_table() -> Catalogue:
+def day_table_catalogue() -> Catalogue:
     out: Catalogue = {}
     for log in GAP_LOGS:
         out |= _day_stats(log) | _size_and_recency(log) | _gaps(log) | _volume(log)
@@ -150,7 +150,7 @@ def _pivot_parts(summary: DataFrame) -> DataFrame:
 
     The summary is already hashed on (interval, user), so this adds no shuffle.
     """
-    wanted = _from_day_table() | _order_checks()
+    wanted = day_table_catalogue() | _order_checks()
     columns = [f"max(IF(part = '{part}', {stat}, NULL)) AS {name}" for name, (part, stat) in wanted.items()]
     columns.append("max(part = 'label') AS acted")
     members = "max(part = 'population') AS member"
