@@ -1,0 +1,146 @@
+"""Train on interval 1, validate on interval 2, refit on both, score interval 3."""
+
+from __future__ import annotations
+
+import uuid
+from dataclasses import dataclass
+
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from daygrain.operators.metrics import auc, log_loss
+from daygrain.plans.features import MODEL_FEATURES
+from daygrain.session import shared_dir
+from daygrain.sources.logs import LOGS
+
+TRAIN, VALIDATION, SCORE = 1, 2, 3
+
+# Rounds, patience of the AUC watch, and tree settings.
+ROUNDS = 57
+PATIENCE = 20
+TREE = {"stepSize": 0.1, "maxDepth": 5, "maxBins": 255, "minInstancesPerNode": 20}
+
+# The trees take no missing values: this stands below every real one, offsets and skewness included.
+MISSING = -9999.0
+INPUTS = (*MODEL_FEATURES, *[f"{log}_missing" for log in LOGS])
+
+
+@dataclass(frozen=True)
+class Trained:
+    """A fitted model, the number of leading trees in use, and the AUC after each round."""
+
+    model: GBTClassificationModel
+    best_round: int
+    auc_by_round: tuple[float, ...]
+
+
+def assemble(matrix: DataFrame) -> DataFrame:
+    """Keys, label and the input vector: missing values filled, one missing flag per log."""
+    filled = [f"double(coalesce({name}, {MISSING}d)) AS {name}" for name in MODEL_FEATURES]
+    flags = [f"double({log}_day_count IS NULL) AS {log}_missing" for log in LOGS]
+    inputs = matrix.selectExpr("interval_id", "user_id", "double(label) AS label", *filled, *flags)
+    assembled = VectorAssembler(inputCols=list(INPUTS), outputCol="features").transform(inputs)
+    return assembled.select("interval_id", "user_id", "label", "features")
+
+
+def fit(assembled: DataFrame, rounds: int = ROUNDS, seed: int = 7) -> GBTClassificationModel:
+    """Boosted trees on the logistic loss. The shared folder also takes the trainer's checkpoints."""
+    shared_dir(assembled.sparkSession)
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=rounds, seed=seed, **TREE)
+    return gbt.fit(assembled)
+
+
+def scores_by_round(model: GBTClassificationModel, assembled: DataFrame) -> DataFrame:
+    """Each row with ``scores``: the probability after the first 1, 2, ... trees."""
+    outputs = []
+    scored = assembled
+    for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
+        scored = tree.setPredictionCol(f"tree_{i}").transform(scored)
+        outputs.append(f"{weight}d * tree_{i}")
+    margin = "aggregate(slice(outputs, 1, r), 0d, (total, x) -> total + x)"
+    return scored.selectExpr(*assembled.columns, f"array({', '.join(outputs)}) AS outputs").selectExpr(
+        *assembled.columns,
+        f"transform(sequence(1, {len(outputs)}), r -> 1 / (1 + exp(-2 * {margin}))) AS scores",
+    )
+
+
+def pick_round(auc_by_round: list[float | None], patience: int = PATIENCE) -> int:
+    """Best round (1-based) among those run before ``patience`` rounds pass without gain."""
+    best, best_auc = 1, float("-inf")
+    for number, value in enumerate(auc_by_round, start=1):
+        if value is not None and value > best_auc:
+            best, best_auc = number, value
+        elif number - best >= patience:
+            break
+    return best
+
+
+def train(assembled: DataFrame, rounds: int = ROUNDS) -> Trained:
+    """Fit on the training interval and choose the number of trees by validation AUC."""
+    model = fit(assembled.where(F.col("interval_id") == TRAIN), rounds)
+    validation = assembled.where(F.col("interval_id") == VALIDATION)
+    long = scores_by_round(model, validation).select("label", F.posexplode("scores").alias("round", "score"))
+    by_round = auc(long, "score", "label", by=["round"]).orderBy("round")
+    values = tuple(row["auc"] for row in by_round.collect())  # one row per boosting round
+    return Trained(model, pick_round(list(values)), values)
+
+
+def validation_scores(trained: Trained, assembled: DataFrame) -> DataFrame:
+    """``user_id, label, result`` on the validation interval, with the chosen trees."""
+    validation = assembled.where(F.col("interval_id") == VALIDATION)
+    result = F.element_at("scores", trained.best_round).alias("result")
+    return scores_by_round(trained.model, validation).select("user_id", "label", result)
+
+
+def evaluate(trained: Trained, assembled: DataFrame) -> DataFrame:
+    """One row: best round, ROC AUC and log loss on the validation interval."""
+    scored = validation_scores(trained, assembled).withColumn("best_round", F.lit(trained.best_round))
+    by = ["best_round"]
+    return auc(scored, "result", "label", by).join(log_loss(scored, "result", "label", by), by)
+
+
+def importances(trained: Trained, spark) -> DataFrame:
+    """``feature, important, gain``: splits per input in the chosen trees, fewest first.
+
+    ``gain`` is the normalised impurity gain over all trees of the model. The model is
+    written to the shared folder and its node table counted there.
+    """
+    path = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
+    trained.model.write().save(path)
+    splits = (
+        spark.read.parquet(f"{path}/data")
+        .where((F.col("treeID") < trained.best_round) & (F.col("nodeData.split.featureIndex") >= 0))
+        .groupBy(F.col("nodeData.split.featureIndex").alias("position"))
+        .agg(F.count(F.lit(1)).alias("splits"))
+    )
+    gains = trained.model.featureImportances.toArray()
+    inputs = [(i, name, float(gains[i])) for i, name in enumerate(INPUTS)]  # one row per model input
+    return (
+        spark.createDataFrame(inputs, "position int, feature string, gain double")
+        .join(splits, "position", "left")
+        .select("feature", F.coalesce("splits", F.lit(0)).alias("important"), "gain")
+        .orderBy("important", "feature")
+    )
+
+
+def train_and_evaluate(matrix: DataFrame) -> DataFrame:
+    assembled = assemble(matrix)
+    return evaluate(train(assembled), assembled)
+
+
+def train_importances(matrix: DataFrame) -> DataFrame:
+    return importances(train(assemble(matrix)), matrix.sparkSession)
+
+
+def refit_and_score(matrix: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """``user_id, result`` of the score interval, by a model fitted on both labelled ones."""
+    assembled = assemble(matrix)
+    labelled = assembled.where(F.col("interval_id") == TRAIN).unionByName(
+        assembled.where(F.col("interval_id") == VALIDATION)
+    )
+    model = fit(labelled, rounds)
+    scored = model.transform(assembled.where(F.col("interval_id") == SCORE))
+    return scored.select("user_id", vector_to_array("probability")[1].alias("result"))
