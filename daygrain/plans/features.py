@@ -12,7 +12,7 @@ from daygrain.functions.stats import aggregate, ratio
 from daygrain.operators.day_stats import OFFSETS, TRAILING_WEIGHTS, all_columns, summarise_windows
 from daygrain.operators.day_table import cut_days_into_parts, day_table
 from daygrain.operators.distincts import distinct_counts
-from daygrain.operators.gaps import row_gap_stats
+from daygrain.operators.gaps import PIECE_ROWS, row_gap_stats
 from daygrain.operators.intervals import INTERVALS, Interval, assign_intervals, last_day
 from daygrain.operators.log_scalars import log_scalars
 from daygrain.session import shared_dir
@@ -204,29 +204,39 @@ def _out_of_order_totals(base: DataFrame) -> DataFrame:
     )
 
 
-def _fill_gaps(base: DataFrame, stacked: DataFrame, totals: DataFrame, intervals: Sequence[Interval]) -> DataFrame:
-    stats = row_gap_stats(stacked, intervals, totals)
+def _fill_gaps(base: DataFrame, stats: DataFrame) -> DataFrame:
     names = {f"{log}_day_{s}": (log, s) for log in GAP_LOGS for s in GAP_STATS}
-    late = stats.groupBy(*KEYS).agg(
-        *[F.max(F.when(F.col("part") == log, F.col(s))).alias(f"late_{name}") for name, (log, s) in names.items()]
+    columns = [f"max(IF(part = '{log}', {s}, NULL)) AS late_{name}" for name, (log, s) in names.items()]
+    return (
+        base.join(aggregate(stats, KEYS, columns), KEYS, "left")
+        .withColumns({name: F.coalesce(name, f"late_{name}") for name in names})
+        .select(*base.columns)
     )
-    return base.join(late, KEYS, "left").withColumns({n: F.coalesce(n, f"late_{n}") for n in names})
 
 
-def feature_matrix(stacked: DataFrame, register: DataFrame, intervals: Sequence[Interval] = INTERVALS) -> DataFrame:
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table, partitioned by interval, into the shared folder and read it back."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy("interval_id").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def feature_matrix(
+    stacked: DataFrame,
+    register: DataFrame,
+    intervals: Sequence[Interval] = INTERVALS,
+    piece_rows: int = PIECE_ROWS,
+) -> DataFrame:
     """``interval_id, user_id``, the 175 features and ``label`` (NULL where there is no label week).
 
     Runs the plan once, into a stage table in the shared folder. Users whose file order
     disagrees with their days are then looked up there (a pruned scan with a pushed
     filter); only if there are any are log rows read again, for those users' gaps.
     """
-    spark = stacked.sparkSession
-    path = f"{shared_dir(spark)}/features-{uuid.uuid4().hex}"
-    feature_plan(stacked, register, intervals).write.partitionBy("interval_id").parquet(path)
-    base = spark.read.parquet(path)
+    base = stage(feature_plan(stacked, register, intervals), "features")
     totals = _out_of_order_totals(base)
     if not totals.isEmpty():
-        base = _fill_gaps(base, stacked, totals, intervals)
+        base = stage(_fill_gaps(base, row_gap_stats(stacked, intervals, totals, piece_rows)), "features")
     return base.select(*KEYS, *FEATURES, "label")
 
 
