@@ -62,6 +62,14 @@ LOGS: dict[str, LogSpec] = {
     ),
 }
 
+# Names of the raw files.
+RAW_FILES = {
+    "create": "video_create_log.txt",
+    "register": "user_register_log.txt",
+    "launch": "app_launch_log.txt",
+    "activity": "user_activity_log.txt",
+}
+
 # The closed domains of the two activity codes.
 PAGES = (0, 1, 2, 3, 4)
 ACTION_TYPES = (0, 1, 2, 3, 4, 5)
@@ -85,14 +93,21 @@ def read_log(spark: SparkSession, path: str, log: str, *, header: bool = False,
     if len(files) == 1:
         return rows.select("*", in_file.alias("seq"))
     # One row per input file: the driver holds this list anyway to plan the scan.
-    ranks = spark.createDataFrame(list(zip(files, range(len(files)))), "file_path string, file_no long")
+    ranks = spark.createDataFrame(list(zip(files, range(len(files)))), "file string, file_no long")
+    ranks = ranks.select(_plain_path(F.col("file")).alias("file"), "file_no")
+    file_no = F.coalesce("file_no", F.raise_error(F.concat(F.lit("file is not in the listing: "), F.col("file"))))
     return (
-        rows.select("*", in_file.alias("in_file"), F.col("_metadata.file_path").alias("file_path"))
-        .join(ranks, "file_path")
-        .select(*rows.columns, (F.col("file_no") * _FILE_STRIDE + F.col("in_file")).alias("seq"))
+        rows.select("*", in_file.alias("in_file"), _plain_path(F.col("_metadata.file_path")).alias("file"))
+        .join(F.broadcast(ranks), "file", "left")
+        .select(*rows.columns, (file_no * _FILE_STRIDE + F.col("in_file")).alias("seq"))
     )
 
 
+def _plain_path(path: Column) -> Column:
+    """The listing writes ``file:///a``, the scan ``file:/a``; both become the latter."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/{2,}", "$1:/")
+
+
 def read_ids(spark: SparkSession, path: str, log: str, *, header: bool = True, sep: str = ",") -> DataFrame:
     """Only the ``user_id`` column of a log; the CSV scan is pruned to it."""
     return spark.read.schema(LOGS[log].schema).option("header", header).option("sep", sep).csv(path).select("user_id")
@@ -103,6 +118,11 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_raw_log(df: DataFrame, path: str, log: str) -> None:
+    """Write a log in its raw form: header-less, tab-separated, fixed column order."""
+    df.select(*LOGS[log].schema.names).write.mode("overwrite").option("sep", "\t").csv(path)
+
+
 def write_submission(scores: DataFrame, path: str) -> None:
     """Write ``user_id,result`` lines without a header."""
     scores.select("user_id", "result").write.mode("overwrite").option("header", False).csv(path)

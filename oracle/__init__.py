@@ -223,6 +223,15 @@ scored AS (
 def simple() -> dict[str, str]:
     """The queries that are not per-user statistics of one log."""
     return {
+        "tsv_scan_activity": with_base(
+            " SELECT user_id, day AS user_activity_day, page, CAST(video_id AS BIGINT) AS video_id,"
+            " CAST(author_id AS BIGINT) AS author_id, action_type FROM logs WHERE part = 'activity'"
+        ),
+        "tsv_scan_create": with_base(" SELECT user_id, day AS video_create_day FROM logs WHERE part = 'create'"),
+        "csv_scan_register": with_base(
+            " SELECT user_id, day AS register_day, register_type, device_type FROM register"
+        ),
+        "id_scan_launch": with_base(" SELECT user_id FROM logs WHERE part = 'launch'"),
         "interval_cut": with_base(
             " SELECT part AS log, user_id, day, CAST(seq AS BIGINT) AS seq FROM logs WHERE day BETWEEN 1 AND 16"
         ),
