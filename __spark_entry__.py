@@ -19,16 +19,17 @@ from daygrain.operators.log_scalars import log_scalars
 from daygrain.operators.metrics import auc, log_loss
 from daygrain.plans import features, model
 from daygrain.session import shared_dir
-from daygrain.sources.events import logs_from_events
+from daygrain.sources.events import log_from_events, logs_from_events
 from daygrain.sources.logs import LOGS, read_ids, read_log, stack_logs, write_raw_log, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOGUE = features.day_table_catalogue()
+ROWS = stats.Stats({"rows": "sum(n)"}, {"n": "rows"})
 
 
 def _stacked(spark: SparkSession, sf_dir: str, only: str | None = None) -> DataFrame:
-    logs = logs_from_events(spark, sf_dir)
-    return stack_logs({only: logs[only]} if only else logs, day_span(INTERVALS))
+    logs = {only: log_from_events(spark, sf_dir, only)} if only else logs_from_events(spark, sf_dir)
+    return stack_logs(logs, day_span(INTERVALS))
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -46,44 +47,43 @@ def entry(spark: SparkSession) -> DataFrame:
     return _matrix(spark, "/root/testdata/sf0.001")
 
 
-# Statistic lists that are registered per log: query name -> (log, columns, needs windows).
-def _log_queries() -> dict[str, tuple[str, list[str], bool]]:
+def _log_queries() -> dict[str, tuple[str, stats.Stats, bool]]:
+    """Statistics registered per log: query name -> (log, statistics, needs the day windows)."""
     out = {}
     for log in LOGS:
-        out[f"day_stats_{log}"] = (log, stats.day_columns(), False)
-        out[f"streak_{log}"] = (log, stats.streak_columns(), True)
-        out[f"offset_counts_{log}"] = (log, stats.offset_columns(INTERVALS), False)
-        out[f"trailing_weighted_{log}"] = (log, stats.trailing_columns(INTERVALS), False)
+        out[f"day_stats_{log}"] = (log, stats.day_stats(), False)
+        out[f"streak_{log}"] = (log, stats.streaks(), True)
+        out[f"offset_counts_{log}"] = (log, stats.offset_counts(INTERVALS), False)
+        out[f"trailing_weighted_{log}"] = (log, stats.trailing_counts(INTERVALS), False)
     for log in features.GAP_LOGS:
-        out[f"recency_{log}"] = (log, stats.recency_columns(INTERVALS), False)
-        out[f"gap_stats_{log}"] = (log, stats.gap_columns(), True)
-        out[f"rank_stats_{log}"] = (log, stats.rank_columns(), True)
-        out[f"daily_volume_var_{log}"] = (log, stats.volume_columns(), False)
-    out["daily_count_profile"] = ("activity", stats.profile_columns(), False)
-    out["page_pivot_share"] = ("activity", stats.page_columns(), False)
-    out["action_pivot_share"] = ("activity", stats.action_columns(), False)
+        out[f"recency_{log}"] = (log, stats.recency(INTERVALS), False)
+        out[f"gap_stats_{log}"] = (log, stats.gap_stats(), True)
+        out[f"rank_stats_{log}"] = (log, stats.rank_stats(), True)
+        out[f"daily_volume_var_{log}"] = (log, stats.volume_variance(), False)
+    out["daily_count_profile"] = ("activity", stats.daily_profile(), False)
+    out["page_pivot_share"] = ("activity", stats.page_shares(), False)
+    out["action_pivot_share"] = ("activity", stats.action_shares(), False)
     return out
 
 
-def _names(log: str, columns: list[str]) -> dict[str, str]:
-    """Output column -> statistic, for the statistics computed by ``columns``."""
-    computed = {sql.rsplit(" AS ", 1)[1] for sql in columns}
-    return {name: stat for name, (part, stat) in CATALOGUE.items() if part == log and stat in computed}
+def _names(log: str, computed: stats.Stats) -> dict[str, str]:
+    """Output column -> statistic, for the statistics that are computed."""
+    return {name: stat for name, (part, stat) in CATALOGUE.items() if part == log and stat in computed.outputs}
 
 
-def _log_query(log: str, columns: list[str], windows: bool) -> Query:
+def _log_query(log: str, computed: stats.Stats, windows: bool) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         days = cut_days(day_table(_stacked(spark, sf_dir, log)), INTERVALS)
-        summary = (stats.summarise_windows if windows else stats.summarise)(days, columns)
-        named = [F.col(stat).alias(name) for name, stat in _names(log, columns).items()]
-        return _rounded(summary.select("interval_id", "user_id", *named))
+        summary = (stats.summarise_windows if windows else stats.summarise)(days, computed)
+        named = [f"{stat} AS {name}" for name, stat in _names(log, computed).items()]
+        return _rounded(summary.selectExpr(*features.KEYS, *named))
 
     return run
 
 
 def _distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stacked = _stacked(spark, sf_dir, "activity")
-    codes = ["sum(n) AS n", *stats.page_columns(), *stats.action_columns()]
+    codes = ROWS | stats.page_shares() | stats.action_shares()
     by_code = stats.summarise(cut_days(day_table(stacked), INTERVALS), codes)
     joined = by_code.join(distinct_counts(stacked, INTERVALS), features.KEYS)
     nui = {f"user_id_{a}_nui": F.col(f"{a}_nui") for a in ("video", "author", "action_type", "page")}
@@ -101,7 +101,7 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fixed score: activity rows n of the interval as n / (n + 5)."""
     stacked = _stacked(spark, sf_dir)
     days = cut_days(day_table(stacked), INTERVALS).where("part = 'activity'")
-    rows = stats.summarise(days, ["sum(n) AS n"]).drop("part")
+    rows = stats.summarise(days, ROWS).drop("part")
     n = F.coalesce("n", F.lit(0))
     return labels(stacked, INTERVALS).join(rows, features.KEYS, "left").withColumn("score", n / (n + F.lit(5.0)))
 
@@ -116,7 +116,7 @@ def _text_scan(log: str, raw: bool) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{shared_dir(spark)}/{log}-{uuid.uuid4().hex}"
-        df = logs_from_events(spark, sf_dir)[log]
+        df = log_from_events(spark, sf_dir, log)
         if raw:
             write_raw_log(df, path, log)
         else:
@@ -128,7 +128,7 @@ def _text_scan(log: str, raw: bool) -> Query:
 
 def _id_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/launch-{uuid.uuid4().hex}"
-    write_table(logs_from_events(spark, sf_dir)["launch"].select(*LOGS["launch"].schema.names), path)
+    write_table(log_from_events(spark, sf_dir, "launch").select(*LOGS["launch"].schema.names), path)
     return read_ids(spark, path, "launch")
 
 
@@ -149,10 +149,10 @@ def queries() -> dict[str, Query]:
         "interval_cut": lambda s, d: cut(_stacked(s, d), "day", 1, 16).select(*rows),
         "interval_assign": lambda s, d: assign_intervals(_stacked(s, d), "day", INTERVALS).select("interval_id", *rows),
         "label_build": lambda s, d: labels(_stacked(s, d), INTERVALS),
-        "score_population": lambda s, d: distinct_ids(logs_from_events(s, d)["register"]),
+        "score_population": lambda s, d: distinct_ids(log_from_events(s, d, "register")),
         "population_by_interval": lambda s, d: population(_stacked(s, d), INTERVALS),
         "active_ids_union": lambda s, d: distinct_ids(
-            *[df for log, df in logs_from_events(s, d).items() if log != "register"]
+            *[log_from_events(s, d, log) for log in features.GAP_LOGS]
         ),
         "label_week_active_ids": lambda s, d: active_ids(_stacked(s, d), INTERVALS),
         "log_scalars": lambda s, d: _rounded(log_scalars(_stacked(s, d), INTERVALS)),
@@ -166,8 +166,8 @@ def queries() -> dict[str, Query]:
         "feature_matrix": lambda s, d: _rounded(_matrix(s, d)),
         "model_features": lambda s, d: _rounded(features.used_features(_matrix(s, d))),
     }
-    for name, (log, columns, windows) in _log_queries().items():
-        out[name] = _log_query(log, columns, windows)
+    for name, (log, computed, windows) in _log_queries().items():
+        out[name] = _log_query(log, computed, windows)
     out["gbt_train_eval"] = lambda s, d: model.train_and_evaluate(_matrix(s, d))
     out["gbt_importance"] = lambda s, d: model.train_importances(_matrix(s, d))
     out["gbt_submission"] = lambda s, d: model.refit_and_score(_matrix(s, d))
@@ -177,8 +177,8 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query; the GBT queries have none (rows-only check)."""
     out = oracle.simple()
-    for name, (log, columns, _) in _log_queries().items():
-        out[name] = oracle.log_stats(log, _names(log, columns))
+    for name, (log, computed, _) in _log_queries().items():
+        out[name] = oracle.log_stats(log, _names(log, computed))
     out["feature_matrix"] = oracle.matrix(CATALOGUE)
     out["model_features"] = oracle.model_columns(CATALOGUE)
     out["train_val_union"] = oracle.model_columns(CATALOGUE, " WHERE interval_id < 3")

@@ -1,13 +1,15 @@
-"""Per-user statistics over the cut day table, as lists of SQL aggregates.
+"""Per-user statistics over the cut day table.
 
-Each ``*_columns`` function returns aggregates for a grouping by ``interval_id,
-user_id, part``; an operator can be run alone with ``summarise``, and the feature plan
-runs all of them in a single aggregate. Missing is NULL, never 0.
+Each function returns the SQL aggregates of one operator and the outputs computed from
+them; an operator can be run alone with ``summarise``, and the feature plan runs all of
+them in a single aggregate. Missing is NULL, never 0.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
@@ -21,25 +23,63 @@ OFFSETS = (1, 2, 3, 4, 5, 6)
 TRAILING_WEIGHTS = {3: 0.7, 5: 0.3, 7: 0.1}
 
 
-def day_columns() -> list[str]:
+@dataclass(frozen=True)
+class Stats:
+    """Named SQL aggregates over the days of a group, and outputs as SQL over those names.
+
+    An output is NULL where its aggregates are: a user without rows has no statistics.
+    """
+
+    aggregates: dict[str, str]
+    outputs: dict[str, str]
+
+    def __or__(self, other: Stats) -> Stats:
+        return Stats(self.aggregates | other.aggregates, self.outputs | other.outputs)
+
+    def output_of(self, name: str, prefix: str) -> tuple[str, set[str]]:
+        """An output over prefixed aggregate names, and the aggregates it uses."""
+        used = set(re.findall(r"\w+", self.outputs[name])) & set(self.aggregates)
+        return re.sub(r"\w+", lambda m: prefix + m[0] if m[0] in used else m[0], self.outputs[name]), used
+
+
+def _same(aggregates: dict[str, str]) -> Stats:
+    return Stats(aggregates, {name: name for name in aggregates})
+
+
+def _power_sums(name: str, value: str, weight: str = "1") -> dict[str, str]:
+    return {f"{name}_s{power}": f"sum({' * '.join([value] * power)} * {weight})" for power in (1, 2, 3)}
+
+
+def day_stats() -> Stats:
     """Row count, largest, smallest, mean and last (in file order) day; distinct days."""
-    return [
-        "sum(n) AS count",
-        "bigint(max(day)) AS max",
-        "bigint(min(day)) AS min",
-        "sum(day * n) / sum(n) AS mean",
-        "bigint(max_by(day, last_seq)) AS last",
-        "count(day) AS uni",
-        f"{ratio('count(day)', 'sum(n)')} AS radio",
-    ]
-
-
-def recency_columns(intervals: Sequence[Interval]) -> list[str]:
+    aggregates = {
+        "row_count": "sum(n)",
+        "day_max": "max(day)",
+        "day_min": "min(day)",
+        "day_sum": "sum(day * n)",
+        "day_last": "max_by(day, last_seq)",
+        "day_count": "count(day)",
+    }
+    return Stats(
+        aggregates,
+        {
+            "count": "row_count",
+            "max": "bigint(day_max)",
+            "min": "bigint(day_min)",
+            "mean": "day_sum / row_count",
+            "last": "bigint(day_last)",
+            "uni": "day_count",
+            "radio": ratio("day_count", "row_count"),
+        },
+    )
+
+
+def recency(intervals: Sequence[Interval]) -> Stats:
     """Days from the user's latest day to the interval's last day."""
-    return [f"bigint(min({last_day(intervals)} - day)) AS recency"]
+    return Stats({"day_max": "max(day)"}, {"recency": f"bigint({last_day(intervals)} - day_max)"})
 
 
-def gap_columns() -> list[str]:
+def gap_stats() -> Stats:
     """Statistics of the gap to the user's previous row, for users whose rows follow the days.
 
     Then a day's first row has the gap ``step`` (0 for the very first) and its other
@@ -48,121 +88,150 @@ def gap_columns() -> list[str]:
     exactly those from the rows themselves.
     """
     step = "bigint(coalesce(step, 0))"
-    sums = [f"sum({' * '.join([step] * power)})" for power in (1, 2, 3)]
-    stats = {
-        "diff_max": f"max({step})",
-        "diff_min": f"min({step})",
-        "diff_mean": f"{sums[0]} / sum(n)",
-        "diff_ske": sample_skewness("sum(n)", *sums),
-        "diff_last": f"max_by(IF(n > 1, 0, {step}), day)",
+    aggregates = {
+        "row_count": "sum(n)",
+        "broken": "coalesce(max(out_of_order), false)",
+        "gap_max": f"max({step})",
+        "gap_min": f"min({step})",
+        "gap_last": f"max_by(IF(n > 1, 0, {step}), day)",
+        **_power_sums("gap", step),
+    }
+    outputs = {
+        "diff_max": "gap_max",
+        "diff_min": "gap_min",
+        "diff_mean": "gap_s1 / row_count",
+        "diff_ske": sample_skewness("row_count", "gap_s1", "gap_s2", "gap_s3"),
+        "diff_last": "gap_last",
     }
-    broken = "coalesce(max(out_of_order), false)"
-    return [f"{broken} AS out_of_order"] + [f"IF({broken}, NULL, {sql}) AS {name}" for name, sql in stats.items()]
+    in_order = {name: f"IF(broken, NULL, {sql})" for name, sql in outputs.items()}
+    return Stats(aggregates, {"out_of_order": "broken"} | in_order)
 
 
-def rank_columns() -> list[str]:
+def rank_stats() -> Stats:
     """Statistics of the row-wise dense rank of the day (1 = latest), weighted by rows per day."""
-    sums = [f"sum({' * '.join(['day_rank'] * power)} * n)" for power in (1, 2, 3)]
 
     def at_row(position: str) -> str:
         # rows_so_far counts from the earliest day: the earliest day to reach the row holds it
         return f"max(IF(rows_so_far >= {position}, day_rank, NULL))"
 
-    middle = f"({at_row('(rows_total + 1) div 2')} + {at_row('rows_total div 2 + 1')}) / 2"
-    return [
-        "sum(n) AS rank_count",
-        "bigint(max(day_rank)) AS rank_max",
-        "bigint(min(day_rank)) AS rank_min",
-        f"{sums[0]} / sum(n) AS rank_mean",
-        f"double({middle}) AS rank_median",
-        f"{sample_skewness('sum(n)', *sums)} AS rank_skew",
-        f"{sample_stddev('sum(n)', *sums[:2])} AS rank_std",
-        "bigint(max_by(day_rank, last_seq)) AS rank_last",
-    ]
+    aggregates = {
+        "row_count": "sum(n)",
+        "rank_high": "max(day_rank)",
+        "rank_low": "min(day_rank)",
+        "rank_final": "max_by(day_rank, last_seq)",
+        "rank_lower_middle": at_row("(rows_total + 1) div 2"),
+        "rank_upper_middle": at_row("rows_total div 2 + 1"),
+        **_power_sums("rank", "day_rank", "n"),
+    }
+    return Stats(
+        aggregates,
+        {
+            "rank_count": "row_count",
+            "rank_max": "bigint(rank_high)",
+            "rank_min": "bigint(rank_low)",
+            "rank_mean": "rank_s1 / row_count",
+            "rank_median": "(rank_lower_middle + rank_upper_middle) / 2d",
+            "rank_skew": sample_skewness("row_count", "rank_s1", "rank_s2", "rank_s3"),
+            "rank_std": sample_stddev("row_count", "rank_s1", "rank_s2"),
+            "rank_last": "bigint(rank_final)",
+        },
+    )
 
 
-def volume_columns() -> list[str]:
+def volume_variance() -> Stats:
     """Sample variance of the rows per active day."""
-    return ["var_samp(n) AS volume_var"]
+    return _same({"volume_var": "var_samp(n)"})
 
 
-def profile_columns() -> list[str]:
+def daily_profile() -> Stats:
     """Spread of the daily number of non-null pages and action types."""
     functions = {"max": "max", "min": "min", "mean": "avg", "std": "stddev_samp"}
-    return [
-        f"{function}(n_{code}) AS day_{code}_count_{name}"
-        for code in ("page", "action")
-        for name, function in functions.items()
-    ]
+    return _same(
+        {
+            f"day_{code}_count_{name}": f"{function}(n_{code})"
+            for code in ("page", "action")
+            for name, function in functions.items()
+        }
+    )
 
 
-def _code_columns(counts: Sequence[str], shares: Sequence[str], kinds: str) -> list[str]:
-    total = " + ".join(f"sum({c})" for c in counts)
-    present = " + ".join(f"IF(sum({c}) > 0, 1, 0)" for c in counts)
-    return (
-        [f"nullif(sum({c}), 0) AS {c}" for c in counts]
-        + [f"{ratio(f'sum({c})', total)} AS {share}" for c, share in zip(counts, shares)]
-        + [f"bigint({present}) AS {kinds}"]
+def _code_shares(counts: Sequence[str], shares: Sequence[str], kinds: str) -> Stats:
+    sums = {f"{c}_sum": f"sum({c})" for c in counts}
+    total = f"({' + '.join(sums)})"
+    return Stats(
+        sums,
+        {c: f"nullif({s}, 0)" for c, s in zip(counts, sums)}
+        | {share: ratio(s, total) for share, s in zip(shares, sums)}
+        | {kinds: f"bigint({' + '.join(f'int({s} > 0)' for s in sums)})"},
     )
 
 
-def page_columns() -> list[str]:
+def page_shares() -> Stats:
     """Count (NULL when absent) and share (0 when absent) of each page; distinct pages."""
-    return _code_columns([f"page_{p}" for p in PAGES], [f"page{p}_percent" for p in PAGES], "page_nui")
+    return _code_shares([f"page_{p}" for p in PAGES], [f"page{p}_percent" for p in PAGES], "page_nui")
 
 
-def action_columns() -> list[str]:
+def action_shares() -> Stats:
     """Count and share of each action type; distinct action types."""
     counts = [f"action_type_{a}" for a in ACTION_TYPES]
-    return _code_columns(counts, [f"action_type{a}_percent" for a in ACTION_TYPES], "action_type_nui")
+    return _code_shares(counts, [f"action_type{a}_percent" for a in ACTION_TYPES], "action_type_nui")
 
 
-def streak_columns() -> list[str]:
+def streaks() -> Stats:
     """Longest streak, latest streak of two days or more, population variance of streaks."""
-    return [
-        "bigint(coalesce(max(run_days), 1)) AS max_lx_days",
-        "bigint(coalesce(max_by(run_days, IF(run_days IS NULL, NULL, day)), 1)) AS last_lx_days",
-        "coalesce(var_pop(run_days), 0d) AS lx_var",
-    ]
+    aggregates = {
+        "run_max": "coalesce(max(run_days), 1)",
+        "run_last": "coalesce(max_by(run_days, IF(run_days IS NULL, NULL, day)), 1)",
+        "run_var": "coalesce(var_pop(run_days), 0d)",
+    }
+    return Stats(
+        aggregates, {"max_lx_days": "bigint(run_max)", "last_lx_days": "bigint(run_last)", "lx_var": "run_var"}
+    )
 
 
-def offset_columns(intervals: Sequence[Interval]) -> list[str]:
+def offset_counts(intervals: Sequence[Interval]) -> Stats:
     """Rows exactly k days before the interval's last day; NULL when there are none."""
     ago = f"{last_day(intervals)} - day"
-    return [f"sum(IF({ago} = {k}, n, NULL)) AS ls_{k}" for k in OFFSETS]
+    return _same({f"ls_{k}": f"sum(IF({ago} = {k}, n, NULL))" for k in OFFSETS})
 
 
-def trailing_columns(intervals: Sequence[Interval]) -> list[str]:
+def trailing_counts(intervals: Sequence[Interval]) -> Stats:
     """Weighted rows in the last 3, 5 and 7 days, the last day included."""
     ago = f"{last_day(intervals)} - day"
-    return [
-        f"{weight}d * sum(IF({ago} BETWEEN 0 AND {days - 1}, n, NULL)) AS ls_day{days}"
-        for days, weight in TRAILING_WEIGHTS.items()
-    ]
+    return Stats(
+        {f"in_last_{d}": f"sum(IF({ago} BETWEEN 0 AND {d - 1}, n, NULL))" for d in TRAILING_WEIGHTS},
+        {f"ls_day{d}": f"{weight}d * in_last_{d}" for d, weight in TRAILING_WEIGHTS.items()},
+    )
 
 
-def all_columns(intervals: Sequence[Interval]) -> list[str]:
+def all_stats(intervals: Sequence[Interval]) -> Stats:
     """Every statistic, for the one aggregate of the feature plan."""
     return (
-        day_columns()
-        + recency_columns(intervals)
-        + gap_columns()
-        + rank_columns()
-        + volume_columns()
-        + profile_columns()
-        + page_columns()
-        + action_columns()
-        + streak_columns()
-        + offset_columns(intervals)
-        + trailing_columns(intervals)
+        day_stats()
+        | recency(intervals)
+        | gap_stats()
+        | rank_stats()
+        | volume_variance()
+        | daily_profile()
+        | page_shares()
+        | action_shares()
+        | streaks()
+        | offset_counts(intervals)
+        | trailing_counts(intervals)
     )
 
 
-def summarise(days: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per (interval, user, part) with the given statistics of the cut day table."""
-    return aggregate(days, GROUP, columns)
+def aggregate_days(days: DataFrame, stats: Stats) -> DataFrame:
+    """One row per (interval, user, part) with the aggregates alone."""
+    return aggregate(days, GROUP, [f"{sql} AS {name}" for name, sql in stats.aggregates.items()])
+
+
+def summarise(days: DataFrame, stats: Stats) -> DataFrame:
+    """One row per (interval, user, part) with the outputs; the day table must be cut."""
+    outputs = [f"{sql} AS {name}" for name, sql in stats.outputs.items()]
+    return aggregate_days(days, stats).selectExpr(*GROUP, *outputs)
 
 
-def summarise_windows(days: DataFrame, columns: Sequence[str]) -> DataFrame:
+def summarise_windows(days: DataFrame, stats: Stats) -> DataFrame:
     """Like ``summarise``, for statistics that need the day windows."""
-    return summarise(with_day_windows(days), columns)
+    return summarise(with_day_windows(days), stats)

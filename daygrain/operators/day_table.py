@@ -11,8 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from daygrain.functions.stats import aggregate
 from daygrain.operators.intervals import Interval, assign_intervals, parts_of_day
 from daygrain.sources.logs import ACTION_TYPES, PAGES
 
@@ -22,14 +22,18 @@ GROUP = ("interval_id", "user_id", "part")
 
 def day_table(stacked: DataFrame) -> DataFrame:
     """Row counts, first and last ``seq``, and code counts per (log, user, day)."""
-    return stacked.groupBy("log", "user_id", "day").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("seq").alias("first_seq"),
-        F.max("seq").alias("last_seq"),
-        F.count("page").alias("n_page"),
-        F.count("action_type").alias("n_action"),
-        *[F.count_if(F.col("page") == p).alias(f"page_{p}") for p in PAGES],
-        *[F.count_if(F.col("action_type") == a).alias(f"action_type_{a}") for a in ACTION_TYPES],
+    return aggregate(
+        stacked,
+        ("log", "user_id", "day"),
+        [
+            "count(*) AS n",
+            "min(seq) AS first_seq",
+            "max(seq) AS last_seq",
+            "count(page) AS n_page",
+            "count(action_type) AS n_action",
+            *[f"count_if(page = {p}) AS page_{p}" for p in PAGES],
+            *[f"count_if(action_type = {a}) AS action_type_{a}" for a in ACTION_TYPES],
+        ],
     )
 
 
@@ -40,7 +44,7 @@ def cut_days(days: DataFrame, intervals: Sequence[Interval]) -> DataFrame:
 
 def cut_days_into_parts(days: DataFrame, intervals: Sequence[Interval]) -> DataFrame:
     """Like ``cut_days``, with the label weeks and populations as two more parts."""
-    return days.select(F.inline(parts_of_day("day", "log", intervals)), "*").drop("log")
+    return days.selectExpr(parts_of_day(intervals), "*").drop("log")
 
 
 def with_day_windows(days: DataFrame) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from daygrain.functions.stats import aggregate
 from daygrain.operators.intervals import Interval
 
 # Column of the activity log -> name of its distinct count.
@@ -21,17 +21,16 @@ def distinct_counts(stacked: DataFrame, intervals: Sequence[Interval]) -> DataFr
     heavy user's values spread over all tasks.
     """
     pairs = ", ".join(f"'{name}', {name}" for name in ATTRIBUTES)
-    flags = {iv.interval_id: f"in_{iv.interval_id}" for iv in intervals}
     values = (
-        stacked.where(F.col("log") == "activity")
-        .select("user_id", "day", F.expr(f"stack({len(ATTRIBUTES)}, {pairs}) AS (attribute, value)"))
-        .where(F.col("value").isNotNull())
-        .groupBy("user_id", "attribute", "value")
-        .agg(*[F.max(F.col("day").between(iv.begin, iv.end)).alias(flags[iv.interval_id]) for iv in intervals])
+        stacked.where("log = 'activity'")
+        .selectExpr("user_id", "day", f"stack({len(ATTRIBUTES)}, {pairs}) AS (attribute, value)")
+        .where("value IS NOT NULL")
     )
-    seen_in = F.array_compact(F.array(*[F.when(F.col(flag), F.lit(i)) for i, flag in flags.items()]))
-    return (
-        values.select(F.explode(seen_in).alias("interval_id"), "user_id", "attribute")
-        .groupBy("interval_id", "user_id")
-        .agg(*[F.count_if(F.col("attribute") == name).alias(out) for name, out in ATTRIBUTES.items()])
+    flags = [f"max(day BETWEEN {iv.begin} AND {iv.end}) AS in_{iv.interval_id}" for iv in intervals]
+    distinct_values = aggregate(values, ("user_id", "attribute", "value"), flags)
+    seen_in = ", ".join(f"IF(in_{iv.interval_id}, {iv.interval_id}, NULL)" for iv in intervals)
+    return aggregate(
+        distinct_values.selectExpr(f"explode(array_compact(array({seen_in}))) AS interval_id", "user_id", "attribute"),
+        ("interval_id", "user_id"),
+        [f"count_if(attribute = '{name}') AS {out}" for name, out in ATTRIBUTES.items()],
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -50,8 +50,14 @@ def cut(df: DataFrame, day: str, begin: int, end: int) -> DataFrame:
     return df.where(F.col(day).between(begin, end))
 
 
-def _interval_ids(in_interval: Sequence[tuple[int, Column]]) -> Column:
-    return F.explode(F.array_compact(F.array(*[F.when(cond, F.lit(i)) for i, cond in in_interval])))
+def _one_row_per_use(uses: Sequence[tuple[str, int, str]]) -> str:
+    """SQL generator: a row ``interval_id, part`` for each (condition, interval, part) that holds."""
+    structs = [f"IF({cond}, named_struct('interval_id', {i}, 'part', {part}), NULL)" for cond, i, part in uses]
+    return f"inline(array_compact(array({', '.join(structs)})))"
+
+
+def _assign(df: DataFrame, uses: Sequence[tuple[str, int, str]]) -> DataFrame:
+    return df.selectExpr(_one_row_per_use(uses), "*").drop("part")
 
 
 def assign_intervals(df: DataFrame, day: str, intervals: Sequence[Interval]) -> DataFrame:
@@ -60,46 +66,47 @@ def assign_intervals(df: DataFrame, day: str, intervals: Sequence[Interval]) ->
     The few intervals are literals, so a row meets them in a generator inside its own
     task: no join, and no shuffle.
     """
-    hits = [(iv.interval_id, F.col(day).between(iv.begin, iv.end)) for iv in intervals]
-    return df.select(_interval_ids(hits).alias("interval_id"), "*")
+    return _assign(df, [(f"{day} BETWEEN {iv.begin} AND {iv.end}", iv.interval_id, "''") for iv in intervals])
 
 
 def assign_label_weeks(df: DataFrame, day: str, intervals: Sequence[Interval]) -> DataFrame:
     """Like ``assign_intervals``, for the label days."""
-    hits = [
-        (iv.interval_id, F.col(day).between(iv.label_begin, iv.label_end))
-        for iv in intervals
-        if iv.label_begin is not None
-    ]
-    return df.select(_interval_ids(hits).alias("interval_id"), "*")
+    weeks = [iv for iv in intervals if iv.label_begin is not None]
+    return _assign(df, [(_label_days(day, iv), iv.interval_id, "''") for iv in weeks])
 
 
 def assign_populations(register: DataFrame, day: str, intervals: Sequence[Interval]) -> DataFrame:
     """One row per (register row, interval whose registration bound it meets)."""
-    hits = [
-        (iv.interval_id, F.lit(True) if iv.registered_by is None else F.col(day) <= iv.registered_by)
-        for iv in intervals
-    ]
-    return register.select(_interval_ids(hits).alias("interval_id"), "*")
+    return _assign(register, [(_registered(day, iv), iv.interval_id, "''") for iv in intervals])
+
+
+def membership_parts(intervals: Sequence[Interval]) -> str:
+    """SQL generator of ``interval_id, part`` for a row with ``log`` and ``day``.
+
+    ``part`` is ``label`` for an activity day in the label week, ``population`` for a
+    registration within the bound.
+    """
+    return _one_row_per_use(_membership(intervals))
 
 
-def parts_of_day(day: str, log: str, intervals: Sequence[Interval]) -> Column:
-    """Every use of a (log, day): an array of (interval_id, part).
+def parts_of_day(intervals: Sequence[Interval]) -> str:
+    """Like ``membership_parts``, with the log's name as the part of its feature days.
 
-    ``part`` is the log's name for feature days, ``label`` for an activity day in the
-    label week, ``population`` for a registration within the bound. One pass over the
-    day table then feeds features, labels and populations alike.
+    One pass over the day table then feeds features, labels and populations alike.
     """
-    uses = []
-    for iv in intervals:
-        is_register = F.col(log) == "register"
-        bound = F.lit(True) if iv.registered_by is None else F.col(day) <= iv.registered_by
-        uses.append(_use(iv, F.col(day).between(iv.begin, iv.end), F.col(log)))
-        uses.append(_use(iv, is_register & bound, F.lit("population")))
-        if iv.label_begin is not None:
-            uses.append(_use(iv, ~is_register & F.col(day).between(iv.label_begin, iv.label_end), F.lit("label")))
-    return F.array_compact(F.array(*uses))
-
-
-def _use(iv: Interval, cond: Column, part: Column) -> Column:
-    return F.when(cond, F.struct(F.lit(iv.interval_id).alias("interval_id"), part.alias("part")))
+    features = [(f"day BETWEEN {iv.begin} AND {iv.end}", iv.interval_id, "log") for iv in intervals]
+    return _one_row_per_use(features + _membership(intervals))
+
+
+def _membership(intervals: Sequence[Interval]) -> list[tuple[str, int, str]]:
+    uses = [(f"log = 'register' AND {_registered('day', iv)}", iv.interval_id, "'population'") for iv in intervals]
+    weeks = [iv for iv in intervals if iv.label_begin is not None]
+    return uses + [(f"log <> 'register' AND {_label_days('day', iv)}", iv.interval_id, "'label'") for iv in weeks]
+
+
+def _label_days(day: str, iv: Interval) -> str:
+    return f"{day} BETWEEN {iv.label_begin} AND {iv.label_end}"
+
+
+def _registered(day: str, iv: Interval) -> str:
+    return "true" if iv.registered_by is None else f"{day} <= {iv.registered_by}"

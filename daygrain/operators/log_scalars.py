@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from daygrain.functions.stats import aggregate
 from daygrain.operators.intervals import Interval, assign_intervals
 
 
@@ -16,17 +16,19 @@ def log_scalars(stacked: DataFrame, intervals: Sequence[Interval]) -> DataFrame:
     The logs are first counted per day, so the shuffle carries at most one row per
     (log, day) and task.
     """
-    per_day = stacked.groupBy("log", "day").agg(F.count(F.lit(1)).alias("n"))
-    cut = assign_intervals(per_day, "day", intervals)
-
-    def of(log: str, value):
-        return F.when(F.col("log") == log, value)
-
-    day, n = F.col("day"), F.col("n")
-    return cut.groupBy("interval_id").agg(
-        F.max(of("register", day)).cast("long").alias("register_max"),
-        F.min(of("create", day)).cast("long").alias("create_min"),
-        (F.sum(of("create", day * n)) / F.sum(of("create", n))).alias("create_mean"),
-        (F.sum(of("launch", day * n)) / F.sum(of("launch", n))).alias("launch_mean"),
-        F.min(of("activity", day)).cast("long").alias("activity_min"),
+    per_day = assign_intervals(aggregate(stacked, ("log", "day"), ["count(*) AS n"]), "day", intervals)
+
+    def mean(log: str) -> str:
+        return f"sum(IF(log = '{log}', day * n, NULL)) / sum(IF(log = '{log}', n, NULL))"
+
+    return aggregate(
+        per_day,
+        ["interval_id"],
+        [
+            "bigint(max(IF(log = 'register', day, NULL))) AS register_max",
+            "bigint(min(IF(log = 'create', day, NULL))) AS create_min",
+            f"{mean('create')} AS create_mean",
+            f"{mean('launch')} AS launch_mean",
+            "bigint(min(IF(log = 'activity', day, NULL))) AS activity_min",
+        ],
     )

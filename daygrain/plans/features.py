@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.functions.stats import aggregate, ratio
-from daygrain.operators.day_stats import OFFSETS, TRAILING_WEIGHTS, all_columns, summarise_windows
-from daygrain.operators.day_table import cut_days_into_parts, day_table
+from daygrain.operators.day_stats import OFFSETS, TRAILING_WEIGHTS, Stats, aggregate_days, all_stats
+from daygrain.operators.day_table import cut_days_into_parts, day_table, with_day_windows
 from daygrain.operators.distincts import distinct_counts
 from daygrain.operators.gaps import PIECE_ROWS, row_gap_stats
 from daygrain.operators.intervals import INTERVALS, Interval, assign_intervals, last_day
@@ -61,11 +61,11 @@ def _activity_codes() -> Catalogue:
     names = [f"page_{p}" for p in PAGES] + [f"page{p}_percent" for p in PAGES]
     names += [f"action_type_{a}" for a in ACTION_TYPES] + [f"action_type{a}_percent" for a in ACTION_TYPES]
     profile = [f"day_{c}_count_{s}" for c in ("page", "action") for s in ("max", "min", "mean", "std")]
-    return (
-        {name: ("activity", name) for name in names}
-        | {f"act_{name}": ("activity", name) for name in profile}
-        | {f"user_id_{c}_nui": ("activity", f"{c}_nui") for c in ("action_type", "page")}
-    )
+    return {name: ("activity", name) for name in names} | {f"act_{name}": ("activity", name) for name in profile}
+
+
+def _code_kinds() -> Catalogue:
+    return {f"user_id_{c}_nui": ("activity", f"{c}_nui") for c in ("action_type", "page")}
 
 
 def day_table_catalogue() -> Catalogue:
@@ -73,7 +73,7 @@ def day_table_catalogue() -> Catalogue:
     for log in GAP_LOGS:
         out |= _day_stats(log) | _size_and_recency(log) | _gaps(log) | _volume(log)
         out |= _ranks(log) | _streaks(log) | _recent(log)
-    return out | _activity_codes() | _day_stats("register") | _streaks("register") | _recent("register")
+    return out | _code_kinds() | _activity_codes() | _day_stats("register") | _streaks("register") | _recent("register")
 
 
 def _derived(intervals: Sequence[Interval]) -> dict[str, str]:
@@ -116,7 +116,7 @@ FEATURES: tuple[str, ...] = (
     *_day_stats("activity"),
     "activity_register_day", "activity_register_day_min", "activity_register_day_first",
     *_size_and_recency("activity"),
-    *DISTINCTS,
+    *DISTINCTS, *_code_kinds(),
     "user_id_video_nui_ratio", "user_id_author_nui_ratio",
     "user_id_action_type_nui_ratio", "user_id_page_nui_ratio",
     *_gaps("activity"), *_activity_codes(), *_volume("activity"), *_ranks("activity"),
@@ -145,23 +145,36 @@ def _order_checks() -> Catalogue:
     return {f"{log}_{stat}": (log, stat) for log in GAP_LOGS for stat in stats}
 
 
-def _pivot_parts(summary: DataFrame) -> DataFrame:
-    """One row per population member, the parts side by side.
+def _pivot_parts(sums: DataFrame, used: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row per population member with the wanted (log, aggregate) pairs side by side.
 
-    The summary is already hashed on (interval, user), so this adds no shuffle.
+    The rows are already hashed on (interval, user), so this adds no shuffle.
     """
-    wanted = day_table_catalogue() | _order_checks()
-    columns = [f"max(IF(part = '{part}', {stat}, NULL)) AS {name}" for name, (part, stat) in wanted.items()]
+    columns = [f"max(IF(part = '{log}', {name}, NULL)) AS {_side(log)}{name}" for log, name in used]
     columns.append("max(part = 'label') AS acted")
-    members = "max(part = 'population') AS member"
-    return aggregate(summary, KEYS, [*columns, members]).where("member").drop("member")
+    return aggregate(sums, KEYS, [*columns, "max(part = 'population') AS member"]).where("member").drop("member")
+
+
+def _side(log: str) -> str:
+    return f"{log}__"
 
 
 def feature_plan(stacked: DataFrame, register: DataFrame, intervals: Sequence[Interval] = INTERVALS) -> DataFrame:
-    """The lazy plan of the matrix, before gaps of out-of-order users are filled in."""
-    bounds = ["min(first_seq) AS first_seq", "max(last_seq) AS last_seq"]
-    days = cut_days_into_parts(day_table(stacked), intervals)
-    users = _pivot_parts(summarise_windows(days, all_columns(intervals) + bounds))
+    """The lazy plan of the matrix, before gaps of out-of-order users are filled in.
+
+    Aggregates first, side by side, and only then the arithmetic over them: the wide
+    projection is compiled in small methods, while the output of an aggregate is one
+    method and would grow too large for the JIT compiler.
+    """
+    bounds = {"first_seq": "min(first_seq)", "last_seq": "max(last_seq)"}
+    stats = all_stats(intervals) | Stats(bounds, {name: name for name in bounds})
+    outputs, used = {}, set()
+    for name, (log, stat) in (day_table_catalogue() | _order_checks()).items():
+        outputs[name], aggregates = stats.output_of(stat, _side(log))
+        used |= {(log, a) for a in aggregates}
+
+    days = with_day_windows(cut_days_into_parts(day_table(stacked), intervals))
+    users = _pivot_parts(aggregate_days(days, stats), sorted(used))
     raw = assign_intervals(register.select("user_id", *RAW_REGISTER), "register_day", intervals)
     wide = (
         users.join(distinct_counts(stacked, intervals), KEYS, "left")
@@ -170,38 +183,27 @@ def feature_plan(stacked: DataFrame, register: DataFrame, intervals: Sequence[In
         .join(F.broadcast(log_scalars(stacked, intervals)), "interval_id", "left")
     )
     # a user with activity rows but only NULL videos has 0 distinct videos, not NULL
-    distincts = {
+    outputs |= {
         name: f"IF(activity_day_count IS NULL, NULL, coalesce({source}, 0))" for name, source in DISTINCTS.items()
     }
-    derived = distincts | _derived(intervals)
+    outputs |= _derived(intervals) | {name: name for name in RAW_REGISTER}
     labelled = ", ".join(str(iv.interval_id) for iv in intervals if iv.label_begin is not None)
     label = f"IF(interval_id IN ({labelled or 'NULL'}), int(acted), NULL) AS label"
-    # a derived column may use the ones before it (lateral aliases)
-    columns = [f"{derived[name]} AS {name}" if name in derived else name for name in FEATURES]
-    return wide.selectExpr(*KEYS, *columns, label, *_order_checks())
+    # an output may use others by name (lateral aliases)
+    columns = [f"{outputs[name]} AS {name}" for name in (*FEATURES, *_order_checks())]
+    return wide.selectExpr(*KEYS, *columns, label)
 
 
-def _out_of_order_totals(base: DataFrame) -> DataFrame:
+def _out_of_order_totals(broken: DataFrame) -> DataFrame:
     """(log, user) groups whose gaps the day table could not give, with their row range."""
     entries = [
-        F.when(
-            F.col(f"{log}_out_of_order"),
-            F.struct(
-                F.lit(log).alias("log"),
-                F.col(f"{log}_day_count").alias("n"),
-                F.col(f"{log}_first_seq").alias("first_seq"),
-                F.col(f"{log}_last_seq").alias("last_seq"),
-            ),
-        )
+        f"""IF({log}_out_of_order, named_struct('log', '{log}', 'n', {log}_day_count,
+            'first_seq', {log}_first_seq, 'last_seq', {log}_last_seq), NULL)"""
         for log in GAP_LOGS
     ]
-    any_broken = " OR ".join(f"{log}_out_of_order" for log in GAP_LOGS)
-    return (
-        base.where(any_broken)
-        .select("user_id", F.inline(F.array_compact(F.array(*entries))))
-        .groupBy("log", "user_id")
-        .agg(F.sum("n").alias("n"), F.min("first_seq").alias("first_seq"), F.max("last_seq").alias("last_seq"))
-    )
+    groups = broken.selectExpr("user_id", f"inline(array_compact(array({', '.join(entries)})))")
+    bounds = ["sum(n) AS n", "min(first_seq) AS first_seq", "max(last_seq) AS last_seq"]
+    return aggregate(groups, ("log", "user_id"), bounds)
 
 
 def _fill_gaps(base: DataFrame, stats: DataFrame) -> DataFrame:
@@ -234,8 +236,9 @@ def feature_matrix(
     filter); only if there are any are log rows read again, for those users' gaps.
     """
     base = stage(feature_plan(stacked, register, intervals), "features")
-    totals = _out_of_order_totals(base)
-    if not totals.isEmpty():
+    broken = base.where(" OR ".join(f"{log}_out_of_order" for log in GAP_LOGS))
+    if not broken.isEmpty():
+        totals = _out_of_order_totals(broken)
         base = stage(_fill_gaps(base, row_gap_stats(stacked, intervals, totals, piece_rows)), "features")
     return base.select(*KEYS, *FEATURES, "label")
 

@@ -16,6 +16,8 @@ def local_session(cpus: int | str = "*", app: str = "daygrain", **conf: str) ->
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        # small test tables should still use every thread
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():

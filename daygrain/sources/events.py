@@ -9,58 +9,47 @@ from __future__ import annotations
 import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Fixed value: the first day of the events table.
-ORIGIN = datetime.date(2024, 1, 1)
+from daygrain.sources.logs import LOGS
 
+# The first day of the events table, and the event types behind each log.
+ORIGIN = datetime.date(2024, 1, 1)
+EVENT_TYPES = {"create": ("purchase",), "launch": ("view",), "activity": ("click", "error", "signup")}
 
-def _register_day():
-    return (F.lit(1) + (F.col("user_id") * 5) % 28).cast("int")
+_FIRST_DAY = "int(1 + (user_id * 5) % 28)"
+_COLUMNS = {
+    "create": "user_id, day AS video_create_day, event_id AS seq",
+    "launch": "user_id, day AS app_launch_day, event_id AS seq",
+    "activity": """user_id, day AS user_activity_day, k % 5 AS page, bigint(k) AS video_id,
+        bigint(k % 17) AS author_id, k % 6 AS action_type, event_id AS seq""",
+}
 
 
-def _kept_events(events: DataFrame, event_types: list[str], days: tuple[int, int]) -> DataFrame:
-    first = datetime.datetime.combine(ORIGIN, datetime.time()) + datetime.timedelta(days=days[0] - 1)
-    end = datetime.datetime.combine(ORIGIN, datetime.time()) + datetime.timedelta(days=days[1])
-    churn_day = _register_day() + (F.col("user_id") * 7) % 24
-    day = F.datediff(F.col("ts").cast("date"), F.lit(ORIGIN)) + 1
-    return (
-        events
-        # Plain bounds on the stored column reach the Parquet scan; the derived day would not.
-        .where((F.col("ts") >= F.lit(first).cast("timestamp_ntz")) & (F.col("ts") < F.lit(end).cast("timestamp_ntz")))
-        .where(F.col("event_type").isin(event_types))
-        .withColumn("day", day)
-        .where(F.col("day").between(_register_day(), churn_day))
-    )
+def log_from_events(spark: SparkSession, sf_dir: str, log: str, days: tuple[int, int] = (1, 30)) -> DataFrame:
+    """One log, derived from ``{sf_dir}/events.parquet``."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if log == "register":
+        return events.select("user_id").distinct().selectExpr(
+            "user_id",
+            f"{_FIRST_DAY} AS register_day",
+            "int(user_id % 4) AS register_type",
+            "int(user_id % 11) AS device_type",
+        )
+    start, end = (ORIGIN + datetime.timedelta(days=d) for d in (days[0] - 1, days[1]))
+    types = ", ".join(f"'{t}'" for t in EVENT_TYPES[log])
+    # Plain bounds on the stored ts reach the Parquet scan; the derived day would not.
+    sql = f"""
+        SELECT {_COLUMNS[log]}
+        FROM (
+          SELECT *, datediff(date(ts), DATE'{ORIGIN}') + 1 AS day, int(get_json_object(props, '$.k')) AS k
+          FROM {{events}}
+          WHERE ts >= TIMESTAMP_NTZ'{start}' AND ts < TIMESTAMP_NTZ'{end}' AND event_type IN ({types})
+        )
+        WHERE day BETWEEN {_FIRST_DAY} AND {_FIRST_DAY} + (user_id * 7) % 24
+    """
+    return spark.sql(sql, events=events)
 
 
 def logs_from_events(spark: SparkSession, sf_dir: str, days: tuple[int, int] = (1, 30)) -> dict[str, DataFrame]:
-    """The four logs derived from ``{sf_dir}/events.parquet``."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    code = F.get_json_object("props", "$.k").cast("int")
-    user = F.col("user_id")
-    return {
-        "create": _kept_events(events, ["purchase"], days).select(
-            "user_id", F.col("day").alias("video_create_day"), F.col("event_id").alias("seq")
-        ),
-        "register": events.select("user_id").distinct().select(
-            "user_id",
-            _register_day().alias("register_day"),
-            (user % 4).cast("int").alias("register_type"),
-            (user % 11).cast("int").alias("device_type"),
-        ),
-        "launch": _kept_events(events, ["view"], days).select(
-            "user_id", F.col("day").alias("app_launch_day"), F.col("event_id").alias("seq")
-        ),
-        "activity": _kept_events(events, ["click", "error", "signup"], days)
-        .withColumn("k", code)
-        .select(
-            "user_id",
-            F.col("day").alias("user_activity_day"),
-            (F.col("k") % 5).alias("page"),
-            F.col("k").cast("long").alias("video_id"),
-            (F.col("k") % 17).cast("long").alias("author_id"),
-            (F.col("k") % 6).alias("action_type"),
-            F.col("event_id").alias("seq"),
-        ),
-    }
+    """All four logs."""
+    return {log: log_from_events(spark, sf_dir, log, days) for log in LOGS}

@@ -128,8 +128,8 @@ def write_submission(scores: DataFrame, path: str) -> None:
     scores.select("user_id", "result").write.mode("overwrite").option("header", False).csv(path)
 
 
-def _column_or_null(df: DataFrame, name: str, kind: str) -> Column:
-    return (F.col(name) if name in df.columns else F.lit(None)).cast(kind)
+# Columns of the stacked form that only some logs have, with their types.
+_OPTIONAL = {"page": "int", "video_id": "bigint", "author_id": "bigint", "action_type": "int"}
 
 
 def stack_logs(logs: Mapping[str, DataFrame], days: tuple[int, int] | None = None) -> DataFrame:
@@ -144,19 +144,13 @@ def stack_logs(logs: Mapping[str, DataFrame], days: tuple[int, int] | None = Non
         spec = LOGS[log]
         if "seq" not in df.columns and log != "register":
             raise ValueError(f"the {log} log needs a seq column that states its row order")
-        rows = df.where(F.col("user_id").isNotNull()).select(
-            F.lit(log).alias("log"),
-            F.col("user_id").cast("long").alias("user_id"),
-            F.col(spec.day).cast("int").alias("day"),
-            F.col("seq" if "seq" in df.columns else spec.day).cast("long").alias("seq"),
-            _column_or_null(df, "page", "int").alias("page"),
-            _column_or_null(df, "video_id", "long").alias("video_id"),
-            _column_or_null(df, "author_id", "long").alias("author_id"),
-            _column_or_null(df, "action_type", "int").alias("action_type"),
+        seq = "seq" if "seq" in df.columns else spec.day
+        optional = [f"{kind}({name if name in df.columns else 'NULL'}) AS {name}" for name, kind in _OPTIONAL.items()]
+        in_days = f" AND {spec.day} BETWEEN {days[0]} AND {days[1]}" if days and log != "register" else ""
+        rows = df.where(f"user_id IS NOT NULL{in_days}").selectExpr(
+            f"'{log}' AS log", "bigint(user_id) AS user_id", f"int({spec.day}) AS day", f"bigint({seq}) AS seq", *optional
         )
-        if days is not None and log != "register":
-            rows = rows.where(F.col("day").between(*days))
-        stacked = rows if stacked is None else stacked.unionByName(rows)
+        stacked = rows if stacked is None else stacked.union(rows)
     if stacked is None:
         raise ValueError("no logs given")
     return stacked

@@ -91,7 +91,7 @@ def test_row_gaps_match_brute_force(spark, piece_rows):
 def test_gap_stats_from_rows_equal_gap_stats_from_days(spark, piece_rows):
     stacked = helpers.stacked(spark, helpers.random_logs(9, users=8, rows=200, in_order=True))
     days = cut_days(day_table(stacked), INTERVALS)
-    from_days = stats.summarise_windows(days, stats.gap_columns())
+    from_days = stats.summarise_windows(days, stats.gap_stats())
     assert from_days.where("out_of_order").isEmpty()
     keys = ["interval_id", "user_id", "part"]
     pairs = from_days.select(*keys, *[F.col(s).alias(f"d_{s}") for s in GAP_STATS]).join(
