@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -186,14 +187,22 @@ def feature_plan(stacked: DataFrame, register: DataFrame, intervals: Sequence[In
     outputs |= {
         name: f"IF(activity_day_count IS NULL, NULL, coalesce({source}, 0))" for name, source in DISTINCTS.items()
     }
-    outputs |= _derived(intervals) | {name: name for name in RAW_REGISTER}
+    outputs |= {name: name for name in RAW_REGISTER}
+    for name, sql in (_derived(intervals) | {name: outputs[name] for name in DISTINCTS}).items():
+        outputs[name] = _inlined(sql, outputs)
     labelled = ", ".join(str(iv.interval_id) for iv in intervals if iv.label_begin is not None)
     label = f"IF(interval_id IN ({labelled or 'NULL'}), int(acted), NULL) AS label"
-    # an output may use others by name (lateral aliases)
     columns = [f"{outputs[name]} AS {name}" for name in (*FEATURES, *_order_checks())]
     return wide.selectExpr(*KEYS, *columns, label)
 
 
+def _inlined(sql: str, outputs: dict[str, str]) -> str:
+    """SQL with the names of other outputs replaced by their SQL, so that one projection does all."""
+    while names := set(re.findall(r"\w+", sql)) & set(outputs) - set(RAW_REGISTER):
+        sql = re.sub(r"\w+", lambda m: f"({outputs[m[0]]})" if m[0] in names else m[0], sql)  # noqa: B023
+    return sql
+
+
 def _out_of_order_totals(broken: DataFrame) -> DataFrame:
     """(log, user) groups whose gaps the day table could not give, with their row range."""
     entries = [
