@@ -1,4 +1,4 @@
-"""The whole job: ``spark-submit -m daygrain.job INPUT OUTPUT``, or ``python -m daygrain.job``.
+"""The whole job: ``spark-submit --py-files daygrain.zip daygrain/job.py INPUT OUTPUT``.
 
 Reads the four raw logs (header-less, tab-separated) under INPUT and writes under OUTPUT
 ``features`` (Parquet, by interval), ``metrics`` and ``importances`` (CSV with header)
