@@ -22,6 +22,12 @@ from daygrain.session import shared_dir
 from daygrain.sources.events import log_from_events, logs_from_events
 from daygrain.sources.logs import LOGS, read_ids, read_log, stack_logs, write_raw_log, write_table
 
+try:
+    import corpus_pipeline
+    from daygrain.llm import queries as llm
+except ImportError:  # that folder may be taken out
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOGUE = features.day_table_catalogue()
 ROWS = stats.Stats({"rows": "sum(n)"}, {"n": "rows"})
@@ -171,6 +177,8 @@ def queries() -> dict[str, Query]:
     out["gbt_train_eval"] = lambda s, d: model.train_and_evaluate(_matrix(s, d))
     out["gbt_importance"] = lambda s, d: model.train_importances(_matrix(s, d))
     out["gbt_submission"] = lambda s, d: model.refit_and_score(_matrix(s, d))
+    if llm:
+        out |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
     return out
 
 
@@ -182,4 +190,8 @@ def oracle_sql() -> dict[str, str]:
     out["feature_matrix"] = oracle.matrix(CATALOGUE)
     out["model_features"] = oracle.model_columns(CATALOGUE)
     out["train_val_union"] = oracle.model_columns(CATALOGUE, " WHERE interval_id < 3")
+    if llm:
+        out |= llm.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
