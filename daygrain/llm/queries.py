@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from daygrain.llm import decontaminate, packing
+from daygrain.llm import decontaminate, packing, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op2_decontaminate": decontaminate.query,
+    "op4_suffix_dedup": suffix_dedup.query,
+    "op8_substring_dedup": substring_dedup.query,
     "op10_packing": packing.query,
 }
 
