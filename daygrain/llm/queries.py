@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from daygrain.llm import decontaminate, langid, license_scan, packing, substring_dedup, suffix_dedup
+from daygrain.llm import decontaminate, embedding_dedup, langid, license_scan, packing, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op2_decontaminate": decontaminate.query,
     "op3_langid": langid.query,
     "op4_suffix_dedup": suffix_dedup.query,
+    "op5_embedding_dedup": embedding_dedup.query,
     "op6_license_scan": license_scan.query,
     "op8_substring_dedup": substring_dedup.query,
     "op10_packing": packing.query,
