@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daygrain.llm import decontaminate, embedding_dedup, langid, license_scan, packing, substring_dedup, suffix_dedup
+from daygrain.llm import decontaminate, embedding_dedup, jaccard_join, langid, license_scan, packing, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op2_decontaminate": decontaminate.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_embedding_dedup": embedding_dedup.query,
     "op6_license_scan": license_scan.query,
     "op8_substring_dedup": substring_dedup.query,
+    "op9_jaccard_join": jaccard_join.query,
     "op10_packing": packing.query,
 }
 
