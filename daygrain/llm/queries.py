@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from daygrain.llm import decontaminate, embedding_dedup, jaccard_join, langid, license_scan, packing, substring_dedup, suffix_dedup
+from daygrain.llm import decontaminate, embedding_dedup, jaccard_join, langid, license_scan, lm, packing, substring_dedup, suffix_dedup
 
 QUERIES = {
+    "op1_lm_score": lm.query,
     "op2_decontaminate": decontaminate.query,
     "op3_langid": langid.query,
     "op4_suffix_dedup": suffix_dedup.query,
