@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daygrain.llm import decontaminate, embedding_dedup, jaccard_join, langid, license_scan, lm, packing, substring_dedup, suffix_dedup
+from daygrain.llm import decontaminate, embedding_dedup, html_extract, jaccard_join, langid, license_scan, lm, packing, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_lm_score": lm.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_suffix_dedup": suffix_dedup.query,
     "op5_embedding_dedup": embedding_dedup.query,
     "op6_license_scan": license_scan.query,
+    "op7_html_extract": html_extract.query,
     "op8_substring_dedup": substring_dedup.query,
     "op9_jaccard_join": jaccard_join.query,
     "op10_packing": packing.query,
