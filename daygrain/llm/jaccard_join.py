@@ -156,8 +156,8 @@ def _slices(a: np.ndarray, b: np.ndarray, step: int = 1 << 14):
     return ((a[i : i + step], b[i : i + step]) for i in range(0, len(a), step))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The columns of ``docs`` without ``text``, and n_shingles, component_id and kept for every row.
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
+    """The columns of ``docs``, ``text`` only if asked for, and n_shingles, component_id and kept for every row.
 
     component_id: the smallest key among the rows reachable by links of similarity 4/5 or
     more; kept: whether the row is the first of its component by (key, position). Null and
@@ -231,16 +231,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rooted = rooted.join(head, "root").select(
         "row_key", "component_id", (F.col("head.row_key") == F.col("row_key")).alias("kept")
     )
-    out = body.select("row_key", "doc_id", "rest").join(sets.select("row_key", "n"), "row_key")
-    out = out.join(rooted, "row_key", "left").select(
-        "rest",
+    out = body if with_text else body.drop("text")
+    out = out.join(sets.select("row_key", "n"), "row_key").join(rooted, "row_key", "left").select(
+        *[c for c in out.columns if c in ("rest", "text")],
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce("kept", F.lit(True)).alias("kept"),
     )
     new = ["n_shingles", "component_id", "kept"]
     rest = [F.col("rest")[c].alias(c) for c in docs.columns if c not in (text, *new)]
-    return out.select(*rest, *new)
+    return out.select(*rest, *new, *([F.col("text").alias(text)] if with_text else []))
 
 
 def _shared_keys(batches: Batches) -> Batches:
