@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,13 +49,14 @@ class Windows:
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Word spans of verified hits, and the items they belong to."""
         found, spans, get = set(), [], self.ids.get
-        row = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
+        row = np.fromiter(map(get, words, repeat(0)), np.uint64, len(words))
         for m, hashes in self.hashes.items():
             if len(row) < m:
                 continue
             rolled = _rolled(row[None, :], m)[0]
             at = np.flatnonzero(self.filters[m][rolled >> np.uint64(64 - FILTER_BITS)])
-            at = at[np.isin(rolled[at], hashes)]
+            near = np.minimum(np.searchsorted(hashes, rolled[at]), len(hashes) - 1)
+            at = at[hashes[near] == rolled[at]]
             for i in at.tolist():
                 if items := self.items.get(tuple(row[i : i + m].tolist())):
                     spans.append((i, i + m))
