@@ -12,15 +12,23 @@ import oracle
 from daygrain.operators import day_stats as stats
 from daygrain.operators.day_table import cut_days, day_table, with_day_windows
 from daygrain.operators.distincts import distinct_counts
-from daygrain.operators.gaps import day_gaps
-from daygrain.operators.intervals import INTERVALS, assign_intervals, cut, day_span
+from daygrain.operators.gaps import complete_gap_stats, day_gaps
+from daygrain.operators.intervals import INTERVALS, assign_cuts, assign_intervals, cut, day_span
 from daygrain.operators.labels import active_ids, distinct_ids, labels, population
 from daygrain.operators.log_scalars import log_scalars
 from daygrain.operators.metrics import auc, log_loss
-from daygrain.plans import features, model
+from daygrain.plans import ensemble, features, model
 from daygrain.session import shared_dir
 from daygrain.sources.events import log_from_events, logs_from_events
-from daygrain.sources.logs import LOGS, read_ids, read_log, stack_logs, write_raw_log, write_table
+from daygrain.sources.logs import (
+    LOGS,
+    read_ids,
+    read_log,
+    stack_logs,
+    write_raw_log,
+    write_submission,
+    write_table,
+)
 
 try:
     import corpus_pipeline
@@ -33,9 +41,12 @@ CATALOGUE = features.day_table_catalogue()
 ROWS = stats.Stats({"rows": "sum(n)"}, {"n": "rows"})
 
 
-def _stacked(spark: SparkSession, sf_dir: str, only: str | None = None) -> DataFrame:
-    logs = {only: log_from_events(spark, sf_dir, only)} if only else logs_from_events(spark, sf_dir)
-    return stack_logs(logs, day_span(INTERVALS))
+SPAN = day_span(INTERVALS)
+
+
+def _stacked(spark: SparkSession, sf_dir: str, only: str | None = None, days: tuple[int, int] = SPAN) -> DataFrame:
+    logs = {only: log_from_events(spark, sf_dir, only, days)} if only else logs_from_events(spark, sf_dir, days)
+    return stack_logs(logs, days)
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -43,9 +54,13 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
-def _matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = logs_from_events(spark, sf_dir)
-    return features.feature_matrix(stack_logs(logs, day_span(INTERVALS)), logs["register"])
+def _matrix(spark: SparkSession, sf_dir: str, reverse: bool = False) -> DataFrame:
+    logs = logs_from_events(spark, sf_dir, SPAN, reverse)
+    return features.feature_matrix(stack_logs(logs, SPAN), logs["register"])
+
+
+def _staged_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.staged_matrix(_matrix(spark, sf_dir))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -63,7 +78,6 @@ def _log_queries() -> dict[str, tuple[str, stats.Stats, bool]]:
         out[f"trailing_weighted_{log}"] = (log, stats.trailing_counts(INTERVALS), False)
     for log in features.GAP_LOGS:
         out[f"recency_{log}"] = (log, stats.recency(INTERVALS), False)
-        out[f"gap_stats_{log}"] = (log, stats.gap_stats(), True)
         out[f"rank_stats_{log}"] = (log, stats.rank_stats(), True)
         out[f"daily_volume_var_{log}"] = (log, stats.volume_variance(), False)
     out["daily_count_profile"] = ("activity", stats.daily_profile(), False)
@@ -87,6 +101,16 @@ def _log_query(log: str, computed: stats.Stats, windows: bool) -> Query:
     return run
 
 
+def _gap_stats(log: str, reverse: bool = False) -> Query:
+    named = [f"{s} AS {name}" for name, (part, s) in CATALOGUE.items() if part == log and s in features.GAP_STATS]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = stack_logs({log: log_from_events(spark, sf_dir, log, SPAN, reverse)}, SPAN)
+        return _rounded(complete_gap_stats(rows, INTERVALS).selectExpr(*features.KEYS, *named))
+
+    return run
+
+
 def _distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stacked = _stacked(spark, sf_dir, "activity")
     codes = ROWS | stats.page_shares() | stats.action_shares()
@@ -98,9 +122,7 @@ def _distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _global_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = logs_from_events(spark, sf_dir)
-    plan = features.feature_plan(stack_logs(logs, day_span(INTERVALS)), logs["register"])
-    return _rounded(plan.select(*features.KEYS, *oracle.DERIVED))
+    return _rounded(_matrix(spark, sf_dir).select(*features.KEYS, *features.OFFSETS_FROM_SCALARS))
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,8 +160,23 @@ def _id_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(spark, path, "launch")
 
 
+def _file_order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gap statistics of the launch log in the order of a text file written by ``seq`` and read back."""
+    path = f"{shared_dir(spark)}/launch-{uuid.uuid4().hex}"
+    write_raw_log(log_from_events(spark, sf_dir, "launch").orderBy("seq"), path, "launch")
+    log = stack_logs({"launch": read_log(spark, path, "launch")}, SPAN)
+    return _rounded(complete_gap_stats(log, INTERVALS).drop("part"))
+
+
+def _submission_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores of the fixed trees, written without a header and read back."""
+    path = f"{shared_dir(spark)}/submission-{uuid.uuid4().hex}"
+    write_submission(ensemble.submission(_matrix(spark, sf_dir)), path)
+    return _rounded(spark.read.schema("user_id long, result double").csv(path))
+
+
 def _train_val_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    used = features.used_features(_matrix(spark, sf_dir))
+    used = features.used_features(_staged_matrix(spark, sf_dir))
     train, val = (used.where(F.col("interval_id") == i) for i in (1, 2))
     return _rounded(train.unionByName(val))
 
@@ -150,9 +187,13 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "tsv_scan_activity": _text_scan("activity", raw=True),
         "tsv_scan_create": _text_scan("create", raw=True),
+        "tsv_scan_register": _text_scan("register", raw=True),
+        "tsv_scan_launch": _text_scan("launch", raw=True),
+        "file_order_gaps": _file_order_gaps,
         "csv_scan_register": _text_scan("register", raw=False),
         "id_scan_launch": _id_scan,
-        "interval_cut": lambda s, d: cut(_stacked(s, d), "day", 1, 16).select(*rows),
+        "interval_cut": lambda s, d: cut(_stacked(s, d, days=(1, 16)), "day", 1, 16).select(*rows),
+        "five_cuts": lambda s, d: assign_cuts(_stacked(s, d), "day", INTERVALS).select("interval_id", "cut", *rows),
         "interval_assign": lambda s, d: assign_intervals(_stacked(s, d), "day", INTERVALS).select("interval_id", *rows),
         "label_build": lambda s, d: labels(_stacked(s, d), INTERVALS),
         "score_population": lambda s, d: distinct_ids(log_from_events(s, d, "register")),
@@ -161,7 +202,7 @@ def queries() -> dict[str, Query]:
             *[log_from_events(s, d, log) for log in features.GAP_LOGS]
         ),
         "label_week_active_ids": lambda s, d: active_ids(_stacked(s, d), INTERVALS),
-        "log_scalars": lambda s, d: _rounded(log_scalars(_stacked(s, d), INTERVALS)),
+        "log_scalars": lambda s, d: _rounded(log_scalars(day_table(_stacked(s, d)), INTERVALS)),
         "global_offsets": _global_offsets,
         "distinct_counts_activity": _distinct_counts,
         "day_gaps": lambda s, d: day_gaps(_stacked(s, d), INTERVALS),
@@ -174,9 +215,18 @@ def queries() -> dict[str, Query]:
     }
     for name, (log, computed, windows) in _log_queries().items():
         out[name] = _log_query(log, computed, windows)
-    out["gbt_train_eval"] = lambda s, d: model.train_and_evaluate(_matrix(s, d))
-    out["gbt_importance"] = lambda s, d: model.train_importances(_matrix(s, d))
-    out["gbt_submission"] = lambda s, d: model.refit_and_score(_matrix(s, d))
+    for log in features.GAP_LOGS:
+        out[f"gap_stats_{log}"] = _gap_stats(log)
+        out[f"gap_stats_{log}_reversed"] = _gap_stats(log, reverse=True)
+    out["feature_matrix_reversed"] = lambda s, d: _rounded(_matrix(s, d, reverse=True))
+    out["ensemble_round_auc"] = lambda s, d: _rounded(ensemble.round_auc(_matrix(s, d)))
+    out["ensemble_choice"] = lambda s, d: _rounded(ensemble.choice(_staged_matrix(s, d)))
+    out["ensemble_importance"] = lambda s, d: ensemble.importances(_matrix(s, d))
+    out["ensemble_scores"] = lambda s, d: _rounded(ensemble.submission(_matrix(s, d)))
+    out["submission_ids"] = _submission_ids
+    out["gbt_train_eval"] = lambda s, d: model.train_and_evaluate(_staged_matrix(s, d))
+    out["gbt_importance"] = lambda s, d: model.train_importances(_staged_matrix(s, d))
+    out["gbt_submission"] = lambda s, d: model.refit_and_score(_staged_matrix(s, d))
     if llm:
         out |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
     return out
@@ -187,7 +237,14 @@ def oracle_sql() -> dict[str, str]:
     out = oracle.simple()
     for name, (log, computed, _) in _log_queries().items():
         out[name] = oracle.log_stats(log, _names(log, computed))
+    for log in features.GAP_LOGS:
+        named = {name: s for name, (part, s) in CATALOGUE.items() if part == log and s in features.GAP_STATS}
+        out[f"gap_stats_{log}"] = oracle.log_stats(log, named)
+        out[f"gap_stats_{log}_reversed"] = oracle.reversed_rows(out[f"gap_stats_{log}"])
+    out["file_order_gaps"] = oracle.log_stats("launch", {s: s for s in features.GAP_STATS})
+    out |= oracle.ensemble(CATALOGUE, ensemble.TREES, ensemble.PATIENCE, ensemble.FEATURES)
     out["feature_matrix"] = oracle.matrix(CATALOGUE)
+    out["feature_matrix_reversed"] = oracle.reversed_rows(out["feature_matrix"])
     out["model_features"] = oracle.model_columns(CATALOGUE)
     out["train_val_union"] = oracle.model_columns(CATALOGUE, " WHERE interval_id < 3")
     if llm:

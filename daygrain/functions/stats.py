@@ -23,17 +23,21 @@ def ratio(a: str, b: str) -> str:
 
 
 def sample_skewness(n: str, s1: str, s2: str, s3: str) -> str:
-    """Bias-corrected sample skewness from the sums of x, x^2 and x^3.
+    """Bias-corrected sample skewness of whole numbers from their count and the sums of x, x^2 and x^3.
 
-    NULL below three values, 0.0 for a constant group. The inputs here are small
-    integers (day gaps and ranks), so the sums are exact and the cancellation mild.
+    NULL below three values, 0.0 for a constant group. The sums are first shifted, as whole
+    numbers and so without loss, to x - k for the k next to the mean: what is left of the
+    mean is at most a half, and nothing cancels, however many equal values there are.
     """
-    n, s1, s2, s3 = (f"double({c})" for c in (n, s1, s2, s3))
-    m2 = f"({s2} / {n} - pow({s1} / {n}, 2))"
-    m3 = f"({s3} / {n} - 3 * ({s1} / {n}) * ({s2} / {n}) + 2 * pow({s1} / {n}, 3))"
+    k = f"bigint(round({s1} / {n}))"
+    c1 = f"({s1} - {n} * {k})"
+    c2 = f"({s2} - 2 * {k} * {s1} + {n} * {k} * {k})"
+    c3 = f"({s3} - 3 * {k} * {s2} + 3 * {k} * {k} * {s1} - {n} * {k} * {k} * {k})"
+    d, m1, m2, m3 = f"double({n})", *(f"(double({c}) / double({n}))" for c in (c1, c2, c3))
     return (
-        f"CASE WHEN {n} < 3 THEN NULL WHEN {n} * {s2} <= {s1} * {s1} THEN 0d "
-        f"ELSE sqrt({n} * ({n} - 1)) / ({n} - 2) * {m3} / pow({m2}, 1.5) END"
+        f"CASE WHEN {n} < 3 THEN NULL WHEN {m2} <= {m1} * {m1} THEN 0d "
+        f"ELSE sqrt({d} * ({d} - 1)) / ({d} - 2) * ({m3} - 3 * {m1} * {m2} + 2 * pow({m1}, 3)) "
+        f"/ pow({m2} - {m1} * {m1}, 1.5) END"
     )
 
 

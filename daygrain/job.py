@@ -1,27 +1,36 @@
 """The whole job: ``spark-submit --py-files daygrain.zip daygrain/job.py INPUT OUTPUT``.
 
-Reads the four raw logs (header-less, tab-separated) under INPUT and writes under OUTPUT
-``features`` (Parquet, by interval), ``metrics`` and ``importances`` (CSV with header)
-and ``submission`` (``user_id,result`` lines).
+Reads the four raw logs (header-less, tab-separated) under INPUT, once, and writes under
+OUTPUT ``logs`` and ``features`` (Parquet, by day and by interval), ``metrics`` and
+``importances`` (CSV with header) and ``submission`` (``user_id,result`` lines).
 """
 
 from __future__ import annotations
 
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from daygrain.operators.intervals import INTERVALS, day_span
 from daygrain.plans import model
-from daygrain.plans.features import feature_matrix
+from daygrain.plans.features import feature_matrix, write_matrix
 from daygrain.sources.logs import LOGS, RAW_FILES, read_log, stack_logs, write_submission, write_table
 
 
+def ingest(spark: SparkSession, source: str, target: str) -> dict[str, DataFrame]:
+    """The raw logs as Parquet with their file order, by day."""
+    logs = {}
+    for log, spec in LOGS.items():
+        rows = read_log(spark, f"{source}/{RAW_FILES[log]}", log)
+        rows.write.mode("overwrite").partitionBy(spec.day).parquet(f"{target}/{log}")
+        logs[log] = spark.read.schema(rows.schema).parquet(f"{target}/{log}")
+    return logs
+
+
 def run(spark: SparkSession, source: str, target: str, rounds: int = model.ROUNDS) -> None:
-    logs = {log: read_log(spark, f"{source}/{RAW_FILES[log]}", log) for log in LOGS}
+    logs = ingest(spark, source, f"{target}/logs")
     matrix = feature_matrix(stack_logs(logs, day_span(INTERVALS)), logs["register"])
-    matrix.write.mode("overwrite").partitionBy("interval_id").parquet(f"{target}/features")
-    matrix = spark.read.schema(matrix.schema).parquet(f"{target}/features")
+    matrix = write_matrix(matrix, f"{target}/features")
 
     assembled = model.assemble(matrix)
     trained = model.train(assembled, rounds)

@@ -1,9 +1,10 @@
-"""Gaps between a user's consecutive rows in file order, computed from the rows.
+"""Gaps between a user's consecutive rows in file order.
 
 One user may hold a third of a log, so a user's rows are never put in one task as a
-whole: a heavy user's rows are split into pieces by ``seq``, the gaps inside a piece
-come from a window over the piece, and the one gap that spans two neighbouring pieces
-is filled in from the pieces' first and last days.
+whole: rows are dealt by ranges of (log, user, seq) that Spark draws from the rows
+themselves, so every range has about as many rows, however they cluster. The gaps inside a
+range come from a window over the user's rows in it, and the one gap that spans two ranges
+is filled in from their last and first days.
 """
 
 from __future__ import annotations
@@ -14,58 +15,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daygrain.functions.stats import aggregate, sample_skewness
-from daygrain.operators.day_table import GROUP
+from daygrain.operators.day_stats import gap_stats, summarise_windows
+from daygrain.operators.day_table import GROUP, cut_days, day_table
 from daygrain.operators.intervals import Interval, assign_intervals
 
 USER = ("log", "user_id")
 
-# Only users with more rows than this are split, into pieces of about this many rows.
-PIECE_ROWS = 1_000_000
-# The list of split users is broadcast, so it is held to the largest MAX_HEAVY of them. Any
-# other user stays whole, in one piece, and has at most 1/MAX_HEAVY of all rows.
-MAX_HEAVY = 10_000
 
+def split_rows(stacked: DataFrame, pieces: int | None = None) -> DataFrame:
+    """``log, user_id, day, seq, piece``: rows with the number of the range they are in.
 
-def user_totals(stacked: DataFrame) -> DataFrame:
-    """Rows, and first and last ``seq``, per (log, user)."""
-    return stacked.groupBy(*USER).agg(
-        F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")
-    )
-
-
-def split_rows(stacked: DataFrame, totals: DataFrame | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """``log, user_id, day, seq, piece, split``: rows with the piece of the user they fall in.
-
-    With ``totals``, only the rows of the users listed there are kept. They are matched
-    on (log, user, piece), so a heavy user's rows spread over as many join and window
-    groups as the user has pieces.
+    There are ``pieces`` ranges, by default as many as Spark's shuffle partitions.
     """
-    users = user_totals(stacked) if totals is None else totals
-    users = users.withColumn("pieces", F.ceil(F.col("n") / piece_rows))
-    heavy = (
-        users.where("pieces > 1")
-        .orderBy(F.desc("n"), *USER)
-        .limit(MAX_HEAVY)
-        .select(
-            *USER,
-            F.col("first_seq").alias("seq_from"),
-            (F.col("last_seq") - F.col("first_seq") + 1).alias("seq_span"),
-            F.col("pieces").alias("heavy_pieces"),
-        )
-    )
-    place = F.floor((F.col("seq") - F.col("seq_from")) / F.col("seq_span") * F.col("heavy_pieces"))
-    piece = F.least(F.greatest(place, F.lit(0)), F.col("heavy_pieces") - 1)
-    rows = stacked.join(F.broadcast(heavy), list(USER), "left").select(
-        *USER,
-        "day",
-        "seq",
-        F.coalesce(piece, F.lit(0)).cast("int").alias("piece"),
-        F.col("heavy_pieces").isNotNull().alias("split"),
-    )
-    if totals is None:
-        return rows
-    wanted = users.select(*USER, F.explode(F.sequence(F.lit(0), (F.col("pieces") - 1).cast("int"))).alias("piece"))
-    return rows.join(wanted, [*USER, "piece"], "left_semi")
+    rows = stacked.select(*USER, "day", "seq")
+    order = [*USER, "seq"]
+    dealt = rows.repartitionByRange(pieces, *order) if pieces else rows.repartitionByRange(*order)
+    return dealt.withColumn("piece", F.spark_partition_id())
 
 
 def _gaps_in_pieces(rows: DataFrame, intervals: Sequence[Interval]) -> DataFrame:
@@ -78,34 +43,31 @@ def _gaps_in_pieces(rows: DataFrame, intervals: Sequence[Interval]) -> DataFrame
     )
 
 
-def day_gaps(stacked: DataFrame, intervals: Sequence[Interval], piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """Each cut row with its gap in days to the user's previous row; 0 on the first row."""
-    rows = _gaps_in_pieces(split_rows(stacked, piece_rows=piece_rows), intervals)
-    order = Window.partitionBy(*GROUP).orderBy("piece")
-    carried = (
-        rows.where("split")
-        .groupBy(*GROUP, "piece")
-        .agg(F.max_by("day", "seq").alias("last_of_piece"))
-        .select(*GROUP, "piece", F.lag("last_of_piece").over(order).alias("day_before"))
-    )
-    gap = F.coalesce(F.col("gap"), F.col("day") - F.col("day_before"), F.lit(0))
-    return rows.join(carried, [*GROUP, "piece"], "left").select(*GROUP, "seq", "day", gap.alias("gap"))
+def day_gaps(stacked: DataFrame, intervals: Sequence[Interval], pieces: int | None = None) -> DataFrame:
+    """Each cut row with its gap in days to the user's previous row; 0 on the first row.
 
+    One plan without a branch, since ranges drawn twice need not agree. The second window
+    meets a user's first rows of all ranges, at most one a range; other rows pass it in
+    groups of their range.
+    """
+    rows = _gaps_in_pieces(split_rows(stacked, pieces), intervals)
+    whole = Window.partitionBy(*GROUP, "piece")
+    rows = rows.withColumn("last_of_piece", F.max_by("day", "seq").over(whole))
+    rows = rows.withColumn("slot", F.when(F.col("gap").isNull(), -1).otherwise(F.col("piece")))
+    before = F.lag("last_of_piece").over(Window.partitionBy(*GROUP, "slot").orderBy("seq"))
+    gap = F.coalesce(F.col("gap"), F.col("day") - before, F.lit(0))
+    return rows.select(*GROUP, "seq", "day", gap.alias("gap"))
 
-def row_gap_stats(
-    stacked: DataFrame,
-    intervals: Sequence[Interval],
-    totals: DataFrame | None = None,
-    piece_rows: int = PIECE_ROWS,
-) -> DataFrame:
-    """Gap statistics per (interval, user, part), for the users in ``totals`` or for all.
+
+def row_gap_stats(stacked: DataFrame, intervals: Sequence[Interval], pieces: int | None = None) -> DataFrame:
+    """Gap statistics per (interval, user, part), from the rows.
 
     Each piece is reduced to its sums and end points; the gap that enters a piece is
     added from the end of the piece before.
     """
     gap = F.col("gap").cast("long")
-    pieces = (
-        _gaps_in_pieces(split_rows(stacked, totals, piece_rows), intervals)
+    reduced = (
+        _gaps_in_pieces(split_rows(stacked, pieces), intervals)
         .groupBy(*GROUP, "piece")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -121,7 +83,7 @@ def row_gap_stats(
     )
     order = Window.partitionBy(*GROUP).orderBy("piece")
     entry = F.coalesce(F.col("first_day") - F.lag("last_day").over(order), F.lit(0)).cast("long")
-    joined = pieces.withColumn("entry", entry)
+    joined = reduced.withColumn("entry", entry)
 
     sums = [f"sum(coalesce(s{power}, 0) + {' * '.join(['entry'] * power)})" for power in (1, 2, 3)]
     return aggregate(
@@ -136,3 +98,34 @@ def row_gap_stats(
             "bigint(max_by(coalesce(last_gap, entry), piece)) AS diff_last",
         ],
     )
+
+
+def out_of_order_users(days: DataFrame) -> DataFrame:
+    """(log, user_id) whose rows of a day do not all follow those of the day before, from the day table."""
+    sql = f"""
+        SELECT DISTINCT {', '.join(USER)} FROM (
+          SELECT {', '.join(USER)}, first_seq <= lag(last_seq) OVER (PARTITION BY {', '.join(USER)} ORDER BY day) AS late
+          FROM {{days}} WHERE log <> 'register')
+        WHERE late
+    """
+    return days.sparkSession.sql(sql, days=days)
+
+
+def late_gap_stats(
+    stacked: DataFrame, days: DataFrame, intervals: Sequence[Interval], pieces: int | None = None
+) -> DataFrame:
+    """``row_gap_stats`` of the users whose file order disagrees with their days."""
+    return row_gap_stats(stacked.join(out_of_order_users(days), list(USER), "left_semi"), intervals, pieces)
+
+
+GAP_STATS = ("diff_max", "diff_min", "diff_mean", "diff_ske", "diff_last")
+
+
+def complete_gap_stats(stacked: DataFrame, intervals: Sequence[Interval], pieces: int | None = None) -> DataFrame:
+    """Gap statistics of every (interval, user, part): from the days where they tell, else from the rows."""
+    days = day_table(stacked)
+    from_days = summarise_windows(cut_days(days, intervals), gap_stats()).drop("out_of_order")
+    late = late_gap_stats(stacked, days, intervals, pieces)
+    late = late.withColumnsRenamed({s: f"late_{s}" for s in GAP_STATS})
+    filled = [F.coalesce(s, f"late_{s}").alias(s) for s in GAP_STATS]
+    return from_days.join(late, list(GROUP), "left").select(*GROUP, *filled)

@@ -75,6 +75,18 @@ def assign_label_weeks(df: DataFrame, day: str, intervals: Sequence[Interval]) -
     return _assign(df, [(_label_days(day, iv), iv.interval_id, "''") for iv in weeks])
 
 
+def assign_cuts(df: DataFrame, day: str, intervals: Sequence[Interval]) -> DataFrame:
+    """One row per (row, cut that contains its day), with ``interval_id`` and ``cut``.
+
+    ``cut`` is ``features`` or, of the intervals that have one, ``label``: five cuts for the
+    three intervals.
+    """
+    cuts = [(f"{day} BETWEEN {iv.begin} AND {iv.end}", iv.interval_id, "'features'") for iv in intervals]
+    weeks = [iv for iv in intervals if iv.label_begin is not None]
+    cuts += [(_label_days(day, iv), iv.interval_id, "'label'") for iv in weeks]
+    return df.selectExpr(_one_row_per_use(cuts), "*").withColumnRenamed("part", "cut")
+
+
 def assign_populations(register: DataFrame, day: str, intervals: Sequence[Interval]) -> DataFrame:
     """One row per (register row, interval whose registration bound it meets)."""
     return _assign(register, [(_registered(day, iv), iv.interval_id, "''") for iv in intervals])

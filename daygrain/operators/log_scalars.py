@@ -10,13 +10,13 @@ from daygrain.functions.stats import aggregate
 from daygrain.operators.intervals import Interval, assign_intervals
 
 
-def log_scalars(stacked: DataFrame, intervals: Sequence[Interval]) -> DataFrame:
-    """One row per interval that has any row: largest, smallest and mean day of each log.
+def log_scalars(days: DataFrame, intervals: Sequence[Interval]) -> DataFrame:
+    """One row per interval that has any row: largest, smallest and mean day of each log, from the day table.
 
-    The logs are first counted per day, so the shuffle carries at most one row per
-    (log, day) and task.
+    The days are first counted, so the shuffle carries at most one row per (log, day) and
+    task.
     """
-    per_day = assign_intervals(aggregate(stacked, ("log", "day"), ["count(*) AS n"]), "day", intervals)
+    per_day = assign_intervals(aggregate(days, ("log", "day"), ["sum(n) AS n"]), "day", intervals)
 
     def mean(log: str) -> str:
         return f"sum(IF(log = '{log}', day * n, NULL)) / sum(IF(log = '{log}', n, NULL))"

@@ -13,7 +13,7 @@ from daygrain.functions.stats import aggregate, ratio
 from daygrain.operators.day_stats import OFFSETS, TRAILING_WEIGHTS, Stats, aggregate_days, all_stats
 from daygrain.operators.day_table import cut_days_into_parts, day_table, with_day_windows
 from daygrain.operators.distincts import distinct_counts
-from daygrain.operators.gaps import PIECE_ROWS, row_gap_stats
+from daygrain.operators.gaps import GAP_STATS, late_gap_stats
 from daygrain.operators.intervals import INTERVALS, Interval, assign_intervals, last_day
 from daygrain.operators.log_scalars import log_scalars
 from daygrain.session import shared_dir
@@ -21,7 +21,6 @@ from daygrain.sources.logs import ACTION_TYPES, LOGS, PAGES
 
 KEYS = ["interval_id", "user_id"]
 GAP_LOGS = ("create", "launch", "activity")
-GAP_STATS = ("diff_max", "diff_min", "diff_mean", "diff_ske", "diff_last")
 RANK_STATS = ("count", "max", "min", "mean", "median", "skew", "std", "last")
 
 # Output column -> (log, statistic of day_stats) in catalogue order.
@@ -98,6 +97,8 @@ def _derived(intervals: Sequence[Interval]) -> dict[str, str]:
     }
 
 
+# Outputs that are distances to a scalar of the whole log.
+OFFSETS_FROM_SCALARS = tuple(name for name, sql in _derived(INTERVALS).items() if " - " in sql and not name.endswith("days"))
 RAW_REGISTER = ("register_day", "register_type", "device_type")
 DISTINCTS = {"user_id_video_nui": "video_nui", "user_id_author_nui": "author_nui"}
 # Output columns, log by log; the names in plain text are those of ``_derived``.
@@ -141,11 +142,6 @@ def _unused() -> set[str]:
 MODEL_FEATURES: tuple[str, ...] = tuple(name for name in FEATURES if name not in _unused())
 
 
-def _order_checks() -> Catalogue:
-    stats = ("out_of_order", "first_seq", "last_seq")
-    return {f"{log}_{stat}": (log, stat) for log in GAP_LOGS for stat in stats}
-
-
 def _pivot_parts(sums: DataFrame, used: Sequence[tuple[str, str]]) -> DataFrame:
     """One row per population member with the wanted (log, aggregate) pairs side by side.
 
@@ -160,40 +156,54 @@ def _side(log: str) -> str:
     return f"{log}__"
 
 
-def feature_plan(stacked: DataFrame, register: DataFrame, intervals: Sequence[Interval] = INTERVALS) -> DataFrame:
-    """The lazy plan of the matrix, before gaps of out-of-order users are filled in.
+def feature_matrix(
+    stacked: DataFrame, register: DataFrame, intervals: Sequence[Interval] = INTERVALS, pieces: int | None = None
+) -> DataFrame:
+    """``interval_id, user_id``, the 175 features and ``label`` (NULL where there is no label week), as a lazy plan.
 
     Aggregates first, side by side, and only then the arithmetic over them: the wide
     projection is compiled in small methods, while the output of an aggregate is one
-    method and would grow too large for the JIT compiler.
+    method and would grow too large for the JIT compiler. The gaps of users whose file
+    order disagrees with their days come from their rows and are joined by key.
     """
-    bounds = {"first_seq": "min(first_seq)", "last_seq": "max(last_seq)"}
-    stats = all_stats(intervals) | Stats(bounds, {name: name for name in bounds})
+    stats = all_stats(intervals)
     outputs, used = {}, set()
-    for name, (log, stat) in (day_table_catalogue() | _order_checks()).items():
+    for name, (log, stat) in day_table_catalogue().items():
         outputs[name], aggregates = stats.output_of(stat, _side(log))
         used |= {(log, a) for a in aggregates}
 
-    days = with_day_windows(cut_days_into_parts(day_table(stacked), intervals))
+    table = day_table(stacked)
+    days = with_day_windows(cut_days_into_parts(table, intervals))
     users = _pivot_parts(aggregate_days(days, stats), sorted(used))
     raw = assign_intervals(register.select("user_id", *RAW_REGISTER), "register_day", intervals)
     wide = (
         users.join(distinct_counts(stacked, intervals), KEYS, "left")
         .join(raw, KEYS, "left")
+        .join(_side_by_side(late_gap_stats(stacked, table, intervals, pieces)), KEYS, "left")
         # one row per interval
-        .join(F.broadcast(log_scalars(stacked, intervals)), "interval_id", "left")
+        .join(F.broadcast(log_scalars(table, intervals)), "interval_id", "left")
     )
     # a user with activity rows but only NULL videos has 0 distinct videos, not NULL
     outputs |= {
         name: f"IF(activity_day_count IS NULL, NULL, coalesce({source}, 0))" for name, source in DISTINCTS.items()
     }
     outputs |= {name: name for name in RAW_REGISTER}
+    outputs |= {name: f"coalesce({outputs[name]}, late_{name})" for name in _late_gaps()}
     for name, sql in (_derived(intervals) | {name: outputs[name] for name in DISTINCTS}).items():
         outputs[name] = _inlined(sql, outputs)
     labelled = ", ".join(str(iv.interval_id) for iv in intervals if iv.label_begin is not None)
     label = f"IF(interval_id IN ({labelled or 'NULL'}), int(acted), NULL) AS label"
-    columns = [f"{outputs[name]} AS {name}" for name in (*FEATURES, *_order_checks())]
-    return wide.selectExpr(*KEYS, *columns, label)
+    return wide.selectExpr(*KEYS, *[f"{outputs[name]} AS {name}" for name in FEATURES], label)
+
+
+def _late_gaps() -> Catalogue:
+    return {f"{log}_day_{s}": (log, s) for log in GAP_LOGS for s in GAP_STATS}
+
+
+def _side_by_side(late: DataFrame) -> DataFrame:
+    """Gap statistics of the logs in one row per (interval, user), named ``late_`` and the output."""
+    columns = [f"max(IF(part = '{log}', {s}, NULL)) AS late_{name}" for name, (log, s) in _late_gaps().items()]
+    return aggregate(late, KEYS, columns)
 
 
 def _inlined(sql: str, outputs: dict[str, str]) -> str:
@@ -203,53 +213,15 @@ def _inlined(sql: str, outputs: dict[str, str]) -> str:
     return sql
 
 
-def _out_of_order_totals(broken: DataFrame) -> DataFrame:
-    """(log, user) groups whose gaps the day table could not give, with their row range."""
-    entries = [
-        f"""IF({log}_out_of_order, named_struct('log', '{log}', 'n', {log}_day_count,
-            'first_seq', {log}_first_seq, 'last_seq', {log}_last_seq), NULL)"""
-        for log in GAP_LOGS
-    ]
-    groups = broken.selectExpr("user_id", f"inline(array_compact(array({', '.join(entries)})))")
-    bounds = ["sum(n) AS n", "min(first_seq) AS first_seq", "max(last_seq) AS last_seq"]
-    return aggregate(groups, ("log", "user_id"), bounds)
-
-
-def _fill_gaps(base: DataFrame, stats: DataFrame) -> DataFrame:
-    names = {f"{log}_day_{s}": (log, s) for log in GAP_LOGS for s in GAP_STATS}
-    columns = [f"max(IF(part = '{log}', {s}, NULL)) AS late_{name}" for name, (log, s) in names.items()]
-    return (
-        base.join(aggregate(stats, KEYS, columns), KEYS, "left")
-        .withColumns({name: F.coalesce(name, f"late_{name}") for name in names})
-        .select(*base.columns)
-    )
-
+def write_matrix(matrix: DataFrame, path: str) -> DataFrame:
+    """The matrix written by interval, and read back."""
+    matrix.write.mode("overwrite").partitionBy("interval_id").parquet(path)
+    return matrix.sparkSession.read.schema(matrix.schema).parquet(path)
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a table, partitioned by interval, into the shared folder and read it back."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy("interval_id").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def feature_matrix(
-    stacked: DataFrame,
-    register: DataFrame,
-    intervals: Sequence[Interval] = INTERVALS,
-    piece_rows: int = PIECE_ROWS,
-) -> DataFrame:
-    """``interval_id, user_id``, the 175 features and ``label`` (NULL where there is no label week).
-
-    Runs the plan once, into a stage table in the shared folder. Users whose file order
-    disagrees with their days are then looked up there (a pruned scan with a pushed
-    filter); only if there are any are log rows read again, for those users' gaps.
-    """
-    base = stage(feature_plan(stacked, register, intervals), "features")
-    broken = base.where(" OR ".join(f"{log}_out_of_order" for log in GAP_LOGS))
-    if not broken.isEmpty():
-        totals = _out_of_order_totals(broken)
-        base = stage(_fill_gaps(base, row_gap_stats(stacked, intervals, totals, piece_rows)), "features")
-    return base.select(*KEYS, *FEATURES, "label")
+def staged_matrix(matrix: DataFrame) -> DataFrame:
+    """The matrix written to a new place in the shared folder, and read back."""
+    return write_matrix(matrix, f"{shared_dir(matrix.sparkSession)}/features-{uuid.uuid4().hex}")
 
 
 def used_features(matrix: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -18,6 +19,8 @@ from daygrain.sources.logs import LOGS
 
 TRAIN, VALIDATION, SCORE = 1, 2, 3
 
+# Trees evaluated in one pass over the validation rows.
+BLOCK = 20
 # Rounds, patience of the AUC watch, and tree settings.
 ROUNDS = 57
 PATIENCE = 20
@@ -53,18 +56,58 @@ def fit(assembled: DataFrame, rounds: int = ROUNDS, seed: int = 7) -> GBTClassif
     return gbt.fit(assembled)
 
 
-def scores_by_round(model: GBTClassificationModel, assembled: DataFrame) -> DataFrame:
-    """Each row with ``scores``: the probability after the first 1, 2, ... trees."""
-    outputs = []
-    scored = assembled
-    for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
-        scored = tree.setPredictionCol(f"tree_{i}").transform(scored)
-        outputs.append(f"{weight}d * tree_{i}")
-    margin = "aggregate(slice(outputs, 1, r), 0d, (total, x) -> total + x)"
-    return scored.selectExpr(*assembled.columns, f"array({', '.join(outputs)}) AS outputs").selectExpr(
-        *assembled.columns,
-        f"transform(sequence(1, {len(outputs)}), r -> 1 / (1 + exp(-2 * {margin}))) AS scores",
-    )
+def prefix_scores(df: DataFrame, outputs: Sequence[str], margin: str = "0d") -> DataFrame:
+    """``df`` with ``margins`` and ``scores``: after one more of the tree outputs (SQL) each, starting from ``margin``."""
+    running = f"""aggregate(array({', '.join(outputs)}),
+        named_struct('m', double({margin}), 'all', cast(array() AS array<double>)),
+        (s, x) -> named_struct('m', s.m + x, 'all', array_append(s.all, s.m + x)), s -> s.all) AS margins"""
+    return df.selectExpr("*", running).selectExpr("*", "transform(margins, m -> 1 / (1 + exp(-2 * m))) AS scores")
+
+
+def _with_outputs(model: GBTClassificationModel, assembled: DataFrame, start: int, end: int) -> tuple[DataFrame, list[str]]:
+    """``assembled`` with the predictions of the trees from ``start`` to before ``end``, and their weighted outputs as SQL."""
+    for i in range(start, end):
+        assembled = model.trees[i].setPredictionCol(f"tree_{i}").transform(assembled)
+    return assembled, [f"{model.treeWeights[i]}d * tree_{i}" for i in range(start, end)]
+
+
+def scores_by_round(model: GBTClassificationModel, assembled: DataFrame, rounds: int | None = None) -> DataFrame:
+    """Each row with ``scores``: the probability after the first 1, 2, ... ``rounds`` trees."""
+    scored, outputs = _with_outputs(model, assembled, 0, rounds or len(model.trees))
+    return prefix_scores(scored, outputs).select(*assembled.columns, "scores")
+
+
+def auc_of_rounds(scored: DataFrame) -> list[float | None]:
+    """AUC after each tree, of rows with ``label`` and ``scores``."""
+    long = scored.select("label", F.posexplode("scores").alias("round", "score"))
+    by_round = auc(long, "score", "label", by=["round"]).orderBy("round")
+    return [row["auc"] for row in by_round.collect()]  # one row per boosting round
+
+
+def watch_rounds(model: GBTClassificationModel, validation: DataFrame, patience: int = PATIENCE, block: int = BLOCK) -> list:
+    """AUC after each tree, ``block`` trees at a time, until none of the last ``patience`` rounds is the best.
+
+    Margins are carried from block to block in a table, so that each tree is evaluated once.
+    """
+    keys = ["label", "features"]
+    carried = validation.select(*keys, F.lit(0.0).alias("margin"))
+    values: list[float | None] = []
+    for start in range(0, len(model.trees), block):
+        end = min(start + block, len(model.trees))
+        scored, outputs = _with_outputs(model, carried, start, end)
+        scored = prefix_scores(scored, outputs, "margin")
+        carried = _staged(scored.select(*keys, "scores", F.element_at("margins", -1).alias("margin")))
+        values += auc_of_rounds(carried)
+        if end - pick_round(values, patience) >= patience:
+            break
+        carried = carried.drop("scores")
+    return values
+
+
+def _staged(df: DataFrame) -> DataFrame:
+    path = f"{shared_dir(df.sparkSession)}/rounds-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def pick_round(auc_by_round: list[float | None], patience: int = PATIENCE) -> int:
@@ -81,18 +124,16 @@ def pick_round(auc_by_round: list[float | None], patience: int = PATIENCE) -> in
 def train(assembled: DataFrame, rounds: int = ROUNDS) -> Trained:
     """Fit on the training interval and choose the number of trees by validation AUC."""
     model = fit(assembled.where(F.col("interval_id") == TRAIN), rounds)
-    validation = assembled.where(F.col("interval_id") == VALIDATION)
-    long = scores_by_round(model, validation).select("label", F.posexplode("scores").alias("round", "score"))
-    by_round = auc(long, "score", "label", by=["round"]).orderBy("round")
-    values = tuple(row["auc"] for row in by_round.collect())  # one row per boosting round
-    return Trained(model, pick_round(list(values)), values)
+    values = watch_rounds(model, assembled.where(F.col("interval_id") == VALIDATION))
+    return Trained(model, pick_round(values), tuple(values))
 
 
 def validation_scores(trained: Trained, assembled: DataFrame) -> DataFrame:
     """``user_id, label, result`` on the validation interval, with the chosen trees."""
     validation = assembled.where(F.col("interval_id") == VALIDATION)
-    result = F.element_at("scores", trained.best_round).alias("result")
-    return scores_by_round(trained.model, validation).select("user_id", "label", result)
+    scored, outputs = _with_outputs(trained.model, validation, 0, trained.best_round)
+    result = f"1 / (1 + exp(-2 * ({' + '.join(outputs)}))) AS result"
+    return scored.selectExpr("user_id", "label", result)
 
 
 def evaluate(trained: Trained, assembled: DataFrame) -> DataFrame:
@@ -110,18 +151,25 @@ def importances(trained: Trained, spark) -> DataFrame:
     """
     path = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
     trained.model.write().save(path)
-    splits = (
-        spark.read.parquet(f"{path}/data")
-        .where((F.col("treeID") < trained.best_round) & (F.col("nodeData.split.featureIndex") >= 0))
-        .groupBy(F.col("nodeData.split.featureIndex").alias("position"))
-        .agg(F.count(F.lit(1)).alias("splits"))
+    nodes = spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), F.col("nodeData.split.featureIndex").alias("position")
     )
     gains = trained.model.featureImportances.toArray()
     inputs = [(i, name, float(gains[i])) for i, name in enumerate(INPUTS)]  # one row per model input
+    named = spark.createDataFrame(inputs, "position int, feature string, gain double")
+    return split_counts(nodes, named, trained.best_round)
+
+
+def split_counts(nodes: DataFrame, inputs: DataFrame, best_round: int) -> DataFrame:
+    """``inputs`` (position, feature, ...) with ``important``: their splits in the first trees, fewest first.
+
+    ``nodes`` has the tree and the input's position of each node, negative for a leaf.
+    """
+    splits = nodes.where((F.col("tree") < best_round) & (F.col("position") >= 0)).groupBy("position").count()
+    more = [c for c in inputs.columns if c not in ("position", "feature")]
     return (
-        spark.createDataFrame(inputs, "position int, feature string, gain double")
-        .join(splits, "position", "left")
-        .select("feature", F.coalesce("splits", F.lit(0)).alias("important"), "gain")
+        inputs.join(splits, "position", "left")
+        .select("feature", F.coalesce("count", F.lit(0)).alias("important"), *more)
         .orderBy("important", "feature")
     )
 

@@ -1,7 +1,8 @@
-"""Map a generic ``events`` table to the four logs.
+"""Map a generic ``events`` table to the four logs, every row of it.
 
-Day 1 is ``ORIGIN``. Each user gets a registration day and a churn day from their id;
-only the events between the two are kept, so that both label classes occur.
+Day 1 is ``ORIGIN``. An event belongs to one of ten users derived from its ``user_id``, so
+that some users act in a label week and others don't; each gets a registration day from
+the id.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from daygrain.sources.logs import LOGS
 ORIGIN = datetime.date(2024, 1, 1)
 EVENT_TYPES = {"create": ("purchase",), "launch": ("view",), "activity": ("click", "error", "signup")}
 
-_FIRST_DAY = "int(1 + (user_id * 5) % 28)"
+_USER = "user_id * 100 + event_id % 10"
 _COLUMNS = {
     "create": "user_id, day AS video_create_day, event_id AS seq",
     "launch": "user_id, day AS app_launch_day, event_id AS seq",
@@ -25,31 +26,42 @@ _COLUMNS = {
 }
 
 
-def log_from_events(spark: SparkSession, sf_dir: str, log: str, days: tuple[int, int] = (1, 30)) -> DataFrame:
-    """One log, derived from ``{sf_dir}/events.parquet``."""
+def log_from_events(
+    spark: SparkSession, sf_dir: str, log: str, days: tuple[int, int] | None = None, reverse: bool = False
+) -> DataFrame:
+    """One log, derived from ``{sf_dir}/events.parquet``; only the given days, if any (not of ``register``).
+
+    The rows stand in the order of time, or with ``reverse`` against it.
+    """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     if log == "register":
-        return events.select("user_id").distinct().selectExpr(
+        return events.selectExpr(f"{_USER} AS user_id").distinct().selectExpr(
             "user_id",
-            f"{_FIRST_DAY} AS register_day",
+            "int(1 + (user_id * 5) % 28) AS register_day",
             "int(user_id % 4) AS register_type",
             "int(user_id % 11) AS device_type",
         )
-    start, end = (ORIGIN + datetime.timedelta(days=d) for d in (days[0] - 1, days[1]))
     types = ", ".join(f"'{t}'" for t in EVENT_TYPES[log])
-    # Plain bounds on the stored ts reach the Parquet scan; the derived day would not.
+    columns = _COLUMNS[log].replace("event_id AS seq", "-event_id AS seq") if reverse else _COLUMNS[log]
+    bounds = ""
+    if days:
+        start, end = (ORIGIN + datetime.timedelta(days=d) for d in (days[0] - 1, days[1]))
+        # Plain bounds on the stored ts reach the Parquet scan; the derived day would not.
+        bounds = f" AND ts >= TIMESTAMP_NTZ'{start}' AND ts < TIMESTAMP_NTZ'{end}'"
     sql = f"""
-        SELECT {_COLUMNS[log]}
+        SELECT {columns}
         FROM (
-          SELECT *, datediff(date(ts), DATE'{ORIGIN}') + 1 AS day, int(get_json_object(props, '$.k')) AS k
+          SELECT event_id, {_USER} AS user_id, datediff(date(ts), DATE'{ORIGIN}') + 1 AS day,
+            int(get_json_object(props, '$.k')) AS k
           FROM {{events}}
-          WHERE ts >= TIMESTAMP_NTZ'{start}' AND ts < TIMESTAMP_NTZ'{end}' AND event_type IN ({types})
+          WHERE event_type IN ({types}){bounds}
         )
-        WHERE day BETWEEN {_FIRST_DAY} AND {_FIRST_DAY} + (user_id * 7) % 24
     """
     return spark.sql(sql, events=events)
 
 
-def logs_from_events(spark: SparkSession, sf_dir: str, days: tuple[int, int] = (1, 30)) -> dict[str, DataFrame]:
+def logs_from_events(
+    spark: SparkSession, sf_dir: str, days: tuple[int, int] | None = None, reverse: bool = False
+) -> dict[str, DataFrame]:
     """All four logs."""
-    return {log: log_from_events(spark, sf_dir, log, days) for log in LOGS}
+    return {log: log_from_events(spark, sf_dir, log, days, reverse) for log in LOGS}

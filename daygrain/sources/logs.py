@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,9 +74,10 @@ RAW_FILES = {
 PAGES = (0, 1, 2, 3, 4)
 ACTION_TYPES = (0, 1, 2, 3, 4, 5)
 
-# A file's rows are numbered from its byte offsets; 2**44 leaves 16 TiB per file.
-_FILE_STRIDE = 1 << 44
+# The part of monotonically_increasing_id that numbers the rows of a task.
 _ROW_IN_TASK = (1 << 33) - 1
+# A byte of a compressed file may hold this many rows.
+_ROWS_PER_BYTE = 1 << 10
 
 
 def read_log(spark: SparkSession, path: str, log: str, *, header: bool = False, sep: str = "\t") -> DataFrame:
@@ -85,27 +86,28 @@ def read_log(spark: SparkSession, path: str, log: str, *, header: bool = False,
     ``seq`` grows with (file path, byte offset of the split, row within the split), so
     no task needs to see more than its own split. A full-size split is alone in its
     task and only a file's last split shares one, so the in-task row number keeps the
-    order within each file.
+    order within each file. A file's first number is a running sum over the files before
+    it, so their number is not limited; Spark picks the join with it by its size.
     """
     rows = spark.read.schema(LOGS[log].schema).option("header", header).option("sep", sep).csv(path)
     in_file = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_TASK))
-    files = sorted(rows.inputFiles())
-    if len(files) == 1:
-        return rows.select("*", in_file.alias("seq"))
-    # One row per input file: the driver holds this list anyway to plan the scan.
-    ranks = spark.createDataFrame(list(zip(files, range(len(files)))), "file string, file_no long")
-    ranks = ranks.select(_plain_path(F.col("file")).alias("file"), "file_no")
-    file_no = F.coalesce("file_no", F.raise_error(F.concat(F.lit("file is not in the listing: "), F.col("file"))))
-    return (
-        rows.select("*", in_file.alias("in_file"), _plain_path(F.col("_metadata.file_path")).alias("file"))
-        .join(F.broadcast(ranks), "file", "left")
-        .select(*rows.columns, (file_no * _FILE_STRIDE + F.col("in_file")).alias("seq"))
+    numbered = rows.select("*", in_file.alias("in_file"), _plain_path(F.col("_metadata.file_path")).alias("file"))
+    return numbered.join(_first_numbers(spark, path), "file").select(
+        *rows.columns, (F.col("first_number") + F.col("in_file")).alias("seq")
     )
 
 
+def _first_numbers(spark: SparkSession, path: str) -> DataFrame:
+    """``file, first_number``: numbers that leave each file room for its rows. One row per file; no content is read."""
+    files = spark.read.format("binaryFile").load(path).select(_plain_path(F.col("path")).alias("file"), "length")
+    room = F.col("length") * _ROWS_PER_BYTE + F.lit(_ROW_IN_TASK + 1)
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    return files.select("file", F.coalesce(F.sum(room).over(before), F.lit(0)).alias("first_number"))
+
+
 def _plain_path(path: Column) -> Column:
-    """The listing writes ``file:///a``, the scan ``file:/a``; both become the latter."""
-    return F.regexp_replace(path, "^([a-z0-9]+):/{2,}", "$1:/")
+    """One spelling of a path, whichever reader gives it: ``file:///a b`` and ``file:/a%20b`` alike."""
+    return F.regexp_replace(F.try_url_decode(F.regexp_replace(path, r"\+", "%2B")), "^([a-z0-9]+):/{2,}", "$1:/")
 
 
 def read_ids(spark: SparkSession, path: str, log: str, *, header: bool = True, sep: str = ",") -> DataFrame:
@@ -130,6 +132,14 @@ def write_submission(scores: DataFrame, path: str) -> None:
 
 # Columns of the stacked form that only some logs have, with their types.
 _OPTIONAL = {"page": "int", "video_id": "bigint", "author_id": "bigint", "action_type": "int"}
+_DOMAINS = {"page": PAGES, "action_type": ACTION_TYPES}
+
+
+def _checked(name: str) -> str:
+    """SQL for a code that raises on a value outside the code's domain."""
+    domain = ", ".join(map(str, _DOMAINS[name]))
+    known = f"{name} IS NULL OR {name} IN ({domain})"
+    return f"IF({known}, int({name}), int(raise_error('unknown {name}: ' || {name}))) AS {name}"
 
 
 def stack_logs(logs: Mapping[str, DataFrame], days: tuple[int, int] | None = None) -> DataFrame:
@@ -137,7 +147,8 @@ def stack_logs(logs: Mapping[str, DataFrame], days: tuple[int, int] | None = Non
 
     ``days`` bounds the days kept from every log but ``register``, whose earlier rows
     still decide who belongs to a population. Rows without a user are dropped: no
-    per-user operator keeps them. A register log without ``seq`` is ordered by its day.
+    per-user operator keeps them. A page or action type outside its domain raises an error
+    in the job. A register log without ``seq`` is ordered by its day.
     """
     stacked = None
     for log, df in logs.items():
@@ -146,6 +157,8 @@ def stack_logs(logs: Mapping[str, DataFrame], days: tuple[int, int] | None = Non
             raise ValueError(f"the {log} log needs a seq column that states its row order")
         seq = "seq" if "seq" in df.columns else spec.day
         optional = [f"{kind}({name if name in df.columns else 'NULL'}) AS {name}" for name, kind in _OPTIONAL.items()]
+        # an unknown code has no place among the outputs: better no result than a wrong one
+        optional = [_checked(name) if name in _DOMAINS and name in df.columns else sql for name, sql in zip(_OPTIONAL, optional)]
         in_days = f" AND {spec.day} BETWEEN {days[0]} AND {days[1]}" if days and log != "register" else ""
         rows = df.where(f"user_id IS NOT NULL{in_days}").selectExpr(
             f"'{log}' AS log", "bigint(user_id) AS user_id", f"int({spec.day}) AS day", f"bigint({seq}) AS seq", *optional

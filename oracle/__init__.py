@@ -11,12 +11,11 @@ from daygrain.plans.features import FEATURES, MODEL_FEATURES
 # The logs derived from events, the intervals, and each log row once per interval.
 BASE = """
 ev AS (
-  SELECT event_id, user_id, event_type, ts,
+  SELECT event_id, user_id * 100 + event_id % 10 AS user_id, event_type, ts,
          CAST(date_diff('day', date '2024-01-01', CAST(ts AS DATE)) + 1 AS INTEGER) AS day,
-         CAST(1 + (user_id * 5) % 28 AS INTEGER) AS reg_day,
+         CAST(1 + ((user_id * 100 + event_id % 10) * 5) % 28 AS INTEGER) AS reg_day,
          CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k
   FROM events),
-kept AS (SELECT * FROM ev WHERE day BETWEEN reg_day AND reg_day + (user_id * 7) % 24),
 register AS (
   SELECT DISTINCT user_id, reg_day AS day, CAST(user_id % 4 AS INTEGER) AS register_type,
          CAST(user_id % 11 AS INTEGER) AS device_type FROM ev),
@@ -27,7 +26,7 @@ logs AS (
          CASE WHEN event_type NOT IN ('view', 'purchase') THEN k % 6 END AS action_type,
          CASE WHEN event_type NOT IN ('view', 'purchase') THEN k END AS video_id,
          CASE WHEN event_type NOT IN ('view', 'purchase') THEN k % 17 END AS author_id
-  FROM kept WHERE event_type IN ('view', 'purchase', 'click', 'error', 'signup')
+  FROM ev WHERE event_type IN ('view', 'purchase', 'click', 'error', 'signup')
   UNION ALL SELECT 'register', user_id, day, day, NULL, NULL, NULL, NULL FROM register),
 iv(interval_id, b, e, lb, le, bound) AS (
   VALUES (1, 1, 16, 17, 23, 16), (2, 8, 23, 24, 30, 23), (3, 15, 30, NULL, NULL, 999999)),
@@ -116,6 +115,11 @@ def with_base(select: str, *ctes: str) -> str:
     return "WITH " + ",".join([BASE, *ctes]) + select
 
 
+def reversed_rows(sql: str) -> str:
+    """The same query on logs whose rows stand against the order of time."""
+    return sql.replace("event_id AS seq", "-event_id AS seq")
+
+
 def _stat_ctes(log: str, names: dict[str, str]) -> tuple[list[str], list[str]]:
     """CTEs (one per source) with the named statistics of a log, and their names."""
     by_source: dict[str, list[str]] = {}
@@ -228,6 +232,15 @@ def simple() -> dict[str, str]:
             " CAST(author_id AS BIGINT) AS author_id, action_type FROM logs WHERE part = 'activity'"
         ),
         "tsv_scan_create": with_base(" SELECT user_id, day AS video_create_day FROM logs WHERE part = 'create'"),
+        "tsv_scan_register": with_base(
+            " SELECT user_id, day AS register_day, register_type, device_type FROM register"
+        ),
+        "tsv_scan_launch": with_base(" SELECT user_id, day AS app_launch_day FROM logs WHERE part = 'launch'"),
+        "five_cuts": with_base(
+            """ SELECT interval_id, cut, part AS log, user_id, day, CAST(seq AS BIGINT) AS seq FROM logs JOIN (
+              SELECT interval_id, 'features' AS cut, b, e FROM iv
+              UNION ALL SELECT interval_id, 'label', lb, le FROM iv WHERE lb IS NOT NULL) ON day BETWEEN b AND e"""
+        ),
         "csv_scan_register": with_base(
             " SELECT user_id, day AS register_day, register_type, device_type FROM register"
         ),
@@ -276,3 +289,54 @@ def simple() -> dict[str, str]:
 
 def model_columns(catalogue: dict[str, tuple[str, str]], where: str = "") -> str:
     return matrix(catalogue, MODEL_FEATURES, where)
+
+
+def _tree(node) -> str:
+    if not isinstance(node, tuple):
+        return f"{node}::DOUBLE"
+    feature, threshold, left, right = node
+    return f"CASE WHEN coalesce({feature}, -9999) <= {threshold}::DOUBLE THEN {_tree(left)} ELSE {_tree(right)} END"
+
+
+def _splits(node) -> list[str]:
+    return [node[0], *_splits(node[2]), *_splits(node[3])] if isinstance(node, tuple) else []
+
+
+def ensemble(
+    catalogue: dict[str, tuple[str, str]], trees: tuple, patience: int, inputs: tuple[str, ...]
+) -> dict[str, str]:
+    """The queries on the trees of ``plans.ensemble``."""
+    used = tuple(sorted({name for tree in trees for name in _splits(tree)}))
+    outputs = " UNION ALL ".join(
+        f"SELECT interval_id, user_id, label, {i} AS round, {_tree(t)} AS v FROM matrix_" for i, t in enumerate(trees, 1)
+    )
+    base = f"""WITH matrix_ AS ({matrix(catalogue, used)}), outputs AS ({outputs}),
+      scored_ AS (SELECT interval_id, user_id, label, round, 1 / (1 + exp(-2 * sum(v) OVER (
+        PARTITION BY interval_id, user_id ORDER BY round))) AS score FROM outputs),
+      ranked AS (SELECT round, label, avg(place) OVER (PARTITION BY round, score) AS r FROM (
+        SELECT round, label, score, row_number() OVER (PARTITION BY round ORDER BY score) AS place
+        FROM (SELECT round, label, round(score, 12) AS score FROM scored_ WHERE interval_id = 2))),
+      aucs AS (SELECT round, (sum(r) FILTER (WHERE label = 1) - count(*) FILTER (WHERE label = 1)
+        * (count(*) FILTER (WHERE label = 1) + 1) / 2.0::DOUBLE)
+        / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label = 0)) AS auc FROM ranked GROUP BY round),
+      led AS (SELECT round, auc, (SELECT min(b.round) FROM aucs b WHERE b.round <= a.round AND b.auc = (
+        SELECT max(c.auc) FROM aucs c WHERE c.round <= a.round)) AS lead FROM aucs a),
+      best AS (SELECT lead AS best_round FROM led
+        WHERE round = coalesce((SELECT min(round) FROM led WHERE round - lead >= {patience}), {len(trees)}))"""
+    nodes = ", ".join(f"({i}, '{name}')" for i, t in enumerate(trees, 1) for name in _splits(t))
+    names = ", ".join(f"('{name}')" for name in inputs)
+    return {
+        "ensemble_round_auc": base + " SELECT CAST(round AS INTEGER) AS round, round(auc, 6) AS auc FROM aucs",
+        "ensemble_choice": base + """ SELECT CAST(best_round AS INTEGER) AS best_round,
+          (SELECT round(auc, 6) FROM aucs WHERE round = best_round) AS auc,
+          (SELECT round(avg(-CASE WHEN label = 1 THEN ln(score) ELSE ln(1 - score) END), 6) FROM scored_
+           WHERE interval_id = 2 AND round = best_round) AS log_loss FROM best""",
+        "ensemble_importance": base + f""", nodes(tree, feature) AS (VALUES {nodes}), inputs(feature) AS (VALUES {names}),
+          counted AS (SELECT i.feature, count(n.tree) AS important FROM inputs i LEFT JOIN nodes n
+            ON n.feature = i.feature AND n.tree <= (SELECT best_round FROM best) GROUP BY i.feature)
+          SELECT feature, CAST(important AS BIGINT) AS important,
+            CAST(row_number() OVER (ORDER BY important, feature) AS INTEGER) AS place FROM counted""",
+    } | dict.fromkeys(
+        ("ensemble_scores", "submission_ids"),
+        base + f" SELECT user_id, round(score, 6) AS result FROM scored_ WHERE interval_id = 3 AND round = {len(trees)}",
+    )

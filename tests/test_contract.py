@@ -22,5 +22,6 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_only_trained_queries_lack_an_oracle():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"gbt_train_eval", "gbt_importance", "gbt_submission"}
+    own = {name for name in contract.queries() if not name.startswith("op") and name != "pipeline"}
+    assert own - set(contract.oracle_sql()) == {"gbt_train_eval", "gbt_importance", "gbt_submission"}
     assert set(contract.oracle_sql()) <= set(contract.queries())

@@ -3,9 +3,9 @@ import helpers
 import pytest
 from daygrain.operators import day_stats as stats
 from daygrain.operators.day_table import cut_days, day_table
-from daygrain.operators.gaps import day_gaps, row_gap_stats
+from daygrain.operators.gaps import GAP_STATS, complete_gap_stats, day_gaps, row_gap_stats, split_rows
 from daygrain.operators.intervals import INTERVALS
-from daygrain.plans.features import FEATURES, GAP_STATS, MODEL_FEATURES, feature_matrix
+from daygrain.plans.features import FEATURES, MODEL_FEATURES, feature_matrix
 from pyspark.sql import functions as F
 
 TYPES = {"double", "bigint", "int"}
@@ -22,11 +22,11 @@ def check_matrix(matrix, want):
             assert helpers.same(got, expected.get(name)), (row.interval_id, row.user_id, name, got, expected.get(name))
 
 
-@pytest.mark.parametrize("seed,in_order,piece_rows", [(1, False, 10), (2, True, 10), (3, False, 1_000_000)])
-def test_matrix_matches_brute_force(spark, seed, in_order, piece_rows):
+@pytest.mark.parametrize("seed,in_order,pieces", [(1, False, 40), (2, True, 40), (3, False, None)])
+def test_matrix_matches_brute_force(spark, seed, in_order, pieces):
     logs = helpers.random_logs(seed, in_order=in_order)
     dfs = helpers.frames(spark, logs)
-    matrix = feature_matrix(helpers.stacked(spark, logs), dfs["register"], piece_rows=piece_rows)
+    matrix = feature_matrix(helpers.stacked(spark, logs), dfs["register"], pieces=pieces)
     assert {t for _, t in matrix.dtypes} <= TYPES
     check_matrix(matrix, brute.matrix(logs))
 
@@ -71,10 +71,10 @@ def test_repeated_registration_keeps_every_raw_row(spark):
     assert [(r.register_day, r.register_type, r.register_day_count) for r in rows] == [(2, 0, 2), (9, 1, 2)]
 
 
-@pytest.mark.parametrize("piece_rows", [1, 7, 1_000_000])
-def test_row_gaps_match_brute_force(spark, piece_rows):
+@pytest.mark.parametrize("pieces", [1, 60, None])
+def test_row_gaps_match_brute_force(spark, pieces):
     logs = helpers.random_logs(8, users=8, rows=200)
-    got = day_gaps(helpers.stacked(spark, logs), INTERVALS, piece_rows).where("part <> 'register'").collect()
+    got = day_gaps(helpers.stacked(spark, logs), INTERVALS, pieces).where("part <> 'register'").collect()
     want = {}
     for iv in INTERVALS:
         for log in ("create", "launch", "activity"):
@@ -87,15 +87,15 @@ def test_row_gaps_match_brute_force(spark, piece_rows):
     assert {(r.interval_id, r.user_id, r.part, r.seq): r.gap for r in got} == want
 
 
-@pytest.mark.parametrize("piece_rows", [1, 7, 1_000_000])
-def test_gap_stats_from_rows_equal_gap_stats_from_days(spark, piece_rows):
+@pytest.mark.parametrize("pieces", [1, 60, None])
+def test_gap_stats_from_rows_equal_gap_stats_from_days(spark, pieces):
     stacked = helpers.stacked(spark, helpers.random_logs(9, users=8, rows=200, in_order=True))
     days = cut_days(day_table(stacked), INTERVALS)
     from_days = stats.summarise_windows(days, stats.gap_stats())
     assert from_days.where("out_of_order").isEmpty()
     keys = ["interval_id", "user_id", "part"]
     pairs = from_days.select(*keys, *[F.col(s).alias(f"d_{s}") for s in GAP_STATS]).join(
-        row_gap_stats(stacked, INTERVALS, piece_rows=piece_rows), keys, "full"
+        row_gap_stats(stacked, INTERVALS, pieces=pieces), keys, "full"
     )
     for row in pairs.collect():
         for s in GAP_STATS:
@@ -108,3 +108,50 @@ def test_size_equals_day_count_and_shares_sum_to_one(spark):
     assert matrix.where("video_count_sum <> create_day_count OR rank_create_day_max <> create_day_uni").isEmpty()
     shares = " + ".join(f"page{p}_percent" for p in range(5))
     assert matrix.where(f"abs({shares} - 1) > 1e-9").isEmpty()
+
+
+def test_gap_stats_are_complete_in_any_file_order(spark):
+    logs = helpers.random_logs(12, users=8, rows=200)
+    want = brute.matrix(logs)
+    got = complete_gap_stats(helpers.stacked(spark, logs), INTERVALS, pieces=9).where("part = 'launch'").collect()
+    assert got and all(r.diff_max is not None for r in got)
+    for r in got:
+        if expected := want.get((r.interval_id, r.user_id)):
+            for s in GAP_STATS:
+                assert helpers.same(r[s], expected[f"launch_day_{s}"]), (r, s)
+
+
+def test_no_range_of_rows_is_large_however_seq_clusters(spark):
+    """One user, one early row, and all others numbered close together."""
+    rows = spark.range(40_000).selectExpr(
+        "'launch' AS log", "7L AS user_id", "int(1 + id % 30) AS day", "IF(id = 0, 0L, 1000000000000L + id) AS seq"
+    )
+    pieces = split_rows(rows, 40).groupBy("piece").count().collect()
+    assert max(r["count"] for r in pieces) < 4 * 40_000 / 40
+    gaps = day_gaps(rows.selectExpr("*", "int(NULL) AS page"), INTERVALS, 40)
+    assert gaps.where("interval_id = 1 AND gap NOT IN (0, 1, -15)").isEmpty()
+
+
+def test_unknown_codes_are_refused(spark):
+    logs = helpers.random_logs(13, users=3, rows=10)
+    logs["activity"][0] |= {"user_id": 0, "page": 7, "day": 3}
+    dfs = helpers.frames(spark, logs)
+    with pytest.raises(Exception, match="unknown page: 7"):
+        feature_matrix(helpers.stacked(spark, logs), dfs["register"]).collect()
+
+
+@pytest.mark.parametrize("values", [{5: 10**9, 6: 2, 9: 1}, {0: 10**9, 15: 3}, {29: 10**9, 1: 1}, {1: 1, 2: 1, 30: 10**6}])
+def test_skewness_is_exact_for_heavy_users(spark, values):
+    from fractions import Fraction
+    from math import sqrt
+
+    from daygrain.functions.stats import sample_skewness
+
+    n = sum(values.values())
+    sums = [sum(v**p * c for v, c in values.items()) for p in (1, 2, 3)]
+    mean = Fraction(sums[0], n)
+    m2 = sum(c * (v - mean) ** 2 for v, c in values.items()) / n
+    m3 = sum(c * (v - mean) ** 3 for v, c in values.items()) / n
+    want = sqrt(n) * sqrt(n - 1) / (n - 2) * float(m3) / float(m2) ** 1.5
+    got = spark.range(1).selectExpr(sample_skewness(*[f"{x}L" for x in (n, *sums)]) + " AS s").first().s
+    assert abs(got / want - 1) < 1e-9

@@ -19,11 +19,11 @@ def test_whole_job_from_raw_files(spark, tmp_path):
     job.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), rounds=2)
 
     counts = spark.read.parquet(str(tmp_path / "out" / "features")).groupBy("interval_id").count().collect()
-    assert {r.interval_id: r["count"] for r in counts} == {1: 87, 2: 124, 3: 150}
+    assert {r.interval_id: r["count"] for r in counts} == {1: 857, 2: 1242, 3: 1498}
     header, row = lines(tmp_path / "out" / "metrics")
     assert header == ["best_round", "auc", "log_loss"] and 0 <= float(row[1]) <= 1
     importances = lines(tmp_path / "out" / "importances")
     assert importances[0] == ["feature", "important", "gain"] and len(importances) == 126
     scores = lines(tmp_path / "out" / "submission")
-    assert len(scores) == len({user for user, _ in scores}) == 150
+    assert len(scores) == len({user for user, _ in scores}) == 1498
     assert all(0 < float(p) < 1 for _, p in scores)

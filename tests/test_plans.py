@@ -4,9 +4,10 @@ import re
 
 import helpers
 import pytest
-from daygrain.operators.gaps import row_gap_stats, user_totals
+from daygrain import job
+from daygrain.operators.gaps import row_gap_stats
 from daygrain.operators.intervals import INTERVALS, day_span
-from daygrain.plans.features import feature_plan
+from daygrain.plans.features import feature_matrix
 from daygrain.sources.events import logs_from_events
 from daygrain.sources.logs import stack_logs
 
@@ -27,27 +28,48 @@ def formatted(df):
 
 
 def test_event_scan_is_pruned_and_bounded(spark):
-    logs = logs_from_events(spark, "/root/testdata/sf0.001")
+    logs = logs_from_events(spark, "/root/testdata/sf0.001", (1, 16))
     plan = formatted(logs["launch"])
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(ts,.*LessThan\(ts,", plan)
     assert re.search(r"PushedFilters: \[.*EqualTo\(event_type,view\)", plan)
+    assert "2024-01-17" in plan
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
 
 
 def test_feature_plan_shuffles(spark, no_broadcast):
     logs = helpers.frames(spark, helpers.random_logs(1, users=3, rows=20))
     stacked = stack_logs(logs, day_span(INTERVALS))
-    plan = plan_of(feature_plan(stacked, logs["register"]))
-    # day table, windows, distinct values, distinct counts, raw register, scalars (per day, per interval)
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 7
+    plan = plan_of(feature_matrix(stacked, logs["register"]))
+    # day table (three readers of one exchange), windows, distinct values, distinct counts, raw register, scalars
+    # (per day, per interval), late users (their days, the users, rows by piece, pieces, late rows side by side)
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 18
     assert "Cartesian" not in plan and "NestedLoop" not in plan
     assert "Python" not in plan and "Exchange SinglePartition" not in plan
 
 
+def test_interval_cut_reads_its_own_days(spark):
+    import __spark_entry__ as contract
+
+    plan = formatted(contract.queries()["interval_cut"](spark, "/root/testdata/sf0.001"))
+    assert "2024-01-17" in plan and "2024-01-31" not in plan
+
+
 def test_row_gap_plan_spreads_heavy_users(spark, no_broadcast):
     stacked = helpers.stacked(spark, helpers.random_logs(1, users=3, rows=20))
-    plan = plan_of(row_gap_stats(stacked, INTERVALS, user_totals(stacked)))
-    # no row-level shuffle on the user alone: rows are hashed with their piece, totals are pre-aggregated
-    row_shuffles = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(log#\d+, user_id#\d+L, piece", line)]
-    assert row_shuffles
-    assert "NestedLoop" not in plan
+    plan = plan_of(row_gap_stats(stacked, INTERVALS))
+    assert "rangepartitioning" in plan and "NestedLoop" not in plan
+    # rows are hashed with their piece, never on the user alone
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "piece" in line or "Aggregate" not in line
+
+
+def test_job_parses_each_raw_log_once(spark, tmp_path):
+    from daygrain.sources.logs import LOGS, RAW_FILES, write_raw_log
+
+    for log, df in logs_from_events(spark, "/root/testdata/sf0.001").items():
+        write_raw_log(df, str(tmp_path / "in" / RAW_FILES[log]), log)
+    logs = job.ingest(spark, str(tmp_path / "in"), str(tmp_path / "logs"))
+    plan = plan_of(feature_matrix(stack_logs(logs, day_span(INTERVALS)), logs["register"]))
+    assert "FileScan csv" not in plan and "FileScan parquet" in plan
+    assert set(logs) == set(LOGS)
