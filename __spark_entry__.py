@@ -56,7 +56,8 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 def _matrix(spark: SparkSession, sf_dir: str, reverse: bool = False) -> DataFrame:
     logs = logs_from_events(spark, sf_dir, SPAN, reverse)
-    return features.feature_matrix(stack_logs(logs, SPAN), logs["register"])
+    stacked = stack_logs(logs, SPAN)
+    return features.feature_matrix(stacked, logs["register"], days=features.staged_days(stacked))
 
 
 def _staged_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,7 +229,7 @@ def queries() -> dict[str, Query]:
     out["gbt_importance"] = lambda s, d: model.train_importances(_staged_matrix(s, d))
     out["gbt_submission"] = lambda s, d: model.refit_and_score(_staged_matrix(s, d))
     if llm:
-        out |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+        out |= llm.QUERIES | {"pipeline": llm.on_workers(corpus_pipeline.run)}
     return out
 
 

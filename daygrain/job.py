@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daygrain.operators.intervals import INTERVALS, day_span
 from daygrain.plans import model
-from daygrain.plans.features import feature_matrix, write_matrix
+from daygrain.plans.features import feature_matrix, staged_days, write_matrix
 from daygrain.sources.logs import LOGS, RAW_FILES, read_log, stack_logs, write_submission, write_table
 
 
@@ -29,7 +29,8 @@ def ingest(spark: SparkSession, source: str, target: str) -> dict[str, DataFrame
 
 def run(spark: SparkSession, source: str, target: str, rounds: int = model.ROUNDS) -> None:
     logs = ingest(spark, source, f"{target}/logs")
-    matrix = feature_matrix(stack_logs(logs, day_span(INTERVALS)), logs["register"])
+    stacked = stack_logs(logs, day_span(INTERVALS))
+    matrix = feature_matrix(stacked, logs["register"], days=staged_days(stacked))
     matrix = write_matrix(matrix, f"{target}/features")
 
     assembled = model.assemble(matrix)

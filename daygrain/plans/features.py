@@ -157,10 +157,17 @@ def _side(log: str) -> str:
 
 
 def feature_matrix(
-    stacked: DataFrame, register: DataFrame, intervals: Sequence[Interval] = INTERVALS, pieces: int | None = None
+    stacked: DataFrame,
+    register: DataFrame,
+    intervals: Sequence[Interval] = INTERVALS,
+    pieces: int | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """``interval_id, user_id``, the 175 features and ``label`` (NULL where there is no label week), as a lazy plan.
 
+    ``days`` is the day table of ``stacked`` if it is stored (``staged_days``); three readers
+    then share one pass over the logs.
+
     Aggregates first, side by side, and only then the arithmetic over them: the wide
     projection is compiled in small methods, while the output of an aggregate is one
     method and would grow too large for the JIT compiler. The gaps of users whose file
@@ -172,7 +179,7 @@ def feature_matrix(
         outputs[name], aggregates = stats.output_of(stat, _side(log))
         used |= {(log, a) for a in aggregates}
 
-    table = day_table(stacked)
+    table = day_table(stacked) if days is None else days
     days = with_day_windows(cut_days_into_parts(table, intervals))
     users = _pivot_parts(aggregate_days(days, stats), sorted(used))
     raw = assign_intervals(register.select("user_id", *RAW_REGISTER), "register_day", intervals)
@@ -219,6 +226,14 @@ def write_matrix(matrix: DataFrame, path: str) -> DataFrame:
     return matrix.sparkSession.read.schema(matrix.schema).parquet(path)
 
 
+def staged_days(stacked: DataFrame) -> DataFrame:
+    """The day table written to a new place in the shared folder, and read back."""
+    days = day_table(stacked)
+    path = f"{shared_dir(stacked.sparkSession)}/days-{uuid.uuid4().hex}"
+    days.write.parquet(path)
+    return stacked.sparkSession.read.schema(days.schema).parquet(path)
+
+
 def staged_matrix(matrix: DataFrame) -> DataFrame:
     """The matrix written to a new place in the shared folder, and read back."""
     return write_matrix(matrix, f"{shared_dir(matrix.sparkSession)}/features-{uuid.uuid4().hex}")
