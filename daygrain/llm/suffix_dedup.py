@@ -22,8 +22,8 @@ from daygrain.llm import repeats
 from daygrain.llm.common import Batches, staged, table
 
 SIZE, GRAM = 400, 64
-#: Bytes sorted at once, suffixes of one bucket of a block, and contents of an anchor that one task sorts.
-BLOCK, BUCKET, SORTED_CONTENTS = 4 << 20, 1 << 18, 1024
+#: Bytes of strings sorted at once, bytes of one anchor's strings that a task sorts, and suffixes of one bucket.
+BLOCK, ANCHOR_BYTES, BUCKET = 4 << 20, 16 << 20, 1 << 18
 STEP = 8
 PERIOD = STEP * STEP
 #: 0..7 and the multiples of 8: every difference modulo 64 is one of the second less one of the first.
@@ -48,26 +48,28 @@ class Suffixes:
         pad = 2 * PERIOD + depth
         raw = np.zeros(self.n + pad + 8, np.uint8)
         raw[: self.n] = np.frombuffer(text, np.uint8)
-        self.words = np.zeros(self.n + pad, np.uint64)  # eight bytes from each position on, as a number
-        for j in range(8):
-            self.words = (self.words << np.uint64(8)) | raw[j : j + self.n + pad]
+        self.eights = np.ndarray((self.n + pad,), ">u8", raw.data, strides=(1,))  # the eight bytes from each place on
         sample = np.flatnonzero(np.isin(np.arange(self.n + PERIOD) % PERIOD, COVER))
-        self.rank = np.zeros(self.n + pad, np.int64)
-        order = np.lexsort([self.words[sample + 8 * j] for j in reversed(range(STEP))])
+        self.rank = np.zeros(self.n + pad, np.int32)
+        order = np.lexsort([self.words(sample + 8 * j) for j in reversed(range(STEP))])
         rows = sample[order]
         new = np.zeros(len(rows), bool)
         for j in range(STEP):
-            new[1:] |= self.words[rows[1:] + 8 * j] != self.words[rows[:-1] + 8 * j]
+            new[1:] |= np.diff(self.words(rows + 8 * j)) != 0
         self.rank[rows] = np.cumsum(new) + 1
         reach = PERIOD
         while reach < depth:
-            pairs = self.rank[sample] * (len(sample) + 2) + self.rank[sample + reach]
+            pairs = self.rank[sample].astype(np.int64) * (len(sample) + 2) + self.rank[sample + reach]
             self.rank[sample] = np.unique(pairs, return_inverse=True)[1] + 1
             reach *= 2
 
+    def words(self, places: np.ndarray) -> np.ndarray:
+        """The eight bytes at each place as a number that sorts like them."""
+        return self.eights[places].astype(np.uint64)
+
     def ordered(self, places: np.ndarray) -> Iterator[np.ndarray]:
         """The places in the order of their suffixes, bucket by bucket."""
-        lead = self.words[places] >> np.uint64(48)
+        lead = self.words(places) >> np.uint64(48)
         places = places[np.argsort(lead, kind="stable")]
         ends = np.cumsum(np.bincount(lead.astype(np.int64)))
         at = 0
@@ -80,7 +82,7 @@ class Suffixes:
     def _sorted(self, places: np.ndarray) -> np.ndarray:
         group = np.zeros(len(places), np.int64)
         for j in range(STEP):
-            self._refine(places, group, lambda p, _: self.words[p + 8 * j])
+            self._refine(places, group, lambda p, _: self.words(p + 8 * j))
         settled = np.zeros(len(places), bool)
         while self._refine(places, group, self._against, settled):
             pass
@@ -121,7 +123,10 @@ def repeated(bodies: list[bytes], size: int) -> np.ndarray:
     within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     places = np.repeat(starts, counts) + within
     suffixes = Suffixes(text, size + PERIOD)
-    hashes = repeats.rolled(repeats.prefix(repeats.byte_units(text)), size)
+    hashes = np.empty(len(text), np.uint64)
+    for at in range(0, len(text) - size + 1, repeats.SEGMENT):
+        part = repeats.rolled(repeats.prefix(repeats.byte_units(text[at : at + repeats.SEGMENT + size - 1])), size)
+        hashes[at : at + len(part)] = part
     flags = np.zeros(len(text), bool)
     for order in suffixes.ordered(places):
         same = hashes[order[1:]] == hashes[order[:-1]]
@@ -200,9 +205,10 @@ def remove_repeats(
     rivals = live.where("mixed AND is_first")
     schema = "anchor long, row_key long, place long, body binary"
     rows = staged(repeats.picked(body, rivals, strings, schema), "strings")
-    # an anchor of many contents, such as the start of a common passage, is compared by counted
-    # window hashes, which Spark spreads over the tasks
-    many = rivals.groupBy("anchor").count().where(F.col("count") > SORTED_CONTENTS).select("anchor")
+    # an anchor whose strings would not fit a task's memory, as at the start of a very common passage,
+    # is compared by counted window hashes, which Spark spreads over the tasks
+    sizes = rows.groupBy("anchor").agg(F.sum(F.octet_length("body")).alias("size"))
+    many = sizes.where(F.col("size") > ANCHOR_BYTES).select("anchor")
     few = rows.join(many, "anchor", "left_anti").select(*rows.columns)
     found = few.repartition("anchor").sortWithinPartitions("anchor", "row_key", "place")
     found = found.mapInArrow(sort_buckets, "row_key long, place long")
