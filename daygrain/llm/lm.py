@@ -22,6 +22,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,11 @@ from pyspark.sql import functions as F
 from daygrain.llm.common import Batches, as_bytes, crc_fold, staged, table
 
 #: Words in the broadcast dictionary at most, and output words among them.
-DICTIONARY, OUTPUTS = 1 << 17, 4096
-CLASSES, TAILS = 64, 64
-STATE, STEPS, LANES, RATE, SEED = 16, 32, 128, 0.1, 7
+DICTIONARY, OUTPUTS = 1 << 17, 2048
+CLASSES, TAILS = 32, 32
+STATE, STEPS, LANES, RATE, SEED = 16, 32, 256, 0.1, 7
+#: Output weights stay within this, so that with states below 1 no exponential overflows.
+LARGEST = 3.0
 #: Sixteenths of the training documents in each round.
 ROUNDS = (1, 2, 4, 9)
 #: Distinct words counted by a task before they are passed on, and floats of a block of weights.
@@ -175,103 +178,112 @@ class Model:
         of = np.repeat(np.arange(heads), np.diff(self.starts))
         return np.concatenate([of, heads + np.arange(TAILS)])
 
-    def forward(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, list]:
+    def forward(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
         """States after each step of ids (steps x lanes) from h, and what the way back needs."""
-        n, kept = h.shape[1], []
-        states = np.empty((*ids.shape, n), np.float32)
-        inputs = self.x[ids]
+        n = h.shape[1]
+        shape = (*ids.shape, n)
+        states = np.empty(shape, h.dtype)
+        gates_of, rh_of, new_of = np.empty((*ids.shape, 2 * n), h.dtype), np.empty(shape, h.dtype), np.empty(shape, h.dtype)
+        inputs = np.take(self.x, ids.ravel(), axis=0).reshape(*ids.shape, -1)
         u_gates, u_new = self.u[:, : 2 * n].copy(), self.u[:, 2 * n :].copy()
+        first = h
         for t in range(len(ids)):
-            gates = 1 / (1 + np.exp(-(inputs[t, :, : 2 * n] + h @ u_gates)))
-            z, r = gates[:, :n], gates[:, n:]
-            rh = r * h
-            new = np.tanh(inputs[t, :, 2 * n :] + rh @ u_new)
-            kept.append((h, z, r, rh, new))
-            h = h + z * (new - h)
-            states[t] = h
-        return states, kept
+            gates, rh, new = gates_of[t], rh_of[t], new_of[t]
+            np.matmul(h, u_gates, out=gates)
+            gates += inputs[t, :, : 2 * n]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            np.multiply(gates[:, n:], h, out=rh)
+            np.matmul(rh, u_new, out=new)
+            new += inputs[t, :, 2 * n :]
+            np.tanh(new, out=new)
+            h = np.add(h, gates[:, :n] * (new - h), out=states[t])
+        before = np.concatenate([first[None], states[:-1]])
+        return states, (before, gates_of, rh_of, new_of)
 
     def output(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> np.ndarray:
-        """Log-probabilities of targets (rows); with ``grads``, also the gradient of their sum by the states."""
-        classes = self.classes[targets]
-        rows = np.arange(len(targets))
-        logits = states @ self.wc.T + self.bc
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        total = p.sum(axis=1)
-        out = logits[rows, classes].astype(np.float64) - np.log(total)
-        if grads is not None:
-            p *= (-1 / total)[:, None]
-            p[rows, classes] += 1
-            back = p @ self.wc
-            grads["wc"], grads["bc"] = p.T @ states, p.sum(axis=0)
+        """Log-probabilities of targets (rows); with ``grads``, also the gradients of their sum."""
+        classes = np.take(self.classes, targets)
         order = np.argsort(classes, kind="stable")
-        edges = np.searchsorted(classes[order], np.arange(len(self.starts)))
-        for c in np.flatnonzero(np.diff(edges)):
+        s, of, word = states[order], classes[order], targets[order]
+        p = s @ self.wc.T
+        p += self.bc
+        logs = p[np.arange(len(of)), of].astype(np.float64)
+        np.exp(p, out=p)
+        total = p @ np.ones(p.shape[1], p.dtype)
+        logs -= np.log(total)
+        edges = np.searchsorted(of, np.arange(len(self.bc) + 1))
+        if grads is not None:
+            share = (1 / total)[:, None]
+            back = np.take(self.wc, of, axis=0) - (p @ self.wc) * share
+            grads["wc"], grads["bc"] = -(p.T @ (s * share)), -(share[:, 0] @ p)
+            full = np.flatnonzero(np.diff(edges))
+            grads["wc"][full] += np.add.reduceat(s, edges[full], axis=0)
+            grads["bc"][full] += np.diff(edges)[full]
+        for c in np.flatnonzero(np.diff(edges[: len(self.starts)])):
             a, b = self.starts[c], self.starts[c + 1]
             if b - a == 1:
                 continue
-            here = order[edges[c] : edges[c + 1]]
-            s = states[here]
-            inner = s @ self.ww[a:b].T + self.bw[a:b]
-            inner -= inner.max(axis=1, keepdims=True)
-            q = np.exp(inner)
-            sums = q.sum(axis=1)
-            at = np.arange(len(here)), targets[here] - a
-            out[here] += inner[at] - np.log(sums)
+            here = slice(edges[c], edges[c + 1])
+            h, at = s[here], word[here] - a
+            q = h @ self.ww[a:b].T
+            q += self.bw[a:b]
+            logs[here] += q[np.arange(len(at)), at]
+            np.exp(q, out=q)
+            sums = q @ np.ones(b - a, q.dtype)
+            logs[here] -= np.log(sums)
             if grads is not None:
                 q *= (-1 / sums)[:, None]
-                q[at] += 1
+                q[np.arange(len(at)), at] += 1
                 back[here] += q @ self.ww[a:b]
-                grads["ww"][a:b], grads["bw"][a:b] = q.T @ s, q.sum(axis=0)
+                grads["ww"][a:b], grads["bw"][a:b] = q.T @ h, q.sum(axis=0)
+        out = np.empty_like(logs)
+        out[order] = logs
         if grads is not None:
-            grads["states"] = back
+            grads["states"] = np.empty_like(back)
+            grads["states"][order] = back
         return out
 
-    def backward(self, kept: list, dstates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def backward(self, kept: tuple, dstates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Gradients of the gate inputs (steps x lanes x 3n) and of u."""
         n = dstates.shape[2]
+        before, gates, rh, new = kept
+        z, r = gates[:, :, :n], gates[:, :, n:]
+        by_z, by_new, by_r, stay = (new - before) * z * (1 - z), z * (1 - new * new), before * r * (1 - r), 1 - z
         u_gates, u_new = self.u[:, : 2 * n].T.copy(), self.u[:, 2 * n :].T.copy()
-        dinputs = np.empty((*dstates.shape[:2], 3 * n), np.float32)
+        dinputs = np.empty((*dstates.shape[:2], 3 * n), dstates.dtype)
         dh = np.zeros_like(dstates[0])
-        for t in reversed(range(len(kept))):
-            h, z, r, rh, new = kept[t]
-            dh = dh + dstates[t]
-            dnew = dh * z * (1 - new * new)
-            drh = dnew @ u_new
+        for t in reversed(range(len(dstates))):
+            dh += dstates[t]
             d = dinputs[t]
-            d[:, :n] = dh * (new - h) * z * (1 - z)
-            d[:, n : 2 * n] = drh * h * r * (1 - r)
-            d[:, 2 * n :] = dnew
-            dh = dh * (1 - z) + drh * r + d[:, : 2 * n] @ u_gates
-        before = np.concatenate([k[0] for k in kept])
-        reset = np.concatenate([k[3] for k in kept])
+            dnew = np.multiply(dh, by_new[t], out=d[:, 2 * n :])
+            drh = dnew @ u_new
+            np.multiply(dh, by_z[t], out=d[:, :n])
+            np.multiply(drh, by_r[t], out=d[:, n : 2 * n])
+            dh *= stay[t]
+            drh *= r[t]
+            dh += drh
+            dh += d[:, : 2 * n] @ u_gates
         flat = dinputs.reshape(-1, 3 * n)
-        du = np.concatenate([before.T @ flat[:, : 2 * n], reset.T @ flat[:, 2 * n :]], axis=1)
-        return dinputs, du
+        du = [before.reshape(-1, n).T @ flat[:, : 2 * n], rh.reshape(-1, n).T @ flat[:, 2 * n :]]
+        return dinputs, np.concatenate(du, axis=1)
 
 
 def _windows(docs: list[np.ndarray], end: int, steps: int):
-    """Documents side by side, long ones first, in windows: (inputs, targets, valid, lanes that go on)."""
+    """Documents side by side, long ones first, in windows of (inputs, targets, valid); each from the word before."""
     docs = sorted(docs, key=len, reverse=True)
     lengths = np.array([len(d) for d in docs])
+    flat = np.concatenate(docs).astype(np.int64)
+    starts = np.cumsum(lengths) - lengths
     for at in range(0, int(lengths[0]), steps):
         lanes = int((lengths > at).sum())
-        parts = [d[max(0, at - 1) : at + steps] for d in docs[:lanes]]
-        width = max(len(p) for p in parts) - (at > 0)
-        inputs = np.full((width, lanes), end, np.int64)
-        targets = np.full((width, lanes), end, np.int64)
-        valid = np.zeros((width, lanes), bool)
-        for i, p in enumerate(parts):
-            p = p.astype(np.int64)
-            here = p[1:] if at else p
-            targets[: len(here), i] = here
-            valid[: len(here), i] = True
-            if at:
-                inputs[: len(here), i] = p[:-1]
-            else:
-                inputs[1 : len(here), i] = p[:-1]
-        yield inputs, targets, valid
+        step = np.arange(at, min(at + steps, int(lengths[0])))[:, None]
+        valid = step < lengths[:lanes]
+        place = np.where(valid, starts[:lanes] + step, 0)
+        inputs = np.where(step > 0, flat[place - 1], end)
+        yield inputs, flat[place], valid
 
 
 class Trainer:
@@ -287,6 +299,8 @@ class Trainer:
         square = grad * grad
         seen[rows] += square if a.ndim == 1 else square.mean(axis=1, keepdims=True)
         a[rows] += self.rate * grad / np.sqrt(seen[rows])
+        if which > 1 and a.ndim > 1:
+            a[rows] = np.clip(a[rows], -LARGEST, LARGEST)
 
     def learn(self, docs: list[np.ndarray]) -> None:
         h = np.zeros((len(docs), self.m.u.shape[0]), np.float32)
@@ -355,36 +369,33 @@ def _encoded(docs: DataFrame, v: Vocabulary) -> DataFrame:
     def run(batches: Batches) -> Batches:
         v = shared.value
         log_total = np.log10(v.tail_total)
-        known: dict[bytes, tuple[int, float, float]] = {}
-        for w, c in v.counts.items():
-            i = v.ids.get(w)
-            log = float(np.log10(c + 0.5))
+        words_known = [*v.counts, *([] if END in v.counts else [END])]
+        place = {w: i for i, w in enumerate(words_known)}
+        ids_of, logs, tails = (np.zeros(len(place) + TAILS, t) for t in (np.uint16, float, float))
+        for w, i in place.items():
+            logs[i] = np.log10(v.counts.get(w, 0) + 0.5)
             k = tail_class(w)
-            known[w] = (i, log, 0.0) if i is not None else (v.n_out + k, log, log - float(log_total[k]))
-        end = v.ids[END]
-        known.setdefault(END, (end, float(np.log10(0.5)), 0.0))
+            ids_of[i] = v.ids.get(w, v.n_out + k)
+            if w not in v.ids:
+                tails[i] = logs[i] - log_total[k]
+        # a word beyond the dictionary has the place of its tail class
+        ids_of[len(place) :] = v.n_out + np.arange(TAILS)
+        tails[len(place) :] = -log_total
         unseen_end = END not in v.counts
         for batch in batches:
             rows = []
             for text in as_bytes(batch.column("text")):
                 words = tokens(text)
-                found = list(map(known.get, words))
+                at = np.fromiter(map(place.get, words, repeat(-1)), np.int32, len(words))
                 rare: Counter = Counter()
-                tail = 0.0
-                if None in found:
-                    for at, f in enumerate(found):
-                        if f is None:
-                            w = words[at]
-                            rare[w] += 1
-                            k = tail_class(w)
-                            found[at] = (v.n_out + k, 0.0, -float(log_total[k]))
-                ids, logs, tails = zip(*found)
-                tail += sum(tails)
-                n_rare = sum(rare.values())
+                if len(beyond := np.flatnonzero(at < 0)):
+                    other = [words[i] for i in beyond.tolist()]
+                    rare.update(other)
+                    at[beyond] = [len(place) + tail_class(w) for w in other]
                 rows.append(
                     (
-                        np.array(ids, np.uint16).tobytes(), len(words), len(words) - n_rare - unseen_end, sum(logs), tail,
-                        [{"word": w, "n": n} for w, n in rare.items()],
+                        ids_of[at].tobytes(), len(words), len(words) - len(beyond) - unseen_end, float(logs[at].sum()),
+                        float(tails[at].sum()), [{"word": w, "n": n} for w, n in rare.items()],
                     )
                 )
             pair = pa.struct([("word", pa.binary()), ("n", pa.int64())])
@@ -462,7 +473,7 @@ def score_documents(
     end = v.ids[END]
 
     def run(batches: Batches) -> Batches:
-        for keys, ids in _groups(batches, 2 * LANES):
+        for keys, ids in _groups(batches, LANES):
             logs = score(shared.value, ids, end) / np.log(10)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(logs)], names=["row_key", "model"])
 
