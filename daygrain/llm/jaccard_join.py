@@ -7,11 +7,13 @@ give the pairs that may link, and these are verified exactly.
 In so many dimensions a tree over all points prunes little above its leaves, so points are
 first brought together by their groups: sets of a and b shingles with a Jaccard similarity
 of 4/5 differ in at most (a + b) / 9, so of more groups than that one has the same
-shingles in both. Each group's content is a key, and each key's documents get a tree.
+shingles in both. Each group's content is a key; documents without a common key cannot link.
 
-Documents with equal sets are one class from the start. Classes linked by a first round,
-one verified pair a class, need no further pairs among themselves, so that a cluster of m
-near copies costs about m verifications.
+Documents with equal sets are one class from the start. The least class of a key is its hub.
+A first round verifies one pair a class, with the likeliest of its hubs; classes in one
+component need no further pairs among themselves. A second round builds a tree over each
+hub's documents and verifies the pairs between components that the points leave. So a
+cluster of m near copies costs about m verifications, not m squared.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ U = np.uint64
 WORDS = 5
 #: Similarity, as a fraction; the keys below are exact for it.
 NUMERATOR, DENOMINATOR = 4, 5
-#: Coordinates of a point, points of a leaf, children of a node.
-GROUPS, LEAF, FAN = 128, 32, 8
+#: Coordinates of a point at least and, from as many shingles on, at most; points of a leaf, children of a node.
+LEAST, MOST, LEAF, FAN = 64, 1 << 17, 32, 8
 
 
 def shingles(text: bytes | None, words: int = WORDS) -> np.ndarray:
@@ -56,7 +58,20 @@ def _group(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def counts(hashes: np.ndarray) -> np.ndarray:
-    return np.minimum(np.bincount(_group(mixed(hashes), GROUPS), minlength=GROUPS), 65535).astype(np.uint16)
+    """The point of a set: a power of two of coordinates, no fewer than shingles, each in a byte."""
+    groups = min(MOST, max(LEAST, 1 << len(hashes).bit_length()))
+    while True:
+        point = np.bincount(_group(mixed(hashes), groups), minlength=groups)
+        if point.max() < 256:
+            return point.astype(np.uint8)
+        groups *= 2
+
+
+def folded(points: list[bytes]) -> np.ndarray:
+    """Points in one matrix: those of more coordinates give sums of neighbouring ones."""
+    raw = [np.frombuffer(p, np.uint8) for p in points]
+    least = min(map(len, raw))
+    return np.stack([p.reshape(least, -1).sum(axis=1, dtype=np.uint32) for p in raw])
 
 
 @lru_cache(None)
@@ -116,7 +131,7 @@ class CountTree:
     @staticmethod
     def _may(most_a, most_b, low_a, low_b, high_a, high_b) -> np.ndarray:
         """Whether the summed minima, and the sizes, leave room for a link. Linked sets share 4/9 of their sizes' sum."""
-        shared = np.minimum(most_a, most_b).astype(np.int64).sum(axis=1)
+        shared = np.minimum(most_a, most_b).sum(axis=1, dtype=np.int64)
         near = (DENOMINATOR * high_a >= NUMERATOR * low_b) & (DENOMINATOR * high_b >= NUMERATOR * low_a)
         return near & ((NUMERATOR + DENOMINATOR) * shared >= NUMERATOR * (low_a + low_b))
 
@@ -129,18 +144,26 @@ class CountTree:
             a, b = a[apart], b[apart]
             may = [
                 self._may(most[i], most[j], low[i], low[j], high[i], high[j])
-                for i, j in _slices(a, b)
+                for i, j in _slices(a, b, most.shape[1])
             ]
             may = np.concatenate(may) if may else np.empty(0, bool)
             a, b = a[may], b[may]
-            width, below = (FAN, len(self.levels[depth - 1][1])) if depth else (LEAF, len(self.sizes))
-            a, b = self._below(a, b, width, below)
-        keep = [
-            self._may(self.points[i], self.points[j], *[self.sizes[x] for x in (i, j, i, j)]) & (self.parts[i] != self.parts[j])
-            for i, j in _slices(a, b)
+            if depth:
+                a, b = self._below(a, b, FAN, len(self.levels[depth - 1][1]))
+        found = [self._across(*self._below(i, j, LEAF, len(self.sizes))) for i, j in _slices(a, b, 1 << 13)]
+        a, b = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64),) * 2
+        return self.order[a], self.order[b]
+
+    def _across(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the pairs of points that may link and lie in different parts."""
+        apart = self.parts[a] != self.parts[b]
+        a, b = a[apart], b[apart]
+        may = [
+            self._may(self.points[i], self.points[j], *[self.sizes[x] for x in (i, j, i, j)])
+            for i, j in _slices(a, b, self.points.shape[1])
         ]
-        keep = np.concatenate(keep) if keep else np.empty(0, bool)
-        return self.order[a[keep]], self.order[b[keep]]
+        may = np.concatenate(may) if may else np.empty(0, bool)
+        return a[may], b[may]
 
     @staticmethod
     def _below(a: np.ndarray, b: np.ndarray, width: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -152,7 +175,9 @@ class CountTree:
         return left[fine], right[fine]
 
 
-def _slices(a: np.ndarray, b: np.ndarray, step: int = 1 << 14):
+def _slices(a: np.ndarray, b: np.ndarray, width: int):
+    """Parts of the pairs whose points take about 8 MB."""
+    step = max(1, (1 << 21) // width)
     return ((a[i : i + step], b[i : i + step]) for i in range(0, len(a), step))
 
 
@@ -206,20 +231,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     points = classes.select("id", "n", "point")
     hubs = points.withColumnsRenamed({"id": "hub", "n": "hub_n", "point": "hub_point"})
     stars = live.where("id <> hub").select("id", "hub").distinct()
-    stars = stars.join(points, "id").join(hubs, "hub").mapInArrow(_bounded, "id long, hub long, score double")
-    best = stars.groupBy("id").agg(F.max_by("hub", F.struct("score", -F.col("hub"))).alias("hub"))
+    stars = stars.join(points, "id").join(hubs, "hub")
+    stars = staged(stars.mapInArrow(_bounded, "id long, hub long, may boolean, near boolean, score double"), "stars")
+    best = stars.where("may").groupBy("id").agg(F.max_by("hub", F.struct("score", -F.col("hub"))).alias("hub"))
+    best = staged(best, "best")
     first = staged(_verified(body, best), "links")
     part = components(first, "id", "hub", "parts").withColumnsRenamed({"node": "id", "component": "part"})
-    part = staged(points.join(part, "id", "left").withColumn("part", F.coalesce("part", "id")), "parts")
+    part = staged(classes.select("id").join(part, "id", "left").withColumn("part", F.coalesce("part", "id")), "parts")
 
-    # second round: within keys whose documents are of several parts, pairs across the parts
-    placed = live.select("key", "id").join(part.select("id", "part"), "id")
-    several = placed.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("key")
-    open_keys = live.select("key", "id").join(several, "key")
-    pointed = open_keys.join(part, "id").repartition("key").sortWithinPartitions("key", "n")
-    pairs = pointed.select("key", "id", "n", "point", "part").mapInArrow(_tree_pairs, "id long, hub long").distinct()
-    pairs = pairs.join(first.select("id", "hub"), ["id", "hub"], "left_anti")
-    second = staged(_verified(body, pairs), "links")
+    # second round: documents with a key in common have its hub in common, so each hub's documents get a tree
+    around = _open_stars(stars, first, part)
+    pointed = around.join(points, "id").repartition("hub").sortWithinPartitions("hub", "n")
+    pairs = pointed.select("hub", "id", "n", "point", "part").mapInArrow(_tree_pairs, "id long, hub long").distinct()
+    second = staged(_verified(body, pairs.join(best, ["id", "hub"], "left_anti")), "links")
 
     of = components(first.unionByName(second), "id", "hub", "parts")
     of = of.withColumnsRenamed({"node": "id", "component": "root"})
@@ -243,6 +267,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     return out.select(*rest, *new, *([F.col("text").alias(text)] if with_text else []))
 
 
+def _open_stars(stars: DataFrame, first: DataFrame, part: DataFrame) -> DataFrame:
+    """(hub, id, part): the documents around each hub that may still link across parts.
+
+    1 - similarity is a distance. A document linked to the hub is within 1/5 of it, so one
+    that is not near, with a similarity under 3/5, links with none of those. The linked
+    ones are left out, then, unless a near document of another part is there.
+    """
+    direct = first.select("id", "hub", F.lit(True).alias("direct"))
+    hub_part = part.selectExpr("id AS hub", "part AS hub_part")
+    rows = stars.select("id", "hub", "near").join(direct, ["id", "hub"], "left").join(part, "id").join(hub_part, "hub")
+    rows = rows.withColumn("direct", F.coalesce("direct", F.lit(False)))
+    opened = F.max(F.col("near") & ~F.col("direct") & (F.col("part") != F.col("hub_part"))).alias("opened")
+    open_hubs = rows.groupBy("hub", "hub_part").agg(opened).where("opened").drop("opened")
+    kept = rows.join(open_hubs.select("hub", F.lit(True).alias("opened")), "hub", "left").where("NOT direct OR opened")
+    kept = kept.select("hub", "id", "part").unionByName(open_hubs.selectExpr("hub", "hub AS id", "hub_part AS part"))
+    several = kept.groupBy("hub").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("hub")
+    return kept.join(several, "hub")
+
+
 def _shared_keys(batches: Batches) -> Batches:
     """Rows whose key another id has, with the first id of the key. The rows come sorted by key and id."""
     last = None  # (key, hub, id, whether it is written)
@@ -268,26 +311,26 @@ def _shared_keys(batches: Batches) -> Batches:
 
 
 def _bounded(batches: Batches) -> Batches:
-    """Pairs whose points leave room for a link, with the bound of their similarity."""
+    """For each pair whether the points leave room for a link, or for 3/5, and the bound of the similarity."""
     for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, GROUPS) for c in ("point", "hub_point"))
+        pairs = zip(batch.column("point").to_pylist(), batch.column("hub_point").to_pylist())
         n = batch.column("n").to_numpy() + batch.column("hub_n").to_numpy()
-        shared = np.minimum(a, b).astype(np.int64).sum(axis=1)
-        fine = (NUMERATOR + DENOMINATOR) * shared >= NUMERATOR * n
-        score = shared[fine] / np.maximum(1, n[fine] - shared[fine])
-        ids, hubs = (batch.column(c).to_numpy()[fine] for c in ("id", "hub"))
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hubs), pa.array(score)], names=["id", "hub", "score"])
+        shared = np.array([np.minimum(*folded(list(p))).sum() for p in pairs], np.int64)
+        may = (NUMERATOR + DENOMINATOR) * shared >= NUMERATOR * n
+        near = 5 * shared >= 3 * (n - shared)
+        score = shared / np.maximum(1, n - shared)
+        columns = [batch.column("id"), batch.column("hub"), *map(pa.array, (may, near, score))]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "hub", "may", "near", "score"])
 
 
 def _tree_pairs(batches: Batches) -> Batches:
-    """Pairs of each key's tree. The rows come sorted by key."""
+    """Pairs of each hub's tree. The rows come sorted by hub."""
     held: list[tuple] = []
 
     def settle() -> pa.RecordBatch:
         ids, sizes, points, parts = (list(c) for c in zip(*[h[1:] for h in held]))
         ids = np.array(ids, np.int64)
-        points = np.frombuffer(b"".join(points), np.uint16).reshape(-1, GROUPS)
-        a, b = CountTree(points, np.array(sizes, np.int64), np.array(parts, np.int64)).pairs()
+        a, b = CountTree(folded(points), np.array(sizes, np.int64), np.array(parts, np.int64)).pairs()
         columns = [np.maximum(ids[a], ids[b]), np.minimum(ids[a], ids[b])]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "hub"])
 
