@@ -142,6 +142,14 @@ def test_training_lowers_the_loss():
     assert lm.score(trainer.m, ids, end).sum() > lm.score(fresh, ids, end).sum() + 100
 
 
+def test_a_word_of_middling_rank_has_a_probability_of_its_own(spark):
+    counts = [(f"w{i}".encode(), 9000 - i) for i in range(5000)] + [(lm.END, 50)]
+    df = spark.createDataFrame([(bytearray(w), c, lm.tail_class(w)) for w, c in counts], "word binary, c long, tail int")
+    v = lm.vocabulary(df)
+    assert (v.n_out, len(v.starts) - 1, len(v.tail_total)) == (4096, 64, 64)
+    assert v.ids[b"w3000"] < v.n_out and len(v.counts) == 5001
+
+
 def test_nothing_to_learn_from_and_empty_table(spark, documents):
     out, _ = lm.score_documents(documents([(1, "a b"), (2, None)]), learnt=F.lit(False))
     assert [(r.n_known, r.train_tokens) for r in out.collect()] == [(0, 0), (0, 0)]
