@@ -32,7 +32,7 @@ MIN_PAGES, MIN_SHARE = 3, 0.6
 #: Copies of a host's template, so that the pages of a large host are spread.
 SALTS = 16
 
-RAW = "script|style|title|textarea|noscript|iframe|template|svg|math|object|select|xmp"
+RAW = "script|style|title|textarea|noscript|iframe|template|svg|annotation-xml|annotation|object|select|xmp"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<raw>{RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -69,6 +69,9 @@ NAMES = (
 NAMED = re.compile(rf"(?:^|[\s_-])(?:{NAMES})(?:$|[\s_-])", re.IGNORECASE)
 HEADED = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.IGNORECASE)
 ARTICLE = {"article", "main"}
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+#: Ids that a section of an article is dropped for; others are anchors of its text.
+REMARKS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|reply|replies)(?:$|[\s_-])", re.IGNORECASE)
 
 
 @dataclass
@@ -98,6 +101,11 @@ def _holds_boilerplate(tag: str, attributes: str, inside: bool) -> bool:
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
             return True
         if name in ("class", "id") and tag not in ARTICLE:
+            # in an article, names of headings, paragraphs and inline elements tell what the text is about
+            if inside and (tag in HEADINGS or tag == "p" or tag not in BLOCK):
+                continue
+            if inside and tag == "section" and name == "id" and not REMARKS.search(value):
+                continue
             if NAMED.search(value) or not inside and HEADED.search(value):
                 return True
     return False
@@ -246,9 +254,13 @@ def templates(pages: DataFrame) -> DataFrame:
                 names=["host", "token", "vector", "n"],
             )
 
+    # copies of a page are one page: they tell nothing of what the host's pages have in common
+    contents = pages.select("host", F.xxhash64("html").alias("content"), F.length("html").alias("length"), "row_key")
+    firsts = contents.groupBy("host", "content", "length").agg(F.min("row_key").alias("row_key")).select("host", "row_key")
+    pages = pages.join(firsts.select("row_key"), "row_key", "left_semi")
     parsed = pages.select("host", "row_key", "html").mapInArrow(count, "host string, token long, vector long, n long")
     vectors = parsed.groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("n").alias("n"))
-    sizes = pages.groupBy("host").agg(F.count("*").alias("pages"))
+    sizes = firsts.groupBy("host").agg(F.count("*").alias("pages"))
     frequent = vectors.where(F.col("n") >= MIN_PAGES).join(sizes, "host").where(F.col("n") >= MIN_SHARE * F.col("pages"))
     return frequent.groupBy("host").agg(F.collect_list(F.struct("token", F.xxhash64("vector", "n").alias("class"))).alias("tokens"))
 

@@ -69,6 +69,24 @@ def test_article_text_that_repeats_is_kept(spark):
     assert all(r.text == "" and r.n_chars == 0 for r in got if r.page_id is None or r.page_id >= 9)
 
 
+def test_copies_of_a_page_without_an_article_keep_their_text(spark):
+    page = "<html><body><div>Daily News</div><div><p>{} begins.</p></div><div>Imprint</div></body></html>"
+    rows = [(i, "https://copies.example/", page.format("One story")) for i in range(9)]
+    got = html_extract.extract(pages(spark, rows)).collect()
+    assert [r.text for r in got] == ["Daily News\n\nOne story begins.\n\nImprint"] * 9
+    rows += [(i, "https://copies.example/", page.format(f"Story {i}")) for i in range(9, 13)]
+    got = {r.page_id: r.text for r in html_extract.extract(pages(spark, rows)).collect()}
+    assert got == {i: "One story begins." if i < 9 else f"Story {i} begins." for i in range(13)}
+
+
+def test_names_in_an_article_that_tell_of_its_text():
+    body = "<h2 id='related-work'>Related</h2><p class='form'>Form</p><section id='legal'><p>Law</p></section>"
+    assert text(f"<article>{body}<p>see <span id='search'>here</span></p></article>") == "Related\n\nForm\n\nLaw\n\nsee here"
+    assert text("<article><p>a</p><section id='comments'>b</section><div class='related'>c</div></article>") == "a"
+    page = "<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds</p></article>"
+    assert text(page) == "so x=1 holds"
+
+
 def test_classes_must_be_ordered_and_nested():
     a, b, c, d, x = 1, 2, 3, 4, 9
     classes = {a: 10, b: 10, c: 20, d: 20}
