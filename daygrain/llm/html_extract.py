@@ -8,8 +8,8 @@ gathered anywhere. On a page, a class is valid if its tokens stand in one order,
 turn, and it nests with the classes found valid before: its turns lie within single gaps
 of theirs. Valid classes are the template; what text remains are the slots.
 
-The slots inside an article (or main) element are the text, where a page has one, else all
-slots. Elements that by name, role or class hold menus, headers, footers, sidebars,
+The template decides on every page. The slots inside an article (or main) element are the
+text, where a page has one, else all slots. Copies of a page count as one page of the host. Elements that by name, role or class hold menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles or comments are no slots on any page.
 """
 
@@ -217,12 +217,9 @@ def main_text(page: str | None, classes: dict[int, int]) -> str:
     if not page:
         return ""
     tokens, blocks = parse(page)
-    if any(b.inside for b in blocks):
-        kept = [b.text for b in blocks if b.inside]
-    else:
-        template = valid_tokens(tokens, classes) if classes else set()
-        kept = [b.text for b in blocks if b.token not in template]
-    return "\n\n".join(kept)
+    template = valid_tokens(tokens, classes) if classes else set()
+    has_article = any(b.inside for b in blocks)
+    return "\n\n".join(b.text for b in blocks if b.token not in template and b.inside >= has_article)
 
 
 def host_of(url: str) -> F.Column:

@@ -79,6 +79,13 @@ def test_copies_of_a_page_without_an_article_keep_their_text(spark):
     assert got == {i: "One story begins." if i < 9 else f"Story {i} begins." for i in range(13)}
 
 
+def test_template_inside_an_article_is_left_out(spark):
+    page = "<body><article><h1>Story {0}</h1><p>It begins {0}.</p><div class='box'><p>By our own writer.</p></div></article></body>"
+    rows = [(i, "https://teaser.example/", page.format(i)) for i in range(6)]
+    got = {r.page_id: r.text for r in html_extract.extract(pages(spark, rows)).collect()}
+    assert got == {i: f"Story {i}\n\nIt begins {i}." for i in range(6)}
+
+
 def test_names_in_an_article_that_tell_of_its_text():
     body = "<h2 id='related-work'>Related</h2><p class='form'>Form</p><section id='legal'><p>Law</p></section>"
     assert text(f"<article>{body}<p>see <span id='search'>here</span></p></article>") == "Related\n\nForm\n\nLaw\n\nsee here"
