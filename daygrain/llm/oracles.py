@@ -107,3 +107,47 @@ SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
   sha256(unhex(coalesce(head, '') || h[2 * coalesce(last, 0) + 1 : 2 * n])) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id)
 """
+
+
+_EXACT = "list_dot_product({}, {})"  # of whole numbers in doubles, far below 2^53
+
+
+def _code_rounds(rounds: int) -> str:
+    """CTEs a0 to a{rounds} (assignments) and b1 to b{rounds} (codebooks)."""
+    out = []
+    for r in range(rounds + 1):
+        distance = f"{_EXACT.format('p.v', 'p.v')} - 2 * {_EXACT.format('p.v', 'b.v')} + {_EXACT.format('b.v', 'b.v')}"
+        out.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT p.n, p.pos, any_value(p.v) AS v, min(struct_pack(d := {distance}, e := b.entry)) AS best
+  FROM parts p JOIN b{r} b ON b.pos = p.pos GROUP BY p.n, p.pos)""")
+        if r < rounds:
+            out.append(f"""
+s{r} AS (SELECT pos, best.e AS entry, i, floor(sum(x) / count(*)) AS x
+  FROM (SELECT pos, best, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i FROM a{r}) GROUP BY ALL),
+b{r + 1} AS MATERIALIZED (
+  SELECT b.pos, b.entry, coalesce(m.v, b.v) AS v
+  FROM b{r} b LEFT JOIN (SELECT pos, entry, list(x ORDER BY i) AS v FROM s{r} GROUP BY pos, entry) m USING (pos, entry))""")
+    return ",".join(out)
+
+
+#: Means are floors of quotients of whole numbers below 2^53: a double's quotient is then below the next whole number.
+CODE_LLOYD = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS n, vec_id, label,
+    list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT n, pos, v[pos * len(v) // 4 + 1 : (pos + 1) * len(v) // 4] AS v FROM kept, (SELECT unnest(range(4)) AS pos)),
+b0 AS MATERIALIZED (SELECT pos, n - 1 AS entry, v FROM parts WHERE n <= 256),
+{_code_rounds(4)},
+books AS (
+  SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY pos, entry, i)) AS sha
+  FROM (SELECT pos, entry, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i FROM b4)),
+codes AS (
+  SELECT n, string_agg(lower(printf('%02x', CAST(best.e AS INTEGER))), '' ORDER BY pos) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM a4 GROUP BY n)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha AS codebooks_sha256
+FROM kept JOIN codes USING (n), books
+"""

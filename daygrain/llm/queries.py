@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from daygrain.llm import (
+    code_lloyd,
     decontaminate,
     embedding_dedup,
     html_extract,
@@ -52,6 +53,7 @@ QUERIES = {
     "op8_substring_dedup": on_workers(substring_dedup.query),
     "op9_jaccard_join": on_workers(jaccard_join.query),
     "op10_packing": on_workers(packing.query),
+    "op12_code_lloyd": on_workers(code_lloyd.query),
 }
 
 #: The others train a model, read a vocabulary file, or apply hundreds of patterns or rules.
@@ -61,4 +63,5 @@ ORACLES = {
     "op5_embedding_dedup": oracles.EMBEDDING_DEDUP,
     "op8_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op9_jaccard_join": oracles.JACCARD_JOIN,
+    "op12_code_lloyd": oracles.CODE_LLOYD,
 }
