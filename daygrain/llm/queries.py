@@ -17,6 +17,7 @@ from daygrain.llm import (
     langid,
     license_scan,
     lm,
+    multi_index,
     oracles,
     packing,
     substring_dedup,
@@ -53,6 +54,7 @@ QUERIES = {
     "op8_substring_dedup": on_workers(substring_dedup.query),
     "op9_jaccard_join": on_workers(jaccard_join.query),
     "op10_packing": on_workers(packing.query),
+    "op11_multi_index": on_workers(multi_index.query),
     "op12_code_lloyd": on_workers(code_lloyd.query),
 }
 
