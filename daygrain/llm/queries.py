@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from daygrain.llm import (
+    alignment,
     code_lloyd,
     decontaminate,
     embedding_dedup,
@@ -56,6 +57,7 @@ QUERIES = {
     "op10_packing": on_workers(packing.query),
     "op11_multi_index": on_workers(multi_index.query),
     "op12_code_lloyd": on_workers(code_lloyd.query),
+    "op13_alignment": on_workers(alignment.query),
 }
 
 #: The others train a model, read a vocabulary file, or apply hundreds of patterns or rules.
