@@ -19,7 +19,7 @@ from daygrain.operators.log_scalars import log_scalars
 from daygrain.operators.metrics import auc, log_loss
 from daygrain.plans import ensemble, features, model
 from daygrain.session import shared_dir
-from daygrain.sources.events import log_from_events, logs_from_events
+from daygrain.sources.events import ORDERS, log_from_events, logs_from_events
 from daygrain.sources.logs import (
     LOGS,
     read_ids,
@@ -38,6 +38,7 @@ except ImportError:  # that folder may be taken out
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOGUE = features.day_table_catalogue()
+OTHER_ORDERS = tuple(order for order in ORDERS if order != "time")
 ROWS = stats.Stats({"rows": "sum(n)"}, {"n": "rows"})
 
 
@@ -54,8 +55,8 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
-def _matrix(spark: SparkSession, sf_dir: str, reverse: bool = False) -> DataFrame:
-    logs = logs_from_events(spark, sf_dir, SPAN, reverse)
+def _matrix(spark: SparkSession, sf_dir: str, order: str = "time") -> DataFrame:
+    logs = logs_from_events(spark, sf_dir, SPAN, order)
     stacked = stack_logs(logs, SPAN)
     return features.feature_matrix(stacked, logs["register"], days=features.staged_days(stacked))
 
@@ -102,11 +103,11 @@ def _log_query(log: str, computed: stats.Stats, windows: bool) -> Query:
     return run
 
 
-def _gap_stats(log: str, reverse: bool = False) -> Query:
+def _gap_stats(log: str, order: str = "time") -> Query:
     named = [f"{s} AS {name}" for name, (part, s) in CATALOGUE.items() if part == log and s in features.GAP_STATS]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = stack_logs({log: log_from_events(spark, sf_dir, log, SPAN, reverse)}, SPAN)
+        rows = stack_logs({log: log_from_events(spark, sf_dir, log, SPAN, order)}, SPAN)
         return _rounded(complete_gap_stats(rows, INTERVALS).selectExpr(*features.KEYS, *named))
 
     return run
@@ -161,12 +162,16 @@ def _id_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(spark, path, "launch")
 
 
-def _file_order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _file_order_gaps(order: str) -> Query:
     """Gap statistics of the launch log in the order of a text file written by ``seq`` and read back."""
-    path = f"{shared_dir(spark)}/launch-{uuid.uuid4().hex}"
-    write_raw_log(log_from_events(spark, sf_dir, "launch").orderBy("seq"), path, "launch")
-    log = stack_logs({"launch": read_log(spark, path, "launch")}, SPAN)
-    return _rounded(complete_gap_stats(log, INTERVALS).drop("part"))
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{shared_dir(spark)}/launch-{uuid.uuid4().hex}"
+        write_raw_log(log_from_events(spark, sf_dir, "launch", order=order).orderBy("seq"), path, "launch")
+        log = stack_logs({"launch": read_log(spark, path, "launch")}, SPAN)
+        return _rounded(complete_gap_stats(log, INTERVALS).drop("part"))
+
+    return run
 
 
 def _submission_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +195,8 @@ def queries() -> dict[str, Query]:
         "tsv_scan_create": _text_scan("create", raw=True),
         "tsv_scan_register": _text_scan("register", raw=True),
         "tsv_scan_launch": _text_scan("launch", raw=True),
-        "file_order_gaps": _file_order_gaps,
+        "file_order_gaps": _file_order_gaps("time"),
+        "file_order_gaps_shuffled": _file_order_gaps("shuffled"),
         "csv_scan_register": _text_scan("register", raw=False),
         "id_scan_launch": _id_scan,
         "interval_cut": lambda s, d: cut(_stacked(s, d, days=(1, 16)), "day", 1, 16).select(*rows),
@@ -218,8 +224,10 @@ def queries() -> dict[str, Query]:
         out[name] = _log_query(log, computed, windows)
     for log in features.GAP_LOGS:
         out[f"gap_stats_{log}"] = _gap_stats(log)
-        out[f"gap_stats_{log}_reversed"] = _gap_stats(log, reverse=True)
-    out["feature_matrix_reversed"] = lambda s, d: _rounded(_matrix(s, d, reverse=True))
+        for order in OTHER_ORDERS:
+            out[f"gap_stats_{log}_{order}"] = _gap_stats(log, order)
+    for order in OTHER_ORDERS:
+        out[f"feature_matrix_{order}"] = lambda s, d, order=order: _rounded(_matrix(s, d, order))
     out["ensemble_round_auc"] = lambda s, d: _rounded(ensemble.round_auc(_matrix(s, d)))
     out["ensemble_choice"] = lambda s, d: _rounded(ensemble.choice(_staged_matrix(s, d)))
     out["ensemble_importance"] = lambda s, d: ensemble.importances(_matrix(s, d))
@@ -241,11 +249,14 @@ def oracle_sql() -> dict[str, str]:
     for log in features.GAP_LOGS:
         named = {name: s for name, (part, s) in CATALOGUE.items() if part == log and s in features.GAP_STATS}
         out[f"gap_stats_{log}"] = oracle.log_stats(log, named)
-        out[f"gap_stats_{log}_reversed"] = oracle.reversed_rows(out[f"gap_stats_{log}"])
+        for order in OTHER_ORDERS:
+            out[f"gap_stats_{log}_{order}"] = oracle.in_order(out[f"gap_stats_{log}"], ORDERS[order])
     out["file_order_gaps"] = oracle.log_stats("launch", {s: s for s in features.GAP_STATS})
+    out["file_order_gaps_shuffled"] = oracle.in_order(out["file_order_gaps"], ORDERS["shuffled"])
     out |= oracle.ensemble(CATALOGUE, ensemble.TREES, ensemble.PATIENCE, ensemble.FEATURES)
     out["feature_matrix"] = oracle.matrix(CATALOGUE)
-    out["feature_matrix_reversed"] = oracle.reversed_rows(out["feature_matrix"])
+    for order in OTHER_ORDERS:
+        out[f"feature_matrix_{order}"] = oracle.in_order(out["feature_matrix"], ORDERS[order])
     out["model_features"] = oracle.model_columns(CATALOGUE)
     out["train_val_union"] = oracle.model_columns(CATALOGUE, " WHERE interval_id < 3")
     if llm:

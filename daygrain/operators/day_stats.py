@@ -80,20 +80,19 @@ def recency(intervals: Sequence[Interval]) -> Stats:
 
 
 def gap_stats() -> Stats:
-    """Statistics of the gap to the user's previous row, for users whose rows follow the days.
+    """Statistics of the gap to the user's previous row in file order, where rows of two days don't mix.
 
-    Then a day's first row has the gap ``step`` (0 for the very first) and its other
-    rows have 0; as every step is positive, 0 is also the smallest gap. A group with an
-    out-of-order day gets NULLs and ``out_of_order`` true; ``gaps.row_gap_stats`` covers
-    exactly those from the rows themselves.
+    Then a day's first row has the gap ``file_step`` (0 for the very first) and its other
+    rows have 0. A group with a mixed day gets NULLs and ``out_of_order`` true;
+    ``gaps.late_gap_stats`` covers exactly those from the rows themselves.
     """
-    step = "bigint(coalesce(step, 0))"
+    step = "bigint(coalesce(file_step, 0))"
     aggregates = {
         "row_count": "sum(n)",
-        "broken": "coalesce(max(out_of_order), false)",
-        "gap_max": f"max({step})",
-        "gap_min": f"min({step})",
-        "gap_last": f"max_by(IF(n > 1, 0, {step}), day)",
+        "broken": "coalesce(max(mixed), false)",
+        "gap_max": f"max(IF(n > 1, greatest({step}, 0), {step}))",
+        "gap_min": f"min(IF(n > 1, least({step}, 0), {step}))",
+        "gap_last": f"max_by(IF(n > 1, 0, {step}), last_seq)",
         **_power_sums("gap", step),
     }
     outputs = {

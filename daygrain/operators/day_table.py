@@ -53,14 +53,15 @@ def with_day_windows(days: DataFrame) -> DataFrame:
     ``step`` is the distance to the user's previous day, ``day_rank`` the dense rank
     with the latest day first. ``run_days`` is set on the last day of each streak: a
     streak is a maximal series of row-to-row differences of 1, so a repeated day (n > 1)
-    ends it. ``out_of_order`` marks a day whose rows do not all follow the previous
-    day's rows in file order.
+    ends it. ``file_step`` is the distance to the day before in file order, where the days
+    may come in any order; ``mixed`` marks a day that begins before the rows of such a day end.
 
     The rows are hashed on (interval, user) rather than on the whole group, so that the
     parts of a user can later be put side by side, and joined, without another shuffle.
     """
     whole = f"PARTITION BY {', '.join(GROUP)}"
     by_day, so_far = f"{whole} ORDER BY day", f"{whole} ORDER BY day ROWS UNBOUNDED PRECEDING"
+    by_file = f"{whole} ORDER BY first_seq"
     neighbours = f"""
         SELECT *,
           row_number() OVER ({by_day}) AS nth,
@@ -68,7 +69,6 @@ def with_day_windows(days: DataFrame) -> DataFrame:
           lag(day) OVER ({by_day}) - lag(day, 2) OVER ({by_day}) AS step_before,
           lead(day) OVER ({by_day}) - day AS step_after,
           lag(n) OVER ({by_day}) AS n_before,
-          first_seq <= lag(last_seq) OVER ({by_day}) AS out_of_order,
           sum(n) OVER ({so_far}) AS rows_so_far
         FROM {{days}}
     """
@@ -85,6 +85,15 @@ def with_day_windows(days: DataFrame) -> DataFrame:
           IF(ends, nth + 2 - max(IF(goes_on, NULL, nth)) OVER ({so_far}), NULL) AS run_days
         FROM {{links}}
     """
+    in_file = f"""
+        SELECT *, day - lag(day) OVER ({by_file}) AS file_step, {mixed_days(by_file)} AS mixed
+        FROM {{days}}
+    """
     sql = days.sparkSession.sql
     days = days.repartition("interval_id", "user_id")
-    return sql(runs, links=sql(links, neighbours=sql(neighbours, days=days)))
+    return sql(runs, links=sql(links, neighbours=sql(neighbours, days=sql(in_file, days=days))))
+
+
+def mixed_days(by_file: str) -> str:
+    """SQL: the day's first row stands before the last one of a day that begins earlier; ``by_file`` orders a user's days by first row."""
+    return f"first_seq <= max(last_seq) OVER ({by_file} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"

@@ -16,7 +16,7 @@ from daygrain.operators.distincts import distinct_counts
 from daygrain.operators.gaps import GAP_STATS, late_gap_stats
 from daygrain.operators.intervals import INTERVALS, Interval, assign_intervals, last_day
 from daygrain.operators.log_scalars import log_scalars
-from daygrain.session import shared_dir
+from daygrain.session import shared_dir, staged
 from daygrain.sources.logs import ACTION_TYPES, LOGS, PAGES
 
 KEYS = ["interval_id", "user_id"]
@@ -163,15 +163,15 @@ def feature_matrix(
     pieces: int | None = None,
     days: DataFrame | None = None,
 ) -> DataFrame:
-    """``interval_id, user_id``, the 175 features and ``label`` (NULL where there is no label week), as a lazy plan.
+    """``interval_id, user_id``, the 175 features and ``label`` (NULL where there is no label week).
 
-    ``days`` is the day table of ``stacked`` if it is stored (``staged_days``); three readers
-    then share one pass over the logs.
+    ``days`` is the day table of ``stacked`` if it is stored already (``staged_days``), else it is
+    stored here; three readers then share one pass over the logs.
 
     Aggregates first, side by side, and only then the arithmetic over them: the wide
     projection is compiled in small methods, while the output of an aggregate is one
-    method and would grow too large for the JIT compiler. The gaps of users whose file
-    order disagrees with their days come from their rows and are joined by key.
+    method and would grow too large for the JIT compiler. The gaps of users whose days mix in
+    file order, if there are any, come from their rows and are joined by key.
     """
     stats = all_stats(intervals)
     outputs, used = {}, set()
@@ -179,23 +179,25 @@ def feature_matrix(
         outputs[name], aggregates = stats.output_of(stat, _side(log))
         used |= {(log, a) for a in aggregates}
 
-    table = day_table(stacked) if days is None else days
+    table = staged_days(stacked) if days is None else days
     days = with_day_windows(cut_days_into_parts(table, intervals))
     users = _pivot_parts(aggregate_days(days, stats), sorted(used))
     raw = assign_intervals(register.select("user_id", *RAW_REGISTER), "register_day", intervals)
     wide = (
         users.join(distinct_counts(stacked, intervals), KEYS, "left")
         .join(raw, KEYS, "left")
-        .join(_side_by_side(late_gap_stats(stacked, table, intervals, pieces)), KEYS, "left")
         # one row per interval
         .join(F.broadcast(log_scalars(table, intervals)), "interval_id", "left")
     )
+    late = late_gap_stats(stacked, table, intervals, pieces)
+    if late is not None:
+        wide = wide.join(_side_by_side(late), KEYS, "left")
+        outputs |= {name: f"coalesce({outputs[name]}, late_{name})" for name in _late_gaps()}
     # a user with activity rows but only NULL videos has 0 distinct videos, not NULL
     outputs |= {
         name: f"IF(activity_day_count IS NULL, NULL, coalesce({source}, 0))" for name, source in DISTINCTS.items()
     }
     outputs |= {name: name for name in RAW_REGISTER}
-    outputs |= {name: f"coalesce({outputs[name]}, late_{name})" for name in _late_gaps()}
     for name, sql in (_derived(intervals) | {name: outputs[name] for name in DISTINCTS}).items():
         outputs[name] = _inlined(sql, outputs)
     labelled = ", ".join(str(iv.interval_id) for iv in intervals if iv.label_begin is not None)
@@ -228,10 +230,7 @@ def write_matrix(matrix: DataFrame, path: str) -> DataFrame:
 
 def staged_days(stacked: DataFrame) -> DataFrame:
     """The day table written to a new place in the shared folder, and read back."""
-    days = day_table(stacked)
-    path = f"{shared_dir(stacked.sparkSession)}/days-{uuid.uuid4().hex}"
-    days.write.parquet(path)
-    return stacked.sparkSession.read.schema(days.schema).parquet(path)
+    return staged(day_table(stacked), "days")
 
 
 def staged_matrix(matrix: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from daygrain.operators.metrics import auc, log_loss
 from daygrain.plans.features import MODEL_FEATURES
-from daygrain.session import shared_dir
+from daygrain.session import shared_dir, staged
 from daygrain.sources.logs import LOGS
 
 TRAIN, VALIDATION, SCORE = 1, 2, 3
@@ -96,7 +96,7 @@ def watch_rounds(model: GBTClassificationModel, validation: DataFrame, patience:
         end = min(start + block, len(model.trees))
         scored, outputs = _with_outputs(model, carried, start, end)
         scored = prefix_scores(scored, outputs, "margin")
-        carried = _staged(scored.select(*keys, "scores", F.element_at("margins", -1).alias("margin")))
+        carried = staged(scored.select(*keys, "scores", F.element_at("margins", -1).alias("margin")), "rounds")
         values += auc_of_rounds(carried)
         if end - pick_round(values, patience) >= patience:
             break
@@ -104,12 +104,6 @@ def watch_rounds(model: GBTClassificationModel, validation: DataFrame, patience:
     return values
 
 
-def _staged(df: DataFrame) -> DataFrame:
-    path = f"{shared_dir(df.sparkSession)}/rounds-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def pick_round(auc_by_round: list[float | None], patience: int = PATIENCE) -> int:
     """Best round (1-based) among those run before ``patience`` rounds pass without gain."""
     best, best_auc = 1, float("-inf")

@@ -18,6 +18,8 @@ ORIGIN = datetime.date(2024, 1, 1)
 EVENT_TYPES = {"create": ("purchase",), "launch": ("view",), "activity": ("click", "error", "signup")}
 
 _USER = "user_id * 100 + event_id % 10"
+# File orders that can be asked for: by time, against it, and scrambled (a permutation of ids below the prime).
+ORDERS = {"time": "event_id", "reversed": "-event_id", "shuffled": "(event_id * 7919) % 1000003"}
 _COLUMNS = {
     "create": "user_id, day AS video_create_day, event_id AS seq",
     "launch": "user_id, day AS app_launch_day, event_id AS seq",
@@ -27,11 +29,11 @@ _COLUMNS = {
 
 
 def log_from_events(
-    spark: SparkSession, sf_dir: str, log: str, days: tuple[int, int] | None = None, reverse: bool = False
+    spark: SparkSession, sf_dir: str, log: str, days: tuple[int, int] | None = None, order: str = "time"
 ) -> DataFrame:
     """One log, derived from ``{sf_dir}/events.parquet``; only the given days, if any (not of ``register``).
 
-    The rows stand in the order of time, or with ``reverse`` against it.
+    ``order`` names the order of the rows in the file (``ORDERS``).
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     if log == "register":
@@ -42,7 +44,7 @@ def log_from_events(
             "int(user_id % 11) AS device_type",
         )
     types = ", ".join(f"'{t}'" for t in EVENT_TYPES[log])
-    columns = _COLUMNS[log].replace("event_id AS seq", "-event_id AS seq") if reverse else _COLUMNS[log]
+    columns = _COLUMNS[log].replace("event_id AS seq", f"{ORDERS[order]} AS seq")
     bounds = ""
     if days:
         start, end = (ORIGIN + datetime.timedelta(days=d) for d in (days[0] - 1, days[1]))
@@ -61,7 +63,7 @@ def log_from_events(
 
 
 def logs_from_events(
-    spark: SparkSession, sf_dir: str, days: tuple[int, int] | None = None, reverse: bool = False
+    spark: SparkSession, sf_dir: str, days: tuple[int, int] | None = None, order: str = "time"
 ) -> dict[str, DataFrame]:
     """All four logs."""
-    return {log: log_from_events(spark, sf_dir, log, days, reverse) for log in LOGS}
+    return {log: log_from_events(spark, sf_dir, log, days, order) for log in LOGS}

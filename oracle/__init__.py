@@ -115,9 +115,9 @@ def with_base(select: str, *ctes: str) -> str:
     return "WITH " + ",".join([BASE, *ctes]) + select
 
 
-def reversed_rows(sql: str) -> str:
-    """The same query on logs whose rows stand against the order of time."""
-    return sql.replace("event_id AS seq", "-event_id AS seq")
+def in_order(sql: str, seq: str) -> str:
+    """The same query on logs whose rows stand in the order of ``seq``."""
+    return sql.replace("event_id AS seq", f"{seq} AS seq")
 
 
 def _stat_ctes(log: str, names: dict[str, str]) -> tuple[list[str], list[str]]:

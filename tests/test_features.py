@@ -3,9 +3,19 @@ import helpers
 import pytest
 from daygrain.operators import day_stats as stats
 from daygrain.operators.day_table import cut_days, day_table
-from daygrain.operators.gaps import GAP_STATS, complete_gap_stats, day_gaps, row_gap_stats, split_rows
+from daygrain.operators.gaps import (
+    GAP_STATS,
+    complete_gap_stats,
+    day_gaps,
+    folded_gap_stats,
+    late_gap_stats,
+    out_of_order_users,
+    row_gap_stats,
+    split_rows,
+    split_summaries,
+)
 from daygrain.operators.intervals import INTERVALS
-from daygrain.plans.features import FEATURES, MODEL_FEATURES, feature_matrix
+from daygrain.plans.features import FEATURES, MODEL_FEATURES, feature_matrix, staged_days
 from pyspark.sql import functions as F
 
 TYPES = {"double", "bigint", "int"}
@@ -155,3 +165,48 @@ def test_skewness_is_exact_for_heavy_users(spark, values):
     want = sqrt(n) * sqrt(n - 1) / (n - 2) * float(m3) / float(m2) ** 1.5
     got = spark.range(1).selectExpr(sample_skewness(*[f"{x}L" for x in (n, *sums)]) + " AS s").first().s
     assert abs(got / want - 1) < 1e-9
+
+
+@pytest.mark.parametrize("size,splits", [(1 << 20, 5), (7, 1), (3, 4)])
+def test_split_summaries_fold_to_the_statistics_of_the_rows(spark, size, splits):
+    """Splits that follow each other in the file, one user with a third of all rows."""
+    logs = helpers.random_logs(14, users=8, rows=300)
+    rows = helpers.stacked(spark, logs).repartitionByRange(splits, "log", "seq")
+    summaries = split_summaries(rows, INTERVALS, size)
+    assert "Exchange" not in summaries._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+    got = {(r.interval_id, r.user_id, r.part): r for r in folded_gap_stats(summaries).collect()}
+    want = {(r.interval_id, r.user_id, r.part): r for r in row_gap_stats(rows, INTERVALS, 4).where("part <> 'register'").collect()}
+    assert set(got) == set(want) and not any(r.interleaved for r in got.values())
+    for key, row in want.items():
+        for s in GAP_STATS:
+            assert helpers.same(got[key][s], row[s]), (key, s)
+
+
+def test_interleaved_splits_are_seen(spark):
+    rows = helpers.stacked(spark, helpers.random_logs(15, users=4, rows=200)).repartition(5)
+    assert not folded_gap_stats(split_summaries(rows, INTERVALS)).where("interleaved").isEmpty()
+
+
+def test_days_in_any_order_need_no_rows(spark):
+    """Days one after the other, in a scrambled order: the day table tells."""
+    order = [(d * 11) % 31 for d in range(1, 31)]
+    logs = {"register": [], "create": [], "activity": [], "launch": [{"user_id": u, "day": d} for d in order for u in (1, 2, 1)]}
+    stacked = helpers.stacked(spark, logs)
+    days = staged_days(stacked)
+    assert out_of_order_users(days).isEmpty() and late_gap_stats(stacked, days, INTERVALS) is None
+    got = complete_gap_stats(stacked, INTERVALS).where("part = 'launch'").collect()
+    want = {(r.interval_id, r.user_id): r for r in row_gap_stats(stacked, INTERVALS, 3).collect()}
+    assert len(got) == len(want) == 6
+    for r in got:
+        for s in GAP_STATS:
+            assert helpers.same(r[s], want[r.interval_id, r.user_id][s]), (r, s)
+
+
+def test_late_users_beyond_the_broadcast(spark, monkeypatch):
+    from daygrain.operators import gaps
+
+    logs = helpers.random_logs(16, users=8, rows=200)
+    want = complete_gap_stats(helpers.stacked(spark, logs), INTERVALS)
+    monkeypatch.setattr(gaps, "FEW_USERS", 0)
+    got = complete_gap_stats(helpers.stacked(spark, logs), INTERVALS)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
