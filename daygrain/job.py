@@ -17,14 +17,24 @@ from daygrain.plans.features import feature_matrix, staged_days, write_matrix
 from daygrain.sources.logs import LOGS, RAW_FILES, read_log, stack_logs, write_submission, write_table
 
 
+def write_by_day(rows: DataFrame, day: str, path: str) -> DataFrame:
+    """``rows`` as Parquet in a folder per day, and read back.
+
+    The rows are first brought together by day: Spark's rebalance cuts a day with more rows than
+    a task should write (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) into several
+    tasks and joins small days in one, so the number of files follows the size of the days and not the
+    number of splits that were read.
+    """
+    rows.hint("rebalance", day).write.mode("overwrite").partitionBy(day).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
 def ingest(spark: SparkSession, source: str, target: str) -> dict[str, DataFrame]:
     """The raw logs as Parquet with their file order, by day."""
-    logs = {}
-    for log, spec in LOGS.items():
-        rows = read_log(spark, f"{source}/{RAW_FILES[log]}", log)
-        rows.write.mode("overwrite").partitionBy(spec.day).parquet(f"{target}/{log}")
-        logs[log] = spark.read.schema(rows.schema).parquet(f"{target}/{log}")
-    return logs
+    return {
+        log: write_by_day(read_log(spark, f"{source}/{RAW_FILES[log]}", log), spec.day, f"{target}/{log}")
+        for log, spec in LOGS.items()
+    }
 
 
 def run(spark: SparkSession, source: str, target: str, rounds: int = model.ROUNDS) -> None:

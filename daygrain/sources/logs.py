@@ -1,7 +1,8 @@
 """The four logs: schemas, readers, writers, and the stacked form used by every plan.
 
 File order carries meaning ("last" row, gap to the previous row), so each log but
-``register`` needs a numeric ``seq`` column that states it.
+``register`` needs a ``seq`` column that states it: a whole number, or the struct that
+``read_log`` makes.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,38 +77,25 @@ ACTION_TYPES = (0, 1, 2, 3, 4, 5)
 
 # The part of monotonically_increasing_id that numbers the rows of a task.
 _ROW_IN_TASK = (1 << 33) - 1
-# A byte of a compressed file may hold this many rows.
-_ROWS_PER_BYTE = 1 << 10
+# The order of a row in text files: its file, where its split begins, and its place in the task that reads the split.
+FILE_ORDER = "struct<file:string,start:bigint,row:bigint>"
 
 
 def read_log(spark: SparkSession, path: str, log: str, *, header: bool = False, sep: str = "\t") -> DataFrame:
-    """Read one log from text with its fixed schema, adding ``seq`` (the file order).
+    """Read one log from text with its fixed schema, adding ``seq``, the file order as ``FILE_ORDER``.
 
-    ``seq`` grows with (file path, byte offset of the split, row within the split), so
-    no task needs to see more than its own split. A full-size split is alone in its
-    task and only a file's last split shares one, so the in-task row number keeps the
-    order within each file. A file's first number is a running sum over the files before
-    it, so their number is not limited; Spark picks the join with it by its size.
+    Structs compare field by field, files by their path. A task reads a split from its first row
+    to its last, whatever else it reads, so the row number in the task orders the rows of a
+    split. Nothing is joined and no task sees more than its own splits.
     """
     rows = spark.read.schema(LOGS[log].schema).option("header", header).option("sep", sep).csv(path)
-    in_file = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_TASK))
-    numbered = rows.select("*", in_file.alias("in_file"), _plain_path(F.col("_metadata.file_path")).alias("file"))
-    return numbered.join(_first_numbers(spark, path), "file").select(
-        *rows.columns, (F.col("first_number") + F.col("in_file")).alias("seq")
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_TASK))
+    order = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        in_task.alias("row"),
     )
-
-
-def _first_numbers(spark: SparkSession, path: str) -> DataFrame:
-    """``file, first_number``: numbers that leave each file room for its rows. One row per file; no content is read."""
-    files = spark.read.format("binaryFile").load(path).select(_plain_path(F.col("path")).alias("file"), "length")
-    room = F.col("length") * _ROWS_PER_BYTE + F.lit(_ROW_IN_TASK + 1)
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    return files.select("file", F.coalesce(F.sum(room).over(before), F.lit(0)).alias("first_number"))
-
-
-def _plain_path(path: Column) -> Column:
-    """One spelling of a path, whichever reader gives it: ``file:///a b`` and ``file:/a%20b`` alike."""
-    return F.regexp_replace(F.try_url_decode(F.regexp_replace(path, r"\+", "%2B")), "^([a-z0-9]+):/{2,}", "$1:/")
+    return rows.select("*", order.cast(FILE_ORDER).alias("seq"))
 
 
 def read_ids(spark: SparkSession, path: str, log: str, *, header: bool = True, sep: str = ",") -> DataFrame:
@@ -148,20 +136,26 @@ def stack_logs(logs: Mapping[str, DataFrame], days: tuple[int, int] | None = Non
     ``days`` bounds the days kept from every log but ``register``, whose earlier rows
     still decide who belongs to a population. Rows without a user are dropped: no
     per-user operator keeps them. A page or action type outside its domain raises an error
-    in the job. A register log without ``seq`` is ordered by its day.
+    in the job. A register log without ``seq`` is ordered by its day. If any log has the
+    struct as its order, numbers become one without a file.
     """
+    by_file = any("seq" in df.columns and isinstance(df.schema["seq"].dataType, T.StructType) for df in logs.values())
     stacked = None
     for log, df in logs.items():
         spec = LOGS[log]
         if "seq" not in df.columns and log != "register":
             raise ValueError(f"the {log} log needs a seq column that states its row order")
         seq = "seq" if "seq" in df.columns else spec.day
+        if not by_file:
+            seq = f"bigint({seq})"
+        elif "seq" not in df.columns or not isinstance(df.schema["seq"].dataType, T.StructType):
+            seq = f"named_struct('file', '', 'start', 0L, 'row', bigint({seq}))"
         optional = [f"{kind}({name if name in df.columns else 'NULL'}) AS {name}" for name, kind in _OPTIONAL.items()]
         # an unknown code has no place among the outputs: better no result than a wrong one
         optional = [_checked(name) if name in _DOMAINS and name in df.columns else sql for name, sql in zip(_OPTIONAL, optional)]
         in_days = f" AND {spec.day} BETWEEN {days[0]} AND {days[1]}" if days and log != "register" else ""
         rows = df.where(f"user_id IS NOT NULL{in_days}").selectExpr(
-            f"'{log}' AS log", "bigint(user_id) AS user_id", f"int({spec.day}) AS day", f"bigint({seq}) AS seq", *optional
+            f"'{log}' AS log", "bigint(user_id) AS user_id", f"int({spec.day}) AS day", f"{seq} AS seq", *optional
         )
         stacked = rows if stacked is None else stacked.union(rows)
     if stacked is None:

@@ -4,7 +4,16 @@ import glob
 import pytest
 from daygrain.operators.intervals import INTERVALS, assign_intervals, cut
 from daygrain.operators.labels import labels, population
-from daygrain.sources.logs import LOGS, read_ids, read_log, stack_logs, write_raw_log, write_submission, write_table
+from daygrain.sources.logs import (
+    FILE_ORDER,
+    LOGS,
+    read_ids,
+    read_log,
+    stack_logs,
+    write_raw_log,
+    write_submission,
+    write_table,
+)
 from pyspark.sql import functions as F
 
 import helpers
@@ -22,7 +31,47 @@ def test_raw_log_keeps_file_order_across_splits(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == days
-    assert dict(rows.dtypes)["seq"] == "bigint"
+    assert dict(rows.dtypes)["seq"] == FILE_ORDER
+
+
+def test_reading_joins_and_shuffles_nothing(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("1\t2\n")
+    plan = read_log(spark, str(tmp_path), "create")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "Window" not in plan
+
+
+def test_file_order_of_many_small_files_and_odd_names(spark, tmp_path):
+    """Files that share tasks, and splits of one file in several tasks."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        for n, name in enumerate(sorted(["a b.txt", "a%20c.txt", "a+d.txt", "é.txt", "z.txt", "y.txt", "x#1.txt"])):
+            days = [(i * 7919 + n) % 30 + 1 for i in range(20 if n % 2 else 900)]
+            (tmp_path / name).write_text("".join(f"{n}\t{d}\n" for d in days))
+        rows = read_log(spark, str(tmp_path), "create")
+        got = rows.orderBy("seq").collect()
+        by_file = {}
+        for r in got:
+            by_file.setdefault(r.user_id, []).append(r.video_create_day)
+        for n, days in by_file.items():
+            assert days == [(i * 7919 + n) % 30 + 1 for i in range(20 if n % 2 else 900)]
+        assert len(by_file) == 7 and [r.user_id for r in got] == sorted((r.user_id for r in got), key=list(by_file).index)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_numbers_and_file_order_stack(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("1\t2\n1\t3\n")
+    launch = read_log(spark, str(tmp_path / "a.txt"), "launch")
+    create = spark.createDataFrame([(1, 5, 70), (1, 6, 8)], "user_id long, video_create_day int, seq int")
+    register = spark.createDataFrame([(1, 4, 0, 0)], LOGS["register"].schema)
+    rows = stack_logs({"launch": launch, "create": create, "register": register})
+    assert dict(rows.dtypes)["seq"] == FILE_ORDER
+    assert [(r.log, r.day) for r in rows.orderBy("log", "seq").collect()] == [
+        ("create", 6), ("create", 5), ("launch", 2), ("launch", 3), ("register", 4)
+    ]
+    assert dict(stack_logs({"create": create, "register": register}).dtypes)["seq"] == "bigint"
 
 
 def test_csv_round_trip_and_id_scan(spark, tmp_path):

@@ -5,11 +5,12 @@ import re
 import helpers
 import pytest
 from daygrain import job
-from daygrain.operators.gaps import row_gap_stats
+from daygrain.operators.day_table import day_table
+from daygrain.operators.gaps import complete_gap_stats, out_of_order_users, row_gap_stats, split_summaries
 from daygrain.operators.intervals import INTERVALS, day_span
 from daygrain.plans.features import feature_matrix, staged_days
 from daygrain.sources.events import logs_from_events
-from daygrain.sources.logs import stack_logs
+from daygrain.sources.logs import read_log, stack_logs
 
 
 @pytest.fixture(scope="module")
@@ -40,9 +41,8 @@ def test_feature_plan_shuffles(spark, no_broadcast):
     logs = helpers.frames(spark, helpers.random_logs(1, users=3, rows=20))
     stacked = stack_logs(logs, day_span(INTERVALS))
     plan = plan_of(feature_matrix(stacked, logs["register"], days=staged_days(stacked)))
-    # windows, distinct values, distinct counts, raw register, scalars (per day, per interval), late users in each of
-    # the three logs' rows (their days, the users, the rows), rows by piece, pieces, late rows side by side
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 20
+    # windows, distinct values, distinct counts, raw register, scalars (per day, per interval)
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 6
     assert "Cartesian" not in plan and "NestedLoop" not in plan
     assert "Python" not in plan and "Exchange SinglePartition" not in plan
 
@@ -54,6 +54,23 @@ def test_interval_cut_reads_its_own_days(spark):
     assert "2024-01-17" in plan and "2024-01-31" not in plan
 
 
+def test_gaps_of_mixed_days_need_no_range_sort_of_rows(spark, no_broadcast, tmp_path):
+    """A log in a scrambled order: summaries of its splits are folded, and rows stay where they are read."""
+    rows = "".join(f"{i * 7 % 5}\t{i * 7919 % 30 + 1}\n" for i in range(4000))
+    (tmp_path / "log.txt").write_text(rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        log = stack_logs({"launch": read_log(spark, str(tmp_path / "log.txt"), "launch")})
+        assert not out_of_order_users(day_table(log)).isEmpty()
+        summaries = split_summaries(log, INTERVALS)
+        assert "Exchange" not in plan_of(summaries)
+        assert summaries.count() <= 5 * 3 * log.rdd.getNumPartitions() < 4000 / 5
+        plan = plan_of(complete_gap_stats(log, INTERVALS))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert "rangepartitioning" not in plan and "FileScan csv" not in plan
+
+
 def test_row_gap_plan_spreads_heavy_users(spark, no_broadcast):
     stacked = helpers.stacked(spark, helpers.random_logs(1, users=3, rows=20))
     plan = plan_of(row_gap_stats(stacked, INTERVALS))
