@@ -18,10 +18,11 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass, field
-from functools import lru_cache
-from itertools import accumulate
+import struct
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from functools import cached_property, lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,10 @@ from pyspark.sql import functions as F
 
 from daygrain.llm.common import Batches, staged, table
 
-#: Characters of the chunks that a task remembers, and of texts handled at once.
-REMEMBERED, BLOCK = 1 << 21, 1 << 20
+#: Characters of the chunks that a task remembers, what each counts for beside them, and characters handled at once.
+REMEMBERED, OVERHEAD, BLOCK = 1 << 23, 32, 1 << 20
+#: Chunks tokenised at once, and texts of an Arrow batch.
+CHUNKS, TEXTS = 1 << 14, 64
 #: A pair with at least this share of all links is broadcast: there are at most its inverse.
 COMMON = 1 / (1 << 18)
 #: Pairs counted at once in a task.
@@ -49,8 +52,18 @@ def byte_of_sign() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class ByteLevel:
-    """Texts to ids of a byte-level vocabulary, and the bytes of each id."""
+class Vocabulary:
+    """The bytes of each id, and their numbers."""
+
+    bytes: list[bytes]
+
+    @cached_property
+    def lengths(self) -> np.ndarray:
+        return np.fromiter(map(len, self.bytes), np.int64, len(self.bytes))
+
+
+class ByteLevel(Vocabulary):
+    """Texts to ids of a byte-level vocabulary."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,27 +74,26 @@ class ByteLevel:
         signs = byte_of_sign()
         special = {t.content for t in self.model.get_added_tokens_decoder().values()}
         vocabulary = self.model.get_vocab(with_added_tokens=True)
-        self.bytes = {
-            i: s.encode() if s in special else bytes(signs[c] for c in s) for s, i in vocabulary.items()
-        }
+        self.bytes = [b""] * (max(vocabulary.values()) + 1)
+        for s, i in vocabulary.items():
+            self.bytes[i] = s.encode() if s in special else bytes(signs[c] for c in s)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of a space and each text."""
         return [e.ids for e in self.model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
-class Pieces:
-    """Texts to ids of a piece vocabulary, and the bytes of each id."""
+class Pieces(Vocabulary):
+    """Texts to ids of a piece vocabulary."""
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.bytes = {
-            i: bytes([int(s[3:5], 16)]) if self.model.is_byte(i) else s.replace("▁", " ").encode()
-            for i, s in enumerate(names)
-        }
+        self.bytes = [
+            bytes([int(s[3:5], 16)]) if self.model.is_byte(i) else s.replace("▁", " ").encode() for i, s in enumerate(names)
+        ]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text, before which the model sets a space itself."""
@@ -94,42 +106,54 @@ def _tokenizers(path_a: str, path_b: str) -> tuple[ByteLevel, Pieces]:
     return ByteLevel(path_a), Pieces(path_b)
 
 
-@dataclass(slots=True)
-class Aligned:
-    """One chunk: ids in groups as text, their numbers, and the linked pairs as a << 32 | b."""
-
-    groups: str
-    n_a: int
-    n_b: int
-    pairs: list[int]
-    sound: bool
+#: A chunk's groups as text, its linked pairs as int64 (a << 32 | b) in bytes, and its numbers of tokens.
+Aligned = tuple[str, bytes, int, int]
 
 
-@dataclass
-class Measures:
-    n_a: int = 0
-    n_b: int = 0
-    groups: list[str] = field(default_factory=list)
-    pairs: list[int] = field(default_factory=list)
-
-
-def align(text: bytes, a: list[int], b: list[int], bytes_a: dict[int, bytes], bytes_b: dict[int, bytes]) -> Aligned:
-    """Groups and links of the tokens of ``text``; not sound if either side doesn't give its bytes.
+def align(text: bytes, a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]) -> Aligned | None:
+    """Groups and links of the tokens of ``text``; None if either side doesn't give its bytes.
 
     No token of either vocabulary is without bytes, so an offset ends one token a side at most.
     """
     tokens_a, tokens_b = [bytes_a[i] for i in a], [bytes_b[i] for i in b]
     if b"".join(tokens_a) != text or b"".join(tokens_b) != text:
-        return Aligned("", 0, 0, [], False)
-    ends_b = {end: n for n, end in enumerate(accumulate(map(len, tokens_b)))}
+        return None
+    nth_b = dict(zip(accumulate(map(len, tokens_b)), range(len(b))))
     groups, pairs, at_a, at_b = [], [], 0, 0
     for n, end in enumerate(accumulate(map(len, tokens_a))):
-        m = ends_b.get(end)
-        if m is not None:
+        if end in nth_b:
+            m = nth_b[end]
             groups.append(f"{','.join(map(str, a[at_a : n + 1]))}|{','.join(map(str, b[at_b : m + 1]))}")
             pairs.append(a[n] << 32 | b[m])
             at_a, at_b = n + 1, m + 1
-    return Aligned(";".join(groups), len(a), len(b), pairs, True)
+    return ";".join(groups), struct.pack(f"<{len(pairs)}q", *pairs), len(a), len(b)
+
+
+def align_all(texts: list[bytes], a: list[list[int]], b: list[list[int]], of_a: Vocabulary, of_b: Vocabulary) -> list:
+    """``align`` of each of ``texts``, all at once where the tokens give all of their bytes."""
+    flat_a, flat_b = list(chain.from_iterable(a)), list(chain.from_iterable(b))
+    ids_a, ids_b = np.array(flat_a, np.int64), np.array(flat_b, np.int64)
+    ends_a, ends_b = of_a.lengths[ids_a].cumsum(), of_b.lengths[ids_b].cumsum()
+    last_a, last_b = (np.fromiter(map(len, x), np.int64, len(x)).cumsum() - 1 for x in (a, b))
+    ends = np.fromiter(map(len, texts), np.int64, len(texts)).cumsum()
+    whole = b"".join(texts)
+    if not (
+        all(a) and all(b)
+        and b"".join(map(of_a.bytes.__getitem__, flat_a)) == whole == b"".join(map(of_b.bytes.__getitem__, flat_b))
+        and (ends_a[last_a] == ends).all() and (ends_b[last_b] == ends).all()
+    ):
+        return [align(t, x, y, of_a.bytes, of_b.bytes) for t, x, y in zip(texts, a, b)]
+    at = np.searchsorted(ends_b, ends_a)  # both sides end at the end of the last text
+    link_a = np.flatnonzero(ends_b[at] == ends_a)
+    link_b = at[link_a]
+    pairs = (ids_a[link_a] << 32 | ids_b[link_b]).astype("<i8").tobytes()
+    named_a, named_b = list(map(str, flat_a)), list(map(str, flat_b))
+    cuts = zip(*[x.tolist() for x in (np.r_[0, link_a + 1], link_a + 1, np.r_[0, link_b + 1], link_b + 1)])
+    groups = [f"{','.join(named_a[i:j])}|{','.join(named_b[k:n])}" for i, j, k, n in cuts]
+    stops = np.searchsorted(link_a, last_a, "right").tolist()
+    return [
+        (";".join(groups[i:j]), pairs[8 * i : 8 * j], len(x), len(y)) for i, j, x, y in zip([0, *stops], stops, a, b)
+    ]
 
 
 class Aligner:
@@ -137,21 +161,22 @@ class Aligner:
 
     def __init__(self, a: ByteLevel, b: Pieces, whole: bool = False):
         self.a, self.b, self.whole = a, b, whole
-        self.known: dict[str, Aligned] = {}
+        self.known: dict[str, Aligned | None] = {}
         self.held = 0
 
-    def __call__(self, text: str) -> Measures:
-        """The measures of a text; nothing is in them if its bytes don't come back."""
-        out = Measures()
-        for chunks in self._blocks(text):
-            for aligned in self._aligned(chunks):
-                if not aligned.sound:
-                    return Measures()
-                out.groups.append(aligned.groups)
-                out.pairs += aligned.pairs
-                out.n_a += aligned.n_a
-                out.n_b += aligned.n_b
-        return out
+    def __call__(self, texts: list[str]) -> list[Aligned]:
+        """What each text comes to; nothing if its bytes don't come back. Each batch of texts is tokenised at once."""
+        out, held = [], []
+        for text in texts:
+            blocks = list(self._blocks(text)) or [[]]
+            if len(blocks) == 1:
+                held += blocks
+            if len(blocks) > 1 or sum(map(len, held)) > CHUNKS:
+                out += map(_joined, self._aligned(held))
+                held = []
+            if len(blocks) > 1:  # a long text, block by block
+                out.append(_joined([x for block in blocks for x in self._aligned([block])[0]]))
+        return [*out, *map(_joined, self._aligned(held))]
 
     def _blocks(self, text: str) -> Iterator[list[str]]:
         """The chunks of a text, in stretches of bounded length where it has single spaces."""
@@ -166,15 +191,23 @@ class Aligner:
             yield _SAFE.split(block) if _BLANK_BESIDE.search(block) else block.split(" ")
             at = end + 1
 
-    def _aligned(self, chunks: list[str]) -> list[Aligned]:
+    def _aligned(self, lists: Sequence[list[str]]) -> list[list[Aligned | None]]:
+        """What the chunks of each list come to."""
         if self.held > REMEMBERED:
             self.known.clear()
             self.held = 0
-        if new := list(set(chunks).difference(self.known)):
-            for chunk, a, b in zip(new, self.a.encode(new), self.b.encode(new)):
-                self.known[chunk] = align(b" " + chunk.encode(), a, b, self.a.bytes, self.b.bytes)
-                self.held += len(chunk) + 16
-        return list(map(self.known.__getitem__, chunks))
+        if new := list(set().union(*lists).difference(self.known)):
+            spaced = [b" " + chunk.encode() for chunk in new]
+            self.known.update(zip(new, align_all(spaced, self.a.encode(new), self.b.encode(new), self.a, self.b)))
+            self.held += sum(map(len, new)) + OVERHEAD * len(new)
+        return [list(map(self.known.__getitem__, chunks)) for chunks in lists]
+
+
+def _joined(found: list[Aligned | None]) -> Aligned:
+    if not found or None in found:
+        return "", b"", 0, 0
+    groups, pairs, n_a, n_b = zip(*found)
+    return ";".join(groups), b"".join(pairs), sum(n_a), sum(n_b)
 
 
 @dataclass(frozen=True)
@@ -198,11 +231,13 @@ def _aligned(texts: DataFrame, path_a: str, path_b: str, whole: bool) -> DataFra
         for batch in batches:
             rows, held = [], 0
             sha, documents = batch.column("text_sha").to_pylist(), batch.column("documents").to_pylist()
-            for key, n, text in zip(sha, documents, batch.column("text")):
-                m = aligner(text.as_py())
-                pairs, times = np.unique(np.array(m.pairs, np.int64), return_counts=True)
-                digest = hashlib.sha256(";".join(m.groups).encode()).hexdigest() if m.n_a else ""
-                rows.append((key, n, m.n_a, m.n_b, len(m.pairs), digest, pairs, times))
+            texts = batch.column("text")
+            slices = (texts.slice(at, TEXTS).to_pylist() for at in range(0, len(texts), TEXTS))
+            of = chain.from_iterable(map(aligner, slices))
+            for key, n, (groups, links, n_a, n_b) in zip(sha, documents, of):
+                pairs, times = np.unique(np.frombuffer(links, "<i8"), return_counts=True)
+                digest = hashlib.sha256(groups.encode()).hexdigest() if n_a else ""
+                rows.append((key, n, n_a, n_b, len(links) // 8, digest, pairs, times))
                 held += len(pairs)
                 if held > BLOCK:
                     yield made(rows)
