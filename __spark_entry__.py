@@ -17,7 +17,7 @@ from daygrain.operators.intervals import INTERVALS, assign_cuts, assign_interval
 from daygrain.operators.labels import active_ids, distinct_ids, labels, population
 from daygrain.operators.log_scalars import log_scalars
 from daygrain.operators.metrics import auc, log_loss
-from daygrain.plans import ensemble, features, model
+from daygrain.plans import features, model
 from daygrain.session import shared_dir
 from daygrain.sources.events import ORDERS, log_from_events, logs_from_events
 from daygrain.sources.logs import (
@@ -29,11 +29,14 @@ from daygrain.sources.logs import (
     write_submission,
     write_table,
 )
+from fixtures import ensemble
 
 try:
     import corpus_pipeline
     from daygrain.llm import queries as llm
-except ImportError:  # that folder may be taken out
+except ModuleNotFoundError as gone:  # that folder may be taken out
+    if gone.name not in ("corpus_pipeline", "daygrain.llm"):
+        raise
     llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -236,6 +239,8 @@ def queries() -> dict[str, Query]:
     out["gbt_train_eval"] = lambda s, d: model.train_and_evaluate(_staged_matrix(s, d))
     out["gbt_importance"] = lambda s, d: model.train_importances(_staged_matrix(s, d))
     out["gbt_submission"] = lambda s, d: model.refit_and_score(_staged_matrix(s, d))
+    out["gbt_score_agreement"] = lambda s, d: model.score_agreement(_staged_matrix(s, d))
+    out["gbt_importance_agreement"] = lambda s, d: model.importance_agreement(_staged_matrix(s, d))
     if llm:
         out |= llm.QUERIES | {"pipeline": llm.on_workers(corpus_pipeline.run)}
     return out
@@ -253,6 +258,10 @@ def oracle_sql() -> dict[str, str]:
             out[f"gap_stats_{log}_{order}"] = oracle.in_order(out[f"gap_stats_{log}"], ORDERS[order])
     out["file_order_gaps"] = oracle.log_stats("launch", {s: s for s in features.GAP_STATS})
     out["file_order_gaps_shuffled"] = oracle.in_order(out["file_order_gaps"], ORDERS["shuffled"])
+    out["gbt_score_agreement"] = oracle.agreement("SELECT user_id FROM pop WHERE interval_id = 3")
+    out["gbt_importance_agreement"] = oracle.agreement(
+        " UNION ALL ".join(f"SELECT '{name}' AS feature" for name in model.INPUTS)
+    )
     out |= oracle.ensemble(CATALOGUE, ensemble.TREES, ensemble.PATIENCE, ensemble.FEATURES)
     out["feature_matrix"] = oracle.matrix(CATALOGUE)
     for order in OTHER_ORDERS:

@@ -120,6 +120,11 @@ def in_order(sql: str, seq: str) -> str:
     return sql.replace("event_id AS seq", f"{seq} AS seq")
 
 
+def agreement(rows: str) -> str:
+    """``rows``, each with ``agrees`` true: what a comparison of two ways must return."""
+    return f"WITH {BASE} SELECT *, true AS agrees FROM ({rows})"
+
+
 def _stat_ctes(log: str, names: dict[str, str]) -> tuple[list[str], list[str]]:
     """CTEs (one per source) with the named statistics of a log, and their names."""
     by_source: dict[str, list[str]] = {}
@@ -305,7 +310,7 @@ def _splits(node) -> list[str]:
 def ensemble(
     catalogue: dict[str, tuple[str, str]], trees: tuple, patience: int, inputs: tuple[str, ...]
 ) -> dict[str, str]:
-    """The queries on the trees of ``plans.ensemble``."""
+    """The queries on the trees of ``fixtures.ensemble``."""
     used = tuple(sorted({name for tree in trees for name in _splits(tree)}))
     outputs = " UNION ALL ".join(
         f"SELECT interval_id, user_id, label, {i} AS round, {_tree(t)} AS v FROM matrix_" for i, t in enumerate(trees, 1)

@@ -69,3 +69,56 @@ def test_refit_scores_every_registered_user(matrix):
 
 def test_features_cover_model_inputs():
     assert set(model.MODEL_FEATURES) <= set(FEATURES)
+
+
+def test_stops_while_training(matrix):
+    """A patience of one round in blocks of two: training ends long before the last round."""
+    trained = model.train(model.assemble(matrix), patience=1, block=2)
+    fitted = len(trained.model.trees)
+    assert fitted < model.ROUNDS and fitted % 2 == 0
+    assert len(trained.auc_by_round) == fitted and trained.best_round <= fitted
+    # the rule held only at the end of the last block
+    assert len(trained.auc_by_round[:-2]) - model.pick_round(list(trained.auc_by_round[:-2]), 1) < 1
+
+
+@pytest.mark.parametrize("block", [1, 3, 10])
+def test_blocks_give_the_trees_of_one_fit(matrix, block):
+    assembled = model.assemble(matrix)
+    whole = model.fit(assembled.where("interval_id = 1"), rounds=4)
+    blocks, values = model.boost(*(assembled.where(f"interval_id = {i}") for i in (1, 2)), rounds=4, block=block)
+    assert list(blocks.treeWeights) == list(whole.treeWeights) and len(values) == 4
+    scores = [
+        m.transform(assembled).select("interval_id", "user_id", vector_to_array("probability")[1].alias(name))
+        for m, name in ((blocks, "a"), (whole, "b"))
+    ]
+    assert scores[0].join(scores[1], ["interval_id", "user_id"]).where("a <> b").isEmpty()
+
+
+def test_node_walk_equals_transform(spark, matrix):
+    assembled = model.assemble(matrix)
+    fitted = model.refit(assembled, rounds=6)
+    rows = assembled.where("interval_id = 3")
+    walked = model.walked_scores(rows, model.node_table(fitted, spark))
+    scores = fitted.transform(rows).select("user_id", vector_to_array("probability")[1].alias("score"))
+    both = walked.join(scores, "user_id")
+    assert both.count() == rows.count() == 120
+    assert both.where("abs(score - result) > 1e-9").isEmpty()
+    agreed = model.score_agreement(matrix, rounds=2)
+    assert agreed.count() == 120 and agreed.where("NOT agrees").isEmpty()
+
+
+def test_node_walk_tells_other_scores_apart(spark, matrix):
+    assembled = model.assemble(matrix)
+    fitted = model.refit(assembled, rounds=3)
+    rows = assembled.where("interval_id = 3")
+    nodes = model.node_table(fitted, spark)
+    other = nodes.withColumn("prediction", F.expr("IF(feature < 0 AND tree = 2, prediction + 0.01, prediction)"))
+    scores = fitted.transform(rows).select("user_id", vector_to_array("probability")[1].alias("score"))
+    assert model.walked_scores(rows, other).join(scores, "user_id").where("abs(score - result) < 1e-9").isEmpty()
+
+
+def test_gains_of_the_node_table_are_those_reported(spark, trained):
+    reported = trained.model.featureImportances.toArray()
+    counted = {r.position: r.gain for r in model.node_gains(model.node_table(trained.model, spark)).collect()}
+    assert all(abs(counted.get(i, 0.0) - g) < 1e-9 for i, g in enumerate(reported))
+    assert abs(sum(counted.values()) - 1) < 1e-9
