@@ -14,11 +14,19 @@ from daygrain.operators.day_table import cut_days, day_table, with_day_windows
 from daygrain.operators.distincts import distinct_counts
 from daygrain.operators.gaps import complete_gap_stats, day_gaps
 from daygrain.operators.intervals import INTERVALS, assign_cuts, assign_intervals, cut, day_span
+from daygrain.operators.interval_table import (
+    assign,
+    cut_days_by_table,
+    feature_days,
+    interval_table,
+    labels_by_table,
+    rolling_intervals,
+)
 from daygrain.operators.labels import active_ids, distinct_ids, labels, population
 from daygrain.operators.log_scalars import log_scalars
 from daygrain.operators.metrics import auc, log_loss
 from daygrain.plans import features, model
-from daygrain.session import shared_dir
+from daygrain.session import shared_dir, staged
 from daygrain.sources.events import ORDERS, log_from_events, logs_from_events
 from daygrain.sources.logs import (
     LOGS,
@@ -42,6 +50,7 @@ except ModuleNotFoundError as gone:  # that folder may be taken out
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOGUE = features.day_table_catalogue()
 OTHER_ORDERS = tuple(order for order in ORDERS if order != "time")
+ROLLED = stats.day_stats() | stats.recency(None) | stats.offset_counts(None) | stats.trailing_counts(None)
 ROWS = stats.Stats({"rows": "sum(n)"}, {"n": "rows"})
 
 
@@ -144,6 +153,26 @@ def _dense_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.select("interval_id", "user_id", "part", "day", "day_rank", "n")
 
 
+def _rolling(rows: DataFrame) -> DataFrame:
+    """200 overlapping weeks over the days of the log."""
+    return rolling_intervals(rows, oracle.ROLLING, width=7, label_width=3)
+
+
+def _assigned_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stack_logs({"launch": log_from_events(spark, sf_dir, "launch")})
+    return assign(rows, feature_days(_rolling(rows))).select("interval_id", "log", "user_id", "day", "seq")
+
+
+def _stats_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = staged(day_table(stack_logs({"launch": log_from_events(spark, sf_dir, "launch")})), "days")
+    return _rounded(stats.summarise(cut_days_by_table(days, _rolling(days)), ROLLED).drop("part"))
+
+
+def _labels_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stack_logs(logs_from_events(spark, sf_dir))
+    return labels_by_table(rows, _rolling(rows.where("log = 'launch'")))
+
+
 def _text_scan(log: str, raw: bool) -> Query:
     """A whole log written as text to a stage folder and read back with its fixed schema."""
 
@@ -205,6 +234,10 @@ def queries() -> dict[str, Query]:
         "interval_cut": lambda s, d: cut(_stacked(s, d, days=(1, 16)), "day", 1, 16).select(*rows),
         "five_cuts": lambda s, d: assign_cuts(_stacked(s, d), "day", INTERVALS).select("interval_id", "cut", *rows),
         "interval_assign": lambda s, d: assign_intervals(_stacked(s, d), "day", INTERVALS).select("interval_id", *rows),
+        "interval_assign_rolling": _assigned_rolling,
+        "day_stats_rolling": _stats_rolling,
+        "labels_rolling": _labels_rolling,
+        "labels_by_table": lambda s, d: labels_by_table(_stacked(s, d), interval_table(s, INTERVALS)),
         "label_build": lambda s, d: labels(_stacked(s, d), INTERVALS),
         "score_population": lambda s, d: distinct_ids(log_from_events(s, d, "register")),
         "population_by_interval": lambda s, d: population(_stacked(s, d), INTERVALS),
@@ -256,6 +289,8 @@ def oracle_sql() -> dict[str, str]:
         out[f"gap_stats_{log}"] = oracle.log_stats(log, named)
         for order in OTHER_ORDERS:
             out[f"gap_stats_{log}_{order}"] = oracle.in_order(out[f"gap_stats_{log}"], ORDERS[order])
+    out["labels_by_table"] = out["label_build"]
+    out["day_stats_rolling"] = oracle.rolling(oracle.log_stats("launch", {s: s for s in ROLLED.outputs}))
     out["file_order_gaps"] = oracle.log_stats("launch", {s: s for s in features.GAP_STATS})
     out["file_order_gaps_shuffled"] = oracle.in_order(out["file_order_gaps"], ORDERS["shuffled"])
     out["gbt_score_agreement"] = oracle.agreement("SELECT user_id FROM pop WHERE interval_id = 3")

@@ -2,7 +2,8 @@
 
 Each function returns the SQL aggregates of one operator and the outputs computed from
 them; an operator can be run alone with ``summarise``, and the feature plan runs all of
-them in a single aggregate. Missing is NULL, never 0.
+them in a single aggregate. Missing is NULL, never 0. Statistics that refer to the interval's last
+day take the intervals, or None for days that carry it as ``last_day``.
 """
 
 from __future__ import annotations
@@ -74,8 +75,10 @@ def day_stats() -> Stats:
     )
 
 
-def recency(intervals: Sequence[Interval]) -> Stats:
+def recency(intervals: Sequence[Interval] | None) -> Stats:
     """Days from the user's latest day to the interval's last day."""
+    if intervals is None:
+        return Stats({"since": "min(last_day - day)"}, {"recency": "bigint(since)"})
     return Stats({"day_max": "max(day)"}, {"recency": f"bigint({last_day(intervals)} - day_max)"})
 
 
@@ -188,13 +191,13 @@ def streaks() -> Stats:
     )
 
 
-def offset_counts(intervals: Sequence[Interval]) -> Stats:
+def offset_counts(intervals: Sequence[Interval] | None) -> Stats:
     """Rows exactly k days before the interval's last day; NULL when there are none."""
     ago = f"{last_day(intervals)} - day"
     return _same({f"ls_{k}": f"sum(IF({ago} = {k}, n, NULL))" for k in OFFSETS})
 
 
-def trailing_counts(intervals: Sequence[Interval]) -> Stats:
+def trailing_counts(intervals: Sequence[Interval] | None) -> Stats:
     """Weighted rows in the last 3, 5 and 7 days, the last day included."""
     ago = f"{last_day(intervals)} - day"
     return Stats(

@@ -40,8 +40,10 @@ def day_span(intervals: Sequence[Interval]) -> tuple[int, int]:
     return min(begins), max(ends)
 
 
-def last_day(intervals: Sequence[Interval]) -> str:
-    """SQL for the reference day of the row's ``interval_id``."""
+def last_day(intervals: Sequence[Interval] | None) -> str:
+    """SQL for the reference day of the row's ``interval_id``; the column ``last_day`` for rows that carry it."""
+    if intervals is None:
+        return "last_day"
     return "CASE interval_id " + " ".join(f"WHEN {iv.interval_id} THEN {iv.end}" for iv in intervals) + " END"
 
 

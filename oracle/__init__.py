@@ -120,6 +120,22 @@ def in_order(sql: str, seq: str) -> str:
     return sql.replace("event_id AS seq", f"{seq} AS seq")
 
 
+ROLLING = 200
+
+
+def rolling(sql: str) -> str:
+    """The same query over ``ROLLING`` weeks spread over the days of the launch log, three label days behind each."""
+    start = BASE.index("iv(interval_id")
+    given = BASE[start : BASE.index("rws AS", start)]
+    weeks = f"""span AS (SELECT min(day) AS f, max(day) AS l FROM logs WHERE part = 'launch'),
+iv AS (
+  SELECT CAST(i + 1 AS INTEGER) AS interval_id, CAST(f + i * greatest(l - f - 5, 1) // {ROLLING} AS INTEGER) AS b,
+    b + 6 AS e, b + 7 AS lb, b + 9 AS le, b + 6 AS bound
+  FROM span, (SELECT unnest(range({ROLLING})) AS i)),
+"""
+    return sql.replace(given, weeks).replace("WHERE pop.interval_id < 3", "")
+
+
 def agreement(rows: str) -> str:
     """``rows``, each with ``agrees`` true: what a comparison of two ways must return."""
     return f"WITH {BASE} SELECT *, true AS agrees FROM ({rows})"
@@ -253,6 +269,10 @@ def simple() -> dict[str, str]:
         "interval_cut": with_base(
             " SELECT part AS log, user_id, day, CAST(seq AS BIGINT) AS seq FROM logs WHERE day BETWEEN 1 AND 16"
         ),
+        "interval_assign_rolling": rolling(with_base(
+            " SELECT interval_id, part AS log, user_id, day, CAST(seq AS BIGINT) AS seq FROM rws WHERE part = 'launch'"
+        )),
+        "labels_rolling": rolling(with_base(" SELECT * FROM labels_")),
         "interval_assign": with_base(" SELECT interval_id, part AS log, user_id, day, CAST(seq AS BIGINT) AS seq FROM rws"),
         "label_build": with_base(" SELECT * FROM labels_"),
         "score_population": with_base(" SELECT user_id FROM pop WHERE interval_id = 3"),
