@@ -10,12 +10,10 @@ laid end to end: full windows, and a last rest of power-of-two lengths, which ne
 
 from __future__ import annotations
 
-import os
-import re
-import string
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -23,95 +21,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daygrain.llm.byte_level import ByteLevel
 from daygrain.llm.common import Batches, staged, table
 
 WINDOW, OPEN_WINDOWS, MIN_CUT, MERGE_GROUP = 2048, 16, 16, 64
 END_ID = 1
-#: Characters of a text handled at once, and chunks of text remembered by a worker.
-BLOCK, REMEMBERED = 1 << 18, 1 << 20
-BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace()]
 PIECES = (
     "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
     "open boolean, ids binary"
 )
 
-_encoders: dict[str, Encoder] = {}
-
-
-class Encoder:
-    """Texts to little-endian uint32 ids, for a byte-level vocabulary.
-
-    Its pretokens never cross a single space between two non-blanks, so the chunks between
-    such spaces are encoded once each and remembered.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
-        self.safe = re.compile(r"(?<=\S) (?=\S)")
-
-    def encode(self, text: str) -> bytes:
-        if len(text) <= BLOCK:
-            return self._block(text)
-        parts, at = [], 0
-        while at < len(text):
-            cut = self.safe.search(text, at + BLOCK)
-            end = cut.start() if cut else len(text)
-            parts.append(self._block(text[at:end]))
-            at = end
-        return b"".join(parts)
-
-    def _block(self, text: str) -> bytes:
-        """The first chunk and each later one with the space before it."""
-        lead = text[:1] == " "  # the space that a block was cut at
-        body = text[1:] if lead else text
-        chunks = self.safe.split(body) if _blank_run(body) else body.split(" ")
-        first, rest = (" " if lead else "") + chunks[0], chunks[1:]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-            self.marks.clear()
-        if new := set(rest).difference(known):
-            self._learn(new)
-        return self._plain([first])[0] + b"".join(map(known.__getitem__, rest))
-
-    def _learn(self, new: set[str]) -> None:
-        """Marks that end a chunk after a letter or digit are a pretoken of their own."""
-        known, marked = self.known, []
-        plain = set()
-        for chunk in new:
-            word = chunk.rstrip(string.punctuation)
-            if word != chunk and word and word[-1].isalnum():
-                marked.append((chunk, word, chunk[len(word) :]))
-                chunk = word
-            if chunk not in known:
-                plain.add(chunk)
-        known.update(zip(plain, self._plain([" " + c for c in plain])))
-        if marks := {m for _, _, m in marked}.difference(self.marks):
-            self.marks.update(zip(marks, self._plain(list(marks))))
-        known.update((chunk, known[word] + self.marks[mark]) for chunk, word, mark in marked)
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        made = self.model.encode_batch_fast(texts, add_special_tokens=False)
-        return [struct.pack(f"<{len(e)}I", *e.ids) for e in made]
-
-
-def _encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
-def _blank_run(text: str) -> bool:
-    """Whether a space stands at an end or beside other white space."""
-    if text[:1].isspace() or text[-1:].isspace():
-        return True
-    return any(w in text and (" " + w in text or w + " " in text) for w in BLANKS)
+@lru_cache(maxsize=1)
+def encoder(path: str) -> ByteLevel:
+    """Loaded once in a worker; of the size of its file."""
+    return ByteLevel(path)
 
 
 class Packer:
@@ -198,7 +121,8 @@ def pack(
     """Pieces of documents in sequences: key, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     With ``keep_ids`` also ``ids`` (little-endian uint32). A document is its ids and a
-    closing id 1; a null or empty text is that id alone. Rows with equal or null keys are
+    closing id 1; a null or empty text is that id alone, and the special tokens' strings in a text are
+    their ids. Rows with equal or null keys are
     separate documents, an empty table gives no rows, other columns play no part.
     The sequence ids depend on the
     partitions of the input, not on the order of tasks; ids of documents reach other tasks
@@ -209,13 +133,13 @@ def pack(
     end = struct.pack("<I", END_ID)
 
     def run(batches: Batches) -> Batches:
-        encoder = _encoder(tokenizer)
+        vocabulary = encoder(tokenizer)
         packer = Packer(size, open_windows, min_cut, TaskContext.get().partitionId() << 33)
         types = None
         for batch in batches:
             types = batch.schema.field("key").type
             for k, t in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
-                ids = (encoder.encode(t) if t else b"") + end
+                ids = (vocabulary.packed_ids(t) if t else b"") + end
                 packer.add(k, 0, ids, len(ids) // 4)
                 if len(packer.done) >= 1024:
                     yield out(packer, types)

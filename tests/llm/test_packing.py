@@ -1,13 +1,18 @@
 """Packing: an exact round trip of ids, and little padding."""
 
+import json
 import random
 import struct
+import unicodedata
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
+from tokenizers import Tokenizer
 
 from daygrain.llm import packing
+from daygrain.llm.byte_level import ByteLevel, _is_plain
 
 from corpus import odd_rows, prose
 
@@ -16,11 +21,12 @@ PATH = packing.tokenizer_path()
 
 @pytest.fixture(scope="module")
 def encoder():
-    return packing.Encoder(PATH)
+    """The tokenizer as its library loads it."""
+    return Tokenizer.from_file(PATH)
 
 
 def plain(encoder, text):
-    return encoder.model.encode(text, add_special_tokens=False).ids
+    return encoder.encode(text, add_special_tokens=False).ids
 
 
 ODD = [
@@ -30,19 +36,39 @@ ODD = [
 ]
 
 
-@pytest.mark.parametrize("text", ODD)
-def test_encoder_equals_the_tokenizer(encoder, text):
-    assert list(struct.unpack(f"<{len(encoder.encode(text)) // 4}I", encoder.encode(text))) == plain(encoder, text)
+def packed(ids):
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def test_encoder_on_random_text(encoder, monkeypatch):
-    monkeypatch.setattr(packing, "BLOCK", 50)
-    monkeypatch.setattr(packing, "REMEMBERED", 60)
+@pytest.mark.parametrize("text", [*ODD, "a" * 30000, " " * 5000, "\n" * 5000 + "x", "<|endoftext|>", " <|endoftext|> <|endoftext|>\n"])
+def test_ids_equal_the_tokenizer(encoder, text):
+    ours = packing.encoder(PATH)
+    assert ours.ranked and ours.packed_ids(text) == packed(plain(encoder, text))
+
+
+@pytest.mark.parametrize("special", [True, False])
+def test_ids_of_random_text(special):
+    theirs, ours = Tokenizer.from_file(PATH), ByteLevel(PATH, special)
+    theirs.encode_special_tokens = not special
     rng = random.Random(8)
-    alphabet = "ab é\n\t .,'s1²! \x1f"
-    for _ in range(300):
-        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 160)))
-        assert encoder.encode(text) == b"".join(struct.pack("<I", i) for i in plain(encoder, text)), repr(text)
+    pieces = [*"ab é\n\t .,'s1²!\x1f日😀́", "<|endoftext|>", "'ll", "  ", *map(chr, range(0x20, 0x3200, 7))]
+    for _ in range(400):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 160)))
+        assert ours.ids(text) == plain(theirs, text), repr(text)
+
+
+def test_every_assigned_character_between_letters(encoder):
+    ours = packing.encoder(PATH)
+    signs = [chr(c) for c in range(0x30000) if unicodedata.category(chr(c)) not in ("Cs", "Cn", "Co")]
+    for at in range(0, len(signs), 500):
+        text = "".join(f"a{c}b {c}1{c} " for c in signs[at : at + 500])
+        assert ours.ids(text) == plain(encoder, text)
+
+
+def test_other_files_are_left_to_their_library():
+    path = str(Path(PATH).with_name("word_bpe_49k.json"))
+    assert not _is_plain(json.loads(Path(path).read_text()))
+    assert _is_plain(json.loads(Path(PATH).read_text()))
 
 
 def check(rows, pieces, encoder, size):
