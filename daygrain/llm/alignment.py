@@ -16,7 +16,6 @@ task. Nothing else but the vocabularies reaches all tasks.
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 import struct
 from collections.abc import Iterator, Sequence
@@ -29,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daygrain.llm.byte_level import ByteLevel
 from daygrain.llm.common import Batches, staged, table
 
 #: Characters of the chunks that a task remembers, what each counts for beside them, and characters handled at once.
@@ -45,13 +45,6 @@ _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _BLANK_BESIDE = re.compile(r"\s\s|^\s|\s$")
 
 
-def byte_of_sign() -> dict[str, int]:
-    """The byte that each sign of a byte-level vocabulary stands for: printable ones for themselves, the rest from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Vocabulary:
     """The bytes of each id, and their numbers."""
 
@@ -62,25 +55,15 @@ class Vocabulary:
         return np.fromiter(map(len, self.bytes), np.int64, len(self.bytes))
 
 
-class ByteLevel(Vocabulary):
-    """Texts to ids of a byte-level vocabulary."""
+class Spaced(Vocabulary):
+    """Texts with a space before them to ids of a byte-level vocabulary; special tokens' strings are ordinary text."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        signs = byte_of_sign()
-        special = {t.content for t in self.model.get_added_tokens_decoder().values()}
-        vocabulary = self.model.get_vocab(with_added_tokens=True)
-        self.bytes = [b""] * (max(vocabulary.values()) + 1)
-        for s, i in vocabulary.items():
-            self.bytes[i] = s.encode() if s in special else bytes(signs[c] for c in s)
+        self.model = ByteLevel(path, special=False)
+        self.bytes = self.model.bytes
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of a space and each text."""
-        return [e.ids for e in self.model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        return [self.model.ids(" " + t) for t in texts]
 
 
 class Pieces(Vocabulary):
@@ -101,9 +84,9 @@ class Pieces(Vocabulary):
 
 
 @lru_cache(maxsize=2)
-def _tokenizers(path_a: str, path_b: str) -> tuple[ByteLevel, Pieces]:
+def _tokenizers(path_a: str, path_b: str) -> tuple[Spaced, Pieces]:
     """Loaded once in a worker; of the size of their files."""
-    return ByteLevel(path_a), Pieces(path_b)
+    return Spaced(path_a), Pieces(path_b)
 
 
 #: A chunk's groups as text, its linked pairs as int64 (a << 32 | b) in bytes, and its numbers of tokens.
@@ -159,7 +142,7 @@ def align_all(texts: list[bytes], a: list[list[int]], b: list[list[int]], of_a:
 class Aligner:
     """Aligns texts chunk by chunk; what it remembers lives as long as a task."""
 
-    def __init__(self, a: ByteLevel, b: Pieces, whole: bool = False):
+    def __init__(self, a: Spaced, b: Pieces, whole: bool = False):
         self.a, self.b, self.whole = a, b, whole
         self.known: dict[str, Aligned | None] = {}
         self.held = 0

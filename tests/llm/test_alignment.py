@@ -15,7 +15,7 @@ PATHS = al.tokenizer_paths()
 
 @pytest.fixture(scope="module")
 def tokenizers():
-    return al.ByteLevel(PATHS[0]), al.Pieces(PATHS[1])
+    return al.Spaced(PATHS[0]), al.Pieces(PATHS[1])
 
 
 def spans(tokens):
