@@ -92,7 +92,7 @@ def _blocks(benchmark: DataFrame, item: str, text: str, size: int, limit: int) -
         cut = max(size, limit // 64)
         for i in range(0, max(1, len(words) - size + 1), cut):
             part = words[i : i + cut + size - 1]
-            if part and key is not None:
+            if part:
                 block.append((key, part))
                 used += sum(map(len, part)) + 64 * len(part)
             if used >= limit:
@@ -114,7 +114,8 @@ def contamination(
     """``docs`` with n_words, hit_spans (start and end words, disjoint and ordered) and hit_items (sorted).
 
     One row out for each row in; no shuffle. Null and empty texts have no words, an empty
-    benchmark hits nothing, and items with a null id or without words are not looked for.
+    benchmark hits nothing, and items without words are not looked for. Items with a null id
+    hit like others and are one null at the end of hit_items. Texts of any length are scanned whole.
     Equal rows get equal results. Columns of ``docs`` named as a result are replaced.
     """
     fields = "n_words long, hit_spans array<struct<start: int, end: int>>, hit_items array<string>"
@@ -139,7 +140,7 @@ def contamination(
                     items |= set(known)
                 counts.append(len(words))
                 all_spans.append([{"start": a, "end": b} for a, b in spans])
-                all_items.append(sorted(items))
+                all_items.append(sorted(items, key=lambda i: (i is None, i or "")))
             return [
                 pa.array(counts, pa.int64()),
                 pa.array(all_spans, pa.list_(span)),

@@ -23,7 +23,7 @@ def brute(rows, items, size=13):
     for item, text in items:
         w = words(text)
         m = min(size, len(w))
-        for i in range(len(w) - m + 1 if m and item is not None else 0):
+        for i in range(len(w) - m + 1 if m else 0):
             windows.setdefault(tuple(w[i : i + m]), set()).add(item)
     out = []
     for _, text in rows:
@@ -34,7 +34,7 @@ def brute(rows, items, size=13):
                 if items_ := windows.get(tuple(w[i : i + m])):
                     found |= items_
                     hit[i : i + m] = [True] * m
-        out.append((len(w), sum(hit), sorted(found)))
+        out.append((len(w), sum(hit), sorted(found, key=lambda i: (i is None, i or ""))))
     return out
 
 
