@@ -25,23 +25,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.llm.common import Batches, table
+from daygrain.llm.common import Batches, staged, table
 
 #: Pages and share of a host's pages that a template token stands on at least.
 MIN_PAGES, MIN_SHARE = 3, 0.6
-#: Copies of a host's template, so that the pages of a large host are spread.
-SALTS = 16
+#: Tokens of all templates up to which they are broadcast (16 bytes each), and beyond it the copies of a host's template.
+MOST_TOKENS, SALTS = 1 << 20, 16
 
 RAW = "script|style|title|textarea|noscript|iframe|template|svg|annotation-xml|annotation|object|select|xmp"
+# As in a browser, a quote counts only behind an equals sign, and a tag that isn't closed takes the rest of the page:
+# every pattern matches where it begins to, so that a page is read once.
+ATTRIBUTES = r"(?:=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))|[^>])*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|<[!?/][^>]*>"
+    rf"|<(?P<raw>{RAW})(?![a-z0-9:-]){ATTRIBUTES}(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*+)(?P<attributes>{ATTRIBUTES})(?:>|\Z)"
+    r"|<[!?/][^>]*+(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
     re.IGNORECASE | re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"([a-z:-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)|\b(hidden)\b", re.IGNORECASE)
+ATTRIBUTE = re.compile(
+    r"(?:^|(?<=[\s\"'/]))(?:([a-z:-]++)\s*+=\s*+(\"[^\"]*+\"?|'[^']*+'?|[^\s\"'>]++)|(hidden)(?=[\s/]|$))", re.IGNORECASE
+)
 BLANK = re.compile(r"\s+")
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,6 +60,8 @@ CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
     "th": {"td", "th", "tr"}, "option": {"option"},
 }
+#: tag -> the elements that end where it begins.
+CLOSES = {tag: [k for k, v in CLOSED_BY.items() if tag in v] for tag in CLOSED_BY}
 INLINE_P = BLOCK - {"caption", "td", "th", "tr", "tbody", "thead", "tfoot"}
 
 DROPPED = set("nav footer aside form button dialog menu label input head audio video canvas".split())
@@ -70,6 +77,13 @@ NAMED = re.compile(rf"(?:^|[\s_-])(?:{NAMES})(?:$|[\s_-])", re.IGNORECASE)
 HEADED = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.IGNORECASE)
 ARTICLE = {"article", "main"}
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+#: In an article only boxes go by their name, and only if it is a whole one: "share", "share-buttons", not "notice-of-motion".
+BOXES = set("div section aside ul ol".split())
+WHOLE = re.compile(
+    rf"(?:^|\s)(?:{NAMES})(?:[_-](?:bar|block|box|button|buttons|container|form|inner|links?|list|module|section|thread|unit|"
+    r"widget|wrapper|wrap))*(?:$|\s)",
+    re.IGNORECASE,
+)
 #: Ids that a section of an article is dropped for; others are anchors of its text.
 REMARKS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|reply|replies)(?:$|[\s_-])", re.IGNORECASE)
 
@@ -78,12 +92,12 @@ REMARKS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|reply|replies)(?:$|[\s_-]
 class Block:
     text: str
     token: int
-    at: int  # place among the page's tokens
     inside: bool  # of an article or main
+    heading: bool
 
 
-def _token(path: str, text: str = "") -> int:
-    body = f"{path}\0{text}".encode()
+def _token(path: int, text: str = "") -> int:
+    body = b"%d\0%s" % (path, text.encode("utf-8", "surrogatepass"))
     return (zlib.crc32(body) << 31) ^ zlib.crc32(body[::-1])
 
 
@@ -101,22 +115,43 @@ def _holds_boilerplate(tag: str, attributes: str, inside: bool) -> bool:
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
             return True
         if name in ("class", "id") and tag not in ARTICLE:
-            # in an article, names of headings, paragraphs and inline elements tell what the text is about
-            if inside and (tag in HEADINGS or tag == "p" or tag not in BLOCK):
+            # in an article, most names tell what the text is about
+            if inside and tag not in BOXES or inside and tag == "section" and name == "id" and not REMARKS.search(value):
                 continue
-            if inside and tag == "section" and name == "id" and not REMARKS.search(value):
-                continue
-            if NAMED.search(value) or not inside and HEADED.search(value):
+            if (WHOLE if inside else NAMED).search(value) or not inside and HEADED.search(value):
                 return True
     return False
 
 
+class Elements:
+    """The open elements of a page: tag, dropped, inside an article, path. Each tag's places are at hand."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool, bool, int]] = []
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+
+    def push(self, tag: str, dropped: bool, inside: bool, path: int) -> None:
+        self.places[tag].append(len(self.stack))
+        self.stack.append((tag, dropped, inside, path))
+
+    def pop_to(self, n: int) -> None:
+        while len(self.stack) > n:
+            self.places[self.stack.pop()[0]].pop()
+
+    def last(self, tags, stop=()) -> int:
+        """The place of the innermost open element of ``tags``, or -1 if there is none inside those of ``stop``."""
+        found, barrier = (max((p[-1] for t in names if (p := self.places.get(t))), default=-1) for names in (tags, stop))
+        return found if found > barrier else -1
+
+    def top(self) -> tuple[bool, bool, int]:
+        return self.stack[-1][1:] if self.stack else (False, False, 0)
+
+
 def parse(page: str) -> tuple[list[int], list[Block]]:
-    """All tokens of a page in order, and the blocks of text that no boilerplate element holds."""
+    """All tokens of a page in order, and the blocks of text that no boilerplate element holds. Linear in the page."""
     tokens: list[int] = []
     blocks: list[Block] = []
-    open_: list[tuple[str, bool, bool]] = []  # tag, dropped, inside an article
-    paths = [""]
+    elements = Elements()
     held: list[str] = []
 
     def flush() -> None:
@@ -124,24 +159,11 @@ def parse(page: str) -> tuple[list[int], list[Block]]:
             text = BLANK.sub(" ", html.unescape("".join(held))).strip()
             held.clear()
             if text:
-                dropped, inside = open_[-1][1:] if open_ else (False, False)
-                token = _token(paths[-1], text)
+                dropped, inside, path = elements.top()
+                token = _token(path, text)
                 tokens.append(token)
                 if not dropped:
-                    blocks.append(Block(text, token, len(tokens) - 1, inside))
-
-    def pop_to(n: int) -> None:
-        del open_[n:]
-        del paths[n + 1 :]
-
-    def last(tags, stop=()) -> int:
-        """The place of the innermost open element of ``tags``, or -1 if there is none before ``stop``."""
-        for i in range(len(open_) - 1, -1, -1):
-            if open_[i][0] in tags:
-                return i
-            if open_[i][0] in stop:
-                return -1
-        return -1
+                    blocks.append(Block(text, token, inside, elements.last(HEADINGS) >= 0))
 
     for m in TOKEN.finditer(page):
         text, tag = m["text"], m["tag"]
@@ -154,31 +176,28 @@ def parse(page: str) -> tuple[list[int], list[Block]]:
         # text under an element that is dropped must not run on into its surroundings
         starts_block = tag in BLOCK
         if m["end"]:
-            at = last((tag,))
-            if starts_block or at >= 0 and open_[at][1]:
+            at = elements.last((tag,))
+            if starts_block or at >= 0 and elements.stack[at][1]:
                 flush()
             if at >= 0:
-                pop_to(at)
+                elements.pop_to(at)
             continue
-        inside = bool(open_) and open_[-1][2]
-        dropped = bool(open_) and open_[-1][1]
+        dropped, inside, _ = elements.top()
         attributes = m["attributes"]
         drops = not dropped and _holds_boilerplate(tag, attributes, inside)
         if starts_block or drops:
             flush()
-        if tag in INLINE_P and (at := last(("p",), ("table", "td", "th", "div", "section", "article"))) >= 0:
-            pop_to(at)
-        elif tag in CLOSED_BY and (at := last([k for k, v in CLOSED_BY.items() if tag in v], ("ul", "ol", "dl", "table"))) >= 0:
-            pop_to(at)
-        inside = bool(open_) and open_[-1][2]
-        dropped = bool(open_) and open_[-1][1]
-        path = f"{paths[-1]}/{tag}"
-        tokens.append(_token(path))
+        if tag in INLINE_P and (at := elements.last(("p",), ("table", "td", "th", "div", "section", "article"))) >= 0:
+            elements.pop_to(at)
+        elif tag in CLOSED_BY and (at := elements.last(CLOSES[tag], ("ul", "ol", "dl", "table"))) >= 0:
+            elements.pop_to(at)
+        dropped, inside, path = elements.top()
+        path = _token(path, tag)
+        tokens.append(path)
         if tag == "br" or tag == "hr":
             held.append(" ")
         if tag not in VOID and not attributes.rstrip().endswith("/"):
-            open_.append((tag, dropped or drops, inside or tag in ARTICLE and not (dropped or drops)))
-            paths.append(path if len(open_) < 64 else paths[-1])
+            elements.push(tag, dropped or drops, inside or tag in ARTICLE and not (dropped or drops), path)
     flush()
     return tokens, blocks
 
@@ -213,13 +232,26 @@ def _nests(spans: list[tuple[int, int]], cut: list[int]) -> bool:
 
 
 def main_text(page: str | None, classes: dict[int, int]) -> str:
-    """The slots' text of a page, blocks parted by an empty line."""
+    """The slots' text of a page, blocks parted by an empty line.
+
+    In an article, a heading that the template repeats is kept where slots follow it: it is
+    the title of a part of the text.
+    """
     if not page:
         return ""
     tokens, blocks = parse(page)
     template = valid_tokens(tokens, classes) if classes else set()
     has_article = any(b.inside for b in blocks)
-    return "\n\n".join(b.text for b in blocks if b.token not in template and b.inside >= has_article)
+    text, titles = [], []
+    for b in blocks:
+        if b.inside < has_article:
+            continue
+        if b.token not in template:
+            text += [*titles, b.text]
+            titles = []
+        else:
+            titles = [*titles, b.text] if b.inside and b.heading else []
+    return "\n\n".join(text)
 
 
 def host_of(url: str) -> F.Column:
@@ -228,14 +260,15 @@ def host_of(url: str) -> F.Column:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, tokens: array of (token, class)) from pages (host, row_key, html)."""
+    """(host, tokens: array of (token, class)) from pages (host, html)."""
 
     def count(batches: Batches) -> Batches:
         for batch in batches:
-            seen: dict[tuple[str, int], list[int]] = {}
-            for host, row, page in zip(*[c.to_pylist() for c in batch.columns]):
-                for token, n in Counter(parse(page or "")[0]).items():
-                    body = b"%d %d" % (row, n)
+            seen: dict[tuple[str, int | None], list[int]] = {}
+            for host, content, page in zip(*[c.to_pylist() for c in batch.columns]):
+                # the token None counts the pages of the host
+                for token, n in [(None, 1), *Counter(parse(page)[0]).items()]:
+                    body = b"%d %d" % (content, n)
                     mark = (zlib.crc32(body) << 31) ^ zlib.crc32(body[::-1])
                     held = seen.setdefault((host, token), [0, 0])
                     held[0] ^= mark
@@ -252,40 +285,50 @@ def templates(pages: DataFrame) -> DataFrame:
             )
 
     # copies of a page are one page: they tell nothing of what the host's pages have in common
-    contents = pages.select("host", F.xxhash64("html").alias("content"), F.length("html").alias("length"), "row_key")
-    firsts = contents.groupBy("host", "content", "length").agg(F.min("row_key").alias("row_key")).select("host", "row_key")
-    pages = pages.join(firsts.select("row_key"), "row_key", "left_semi")
-    parsed = pages.select("host", "row_key", "html").mapInArrow(count, "host string, token long, vector long, n long")
-    vectors = parsed.groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("n").alias("n"))
-    sizes = firsts.groupBy("host").agg(F.count("*").alias("pages"))
-    frequent = vectors.where(F.col("n") >= MIN_PAGES).join(sizes, "host").where(F.col("n") >= MIN_SHARE * F.col("pages"))
+    distinct = pages.where("html <> ''").select("host", "html").distinct()
+    parsed = distinct.select("host", F.xxhash64("html").alias("content"), "html").mapInArrow(
+        count, "host string, token long, vector long, n long"
+    )
+    vectors = staged(parsed.groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("n").alias("n")), "vectors")
+    sizes = vectors.where("token IS NULL").select("host", F.col("n").alias("pages"))
+    frequent = vectors.where(F.col("token").isNotNull() & (F.col("n") >= MIN_PAGES)).join(sizes, "host")
+    frequent = frequent.where(F.col("n") >= MIN_SHARE * F.col("pages"))
     return frequent.groupBy("host").agg(F.collect_list(F.struct("token", F.xxhash64("vector", "n").alias("class"))).alias("tokens"))
 
 
-def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
+def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", most: int = MOST_TOKENS) -> DataFrame:
     """key, url, text and n_chars (code points) of every row of ``pages``.
 
     A null or empty page has empty text. Pages without a host are one host's. Equal rows
     are pages of their own. Unclosed and misnested elements end where a browser would end
-    them, near enough. Other columns play no part.
+    them, near enough. A page of any length is read once, in time that grows with it. An empty table gives no
+    rows, other columns play no part. Templates of up to ``most`` tokens in all are broadcast, more are
+    joined by host and salt, so that the pages of a large host are spread.
     """
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(page).alias("html"), host_of(url).alias("host"))
-    found = templates(rows.withColumn("row_key", F.monotonically_increasing_id()))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted = found.select("host", "tokens", salts.alias("salt"))
-    spread = rows.withColumn("salt", F.pmod(F.xxhash64("key", "url", F.length("html")), F.lit(SALTS)).cast("int"))
-    joined = spread.join(salted, ["host", "salt"], "left").select("key", "url", "html", "tokens")
+    found = staged(templates(rows), "templates")
+    if (found.agg(F.sum(F.size("tokens"))).first()[0] or 0) <= most:
+        joined = rows.join(F.broadcast(found), "host", "left")
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        salted = found.select("host", "tokens", salts.alias("salt"))
+        spread = rows.withColumn("salt", F.pmod(F.xxhash64("key", "url", F.length("html")), F.lit(SALTS)).cast("int"))
+        joined = spread.join(salted, ["host", "salt"], "left")
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            texts = []
-            for body, tokens in zip(batch.column("html").to_pylist(), batch.column("tokens").to_pylist()):
-                texts.append(main_text(body, {t["token"]: t["class"] for t in tokens or ()}))
+            texts, known = [], {}
+            bodies, hosts, tokens = (batch.column(c) for c in ("html", "host", "tokens"))
+            for n, (body, host) in enumerate(zip(bodies.to_pylist(), hosts.to_pylist())):
+                if host not in known:
+                    known[host] = {t["token"]: t["class"] for t in tokens[n].as_py() or ()}
+                texts.append(main_text(body, known[host]))
             columns = [batch.column("key"), batch.column("url"), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(map(len, texts), pa.int64())], names=[key, "url", "text", "n_chars"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    return joined.mapInArrow(run, f"`{key}` {kind}, url string, text string, n_chars long")
+    columns = joined.select("key", "url", "html", "host", "tokens")
+    return columns.mapInArrow(run, f"`{key}` {kind}, url string, text string, n_chars long")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

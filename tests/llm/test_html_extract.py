@@ -1,5 +1,8 @@
 """HTML extraction: layouts, boilerplate, templates of hosts, odd markup."""
 
+import random
+import time
+
 import pytest
 
 from daygrain.llm import html_extract
@@ -94,6 +97,73 @@ def test_names_in_an_article_that_tell_of_its_text():
     assert text(page) == "so x=1 holds"
 
 
+@pytest.mark.parametrize("page", [
+    "<p data-hidden>kept</p>", "<div class='notice-of-motion'>kept</div>", "<ul class='menu-items'><li>kept</ul>",
+    "<blockquote class='reply'>kept</blockquote>", "<table id='search'><tr><td>kept</table>", "<p it's>kept</p>",
+    "<p title=it's>kept</p>", "<p title='a>b' \"x>kept</p>", "<titlepage>kept</titlepage>", "<p data-x='hidden'>kept</p>",
+])
+def test_text_of_an_article_is_kept(page):
+    assert text(f"<article>{page}</article>") == "kept"
+
+
+def test_repeated_headings_of_an_article_are_kept(spark):
+    page = (
+        "<body><div>Kitchen</div><article><h1>Cake {0}</h1><h2>Ingredients</h2><ul><li>{0} eggs</ul><h2>Method</h2><p>Bake {0}."
+        "</p><h2>More from us</h2><p>Our book.</p></article></body>"
+    )
+    rows = [(i, "https://cakes.example/", page.format(i)) for i in range(6)]
+    got = {r.page_id: r.text for r in html_extract.extract(pages(spark, rows)).collect()}
+    assert got == {i: f"Cake {i}\n\nIngredients\n\n{i} eggs\n\nMethod\n\nBake {i}." for i in range(6)}
+
+
+def brute_classes(rows):
+    """{host: {token: class}} by comparing whole occurrence vectors over the host's distinct pages."""
+    out = {}
+    for host in {h for h, _ in rows}:
+        distinct = sorted({p for h, p in rows if h == host and p})
+        vectors = {}
+        for n, page in enumerate(distinct):
+            for token in html_extract.parse(page)[0]:
+                vectors.setdefault(token, [0] * len(distinct))[n] += 1
+        kept = {t: tuple(v) for t, v in vectors.items() if (n := sum(map(bool, v))) >= 3 and n >= 0.6 * len(distinct)}
+        out[host] = kept
+    return out
+
+
+@pytest.mark.parametrize("most", [html_extract.MOST_TOKENS, 0])
+def test_classes_and_texts_match_brute_force(spark, most):
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        host = rng.choice("abc")
+        parts = [f"<div>{host} head</div>"] * rng.choice([1, 1, 1, 2])
+        parts += [f"<p>{rng.choice(['same', 'other', str(rng.random())])}</p>" for _ in range(rng.randint(0, 5))]
+        parts += [f"<ul>{''.join(f'<li>{x}' for x in range(rng.randint(0, 3)))}</ul><div>{host} foot</div>"]
+        rows.append((i, f"http://{host}.example/{i}", "".join(parts)))
+    rows += [(100 + i, url, page) for i, (_, url, page) in enumerate(rows[:10])]
+    frame = spark.createDataFrame([(u[7:].split("/")[0], p) for _, u, p in rows], "host string, html string")
+    brute = brute_classes([(u[7:].split("/")[0], p) for _, u, p in rows])
+    for r in html_extract.templates(frame).collect():
+        got = {t["token"]: t["class"] for t in r.tokens}
+        want = brute[r.host]
+        assert set(got) == set(want)
+        assert len(set(zip(got.values(), (want[t] for t in got)))) == len(set(got.values())) == len(set(want.values()))
+    texts = {r.page_id: r.text for r in html_extract.extract(pages(spark, rows).repartition(3), most=most).collect()}
+    for i, url, page in rows:
+        assert texts[i] == html_extract.main_text(page, brute[url[7:].split("/")[0]])
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<b>" * 170_000 + "</i>" * 170_000, "<!" * 500_000, "<script" * 150_000, "<a x='" * 170_000, "<p><table>" + "<b>" * 100_000 + "<h1>" * 100_000,
+    "<div>" * 100_000 + "x" + "</div>" * 100_000, "</" * 500_000, "<a b=" * 200_000, "< " * 500_000, "hidden " * 100_000,
+])
+def test_a_megabyte_of_odd_markup_is_read_at_once(page):
+    start = time.time()
+    text(page)
+    text(f"<p {page}>")
+    assert time.time() - start < 12
+
+
 def test_classes_must_be_ordered_and_nested():
     a, b, c, d, x = 1, 2, 3, 4, 9
     classes = {a: 10, b: 10, c: 20, d: 20}
