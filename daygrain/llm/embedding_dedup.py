@@ -125,9 +125,8 @@ def near_duplicates(
 
     blocks = staged(_blocks(classes, block), "blocks")
     found = staged(_compared(blocks, threshold), "links")
-    ends = found.selectExpr("a AS class", "n_b AS n").unionByName(found.selectExpr("b AS class", "n_a AS n"))
-    linked = ends.groupBy("class").agg(F.sum("n").alias("others"))
-    of = components(found, "a", "b", "links").withColumnsRenamed({"node": "class", "component": "root"})
+    linked = found.where("b IS NULL").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("others"))
+    of = components(found.where("b IS NOT NULL"), "a", "b", "links").withColumnsRenamed({"node": "class", "component": "root"})
     placed = members.join(linked, "class", "left").join(of, "class", "left")
     placed = placed.withColumn("root", F.coalesce("root", "class"))
     least = placed.groupBy("root").agg(F.min("id").alias("component_id"))
@@ -218,8 +217,43 @@ def _blocks(classes: DataFrame, block: int) -> DataFrame:
     )
 
 
+def forest(i: np.ndarray, j: np.ndarray, n: int, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (of ``n``) and columns (of ``m``) of links that join what the links (i, j) join, and no more than are needed.
+
+    Breadth first from each row in turn; a link is looked at once from either end.
+    """
+    linked = np.zeros((n, m), bool)
+    linked[i, j] = True
+    new_row, new_column = linked.any(axis=1), linked.any(axis=0)
+    rows, columns = [], []
+    for start in np.flatnonzero(new_row):
+        if not new_row[start]:
+            continue
+        new_row[start] = False
+        front = np.array([start])
+        while len(front):
+            met = np.flatnonzero(new_column)
+            seen = linked[np.ix_(front, met)]
+            met, seen = met[hit := seen.any(axis=0)], seen[:, hit]
+            rows.append(front[seen.argmax(axis=0)])
+            columns.append(met)
+            new_column[met] = False
+            back = np.flatnonzero(new_row)
+            seen = linked[np.ix_(back, met)]
+            back, seen = back[hit := seen.any(axis=1)], seen[hit]
+            rows.append(back)
+            columns.append(met[seen.argmax(axis=1)] if len(back) else met[:0])
+            new_row[back] = False
+            front = back
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate([*none, *rows]), np.concatenate([*none, *columns])
+
+
 def _compared(blocks: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between classes and their weights n_a, n_b."""
+    """What the links between classes come to: ``a, b`` that join them, and ``a, n``, the linked rows of other classes.
+
+    The rows of two blocks are at most two per class, however many links there are.
+    """
     centres = blocks.select("label", "dim", "block", "centre", "radius")
     a = centres.withColumnsRenamed({"block": "a", "centre": "centre_a", "radius": "radius_a"})
     b = centres.withColumnsRenamed({"block": "b", "centre": "centre_b", "radius": "radius_b"})
@@ -236,12 +270,21 @@ def _compared(blocks: DataFrame, threshold: float) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 x, y = (np.frombuffer(r[f"matrix_{s}"]).reshape(-1, r[f"dim_{s}"]) for s in "ab")
-                i, j = links(x, y, threshold, r["a"] == r["b"])
-                columns = [np.array(r["ids_a"])[i], np.array(r["ids_b"])[j]]
-                columns += [np.array(r["weights_a"])[i], np.array(r["weights_b"])[j]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "n_a", "n_b"])
-
-    return both.mapInArrow(compare, "a long, b long, n_a long, n_b long")
+                same = r["a"] == r["b"]
+                i, j = links(x, y, threshold, same)
+                ids, weights = ([np.array(r[f"{c}_{s}"], np.int64) for s in "ab"] for c in ("ids", "weights"))
+                others = [np.zeros(len(v), np.int64) for v in ids]
+                np.add.at(others[0], i, weights[1][j])
+                np.add.at(others[1], j, weights[0][i])
+                ends = [np.r_[i, j], np.r_[j, i]] if same else [i, j]
+                row, column = forest(*ends, len(ids[0]), len(ids[1]))
+                counted = [(v[n > 0], n[n > 0]) for v, n in zip(ids, others)]
+                first = np.concatenate([ids[0][row], *(v for v, _ in counted)])
+                second = pa.concat_arrays([pa.array(ids[1][column], pa.int64()), pa.nulls(len(first) - len(row), pa.int64())])
+                n = pa.concat_arrays([pa.nulls(len(row), pa.int64()), *(pa.array(n, pa.int64()) for _, n in counted)])
+                yield pa.RecordBatch.from_arrays([pa.array(first, pa.int64()), second, n], names=["a", "b", "n"])
+
+    return both.mapInArrow(compare, "a long, b long, n long")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -66,6 +66,43 @@ def test_links_match_brute_force(spark, seed, dim, block):
     assert sorted(got, key=order) == sorted(brute(rows, 0.93), key=order)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_forest_joins_what_the_links_join(seed):
+    rng = np.random.default_rng(seed)
+    n, m = rng.integers(1, 30, 2)
+    i, j = np.nonzero(rng.random((n, m)) < rng.choice([0.0, 0.03, 0.1, 0.9]))
+    row, column = dedup.forest(i, j, n, m)
+    assert set(zip(row.tolist(), column.tolist())) <= set(zip(i.tolist(), j.tolist()))
+
+    def parts(rows, columns):
+        root = list(range(n + m))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in zip(rows, columns):
+            root[find(a)] = find(n + b)
+        found = [find(x) for x in range(n + m)]
+        return [[a == b for b in found] for a in found], len(set(found))
+
+    both, number = parts(row, column)
+    assert both == parts(i, j)[0] and len(row) == n + m - number
+
+
+def test_a_group_of_near_copies_has_no_row_per_link(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, (np.ones(8) + 0.01 * rng.standard_normal(8)).tolist(), 0) for i in range(200)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    classes = vectors.selectExpr("label", "size(embedding) AS dim", "embedding AS v", "1L AS n", "vec_id AS class")
+    found = dedup._compared(dedup._blocks(classes.coalesce(1), 64), 0.93)
+    pairs = 4 * 5 // 2  # of blocks, each with two rows a class at most; 19,900 links
+    assert found.count() <= pairs * 2 * (64 + 64)
+    got = dedup.near_duplicates(vectors, block=64).collect()
+    assert all((r.n_links, r.component_id) == (199, 0) for r in got)
+
+
 def test_huge_and_tiny_components(spark):
     rows = [(1, [1e200, 2e200], 0), (2, [1e-200, 2e-200], 0), (3, [1e200, -2e200], 0)]
     got = dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
