@@ -1,5 +1,6 @@
 """Language identification: held-out accuracy, mixtures and odd rows."""
 
+import math
 import random
 
 import numpy as np
@@ -82,3 +83,73 @@ def test_selection_keeps_languages_that_pay(model):
     likelihood[:10, 1] += 30
     shares, _ = model.mixtures(likelihood, np.array([30, 20]))
     assert abs(shares[0, 1] - 1 / 3) < 0.05 and shares[1, 0] == 1
+
+
+def plain_words(model, text):
+    """Log-likelihoods of words, gram by gram."""
+    low = [c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in b" " + text.encode() + b"   "]
+    starts = [i for i in range(1, len(low)) if low[i] != 32 and low[i - 1] == 32]
+    out = []
+    for a, b in zip(starts, [*starts[1:], len(low) - max(langid.ORDERS) + 1]):
+        sums = [0.0] * len(model.languages)
+        for table, order in zip(model.log_p, langid.ORDERS):
+            for at in range(a, b):
+                code = int.from_bytes(bytes(low[at : at + order]), "big")
+                cell = ((code * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - model.bits)
+                sums = [s + float(p) for s, p in zip(sums, table[cell])]
+        out.append([s / len(langid.ORDERS) for s in sums])
+    return out
+
+
+def plain_em(rows, active):
+    """Shares, log-likelihood and words per language after the fixed number of steps."""
+    shares = {k: 1 / len(active) for k in active}
+    for _ in range(langid.STEPS):
+        of = dict.fromkeys(active, 0.0)
+        for row in rows:
+            total = sum(shares[k] * math.exp(row[k]) for k in active)
+            for k in active:
+                of[k] += shares[k] * math.exp(row[k]) / total
+        shares = {k: of[k] / sum(of.values()) for k in active}
+    return shares, sum(math.log(sum(shares[k] * math.exp(row[k]) for k in active)) for row in rows), of
+
+
+def plain_mixture(likelihood):
+    """The set of languages of the greatest penalised likelihood among each alone and those met when the least is taken away."""
+    rows = [[x - max(row) for x in row] for row in likelihood]
+    languages = list(range(len(rows[0])))
+    cost = langid.PENALTY * math.log(len(rows) + 1)
+    alone = [sum(row[k] for row in rows) for k in languages]
+    best = max(languages, key=lambda k: (alone[k], -k))
+    found = (alone[best], {best: 1.0})
+    active = languages
+    while len(active) > 1:
+        shares, value, _ = plain_em(rows, active)
+        if value - (len(active) - 1) * cost > found[0]:
+            found = (value - (len(active) - 1) * cost, shares)
+        least = min(active, key=lambda k: (shares[k], k))
+        active = [k for k in active if k != least]
+    return found[1]
+
+
+def test_words_match_a_plain_definition(model):
+    rng = random.Random(14)
+    for text in [prose(rng, 20, "de"), "é", "a b", "  Word, WORD!  ", "x9y Ü-ß", prose(rng, 3, "fr")]:
+        got, want = model.words(text.encode()), plain_words(model, text)
+        assert got.shape == (len(want), 3) and np.allclose(got, want, atol=1e-3)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_mixtures_match_a_plain_definition(model, seed):
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(12):
+        parts = [prose(rng, rng.choice([1, 5, 30, 90]), lang) for lang in rng.sample(["en", "fr", "de"], rng.randint(1, 3))]
+        texts.append(" ".join(parts))
+    words = [model.words(t.encode()) for t in texts]
+    shares, counts = model.mixtures(np.concatenate(words), np.array([len(w) for w in words]))
+    for row, of, w in zip(shares, counts, words):
+        want = plain_mixture(w.astype(float).tolist())
+        assert {k for k in range(3) if row[k] > 0} == set(want)
+        assert all(abs(row[k] - share) < 2e-3 for k, share in want.items())
+        assert abs(of.sum() - len(w)) < 1e-2
