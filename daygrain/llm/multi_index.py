@@ -132,7 +132,10 @@ def _fitted(entries: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     length = entries.select(F.size("v")).first()[0]
     k = max(1, min(MOST_CENTROIDS, round(math.sqrt(n / CELL)), FITTED // (8 * length)))
     most = max(1, min(PER_CENTROID * k, FITTED // length))
-    drawn = entries.orderBy(F.xxhash64("v"), "v").limit(most).select("v").toArrow()
+    # only entries with a small hash, about twice as many as are drawn, are sorted
+    low = -(1 << 63) + min((1 << 64) - 1, (2 * most + 1000) * (1 << 64) // n)
+    few = entries.where(F.xxhash64("v") <= F.lit(low))
+    drawn = few.orderBy(F.xxhash64("v"), "v").limit(most).select("v").toArrow()
     x = _matrix(drawn.column("v").combine_chunks())
     return codebook(x[:, : length // 2], k), codebook(x[:, length // 2 :], k)
 
