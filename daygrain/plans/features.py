@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.functions.stats import aggregate, ratio
-from daygrain.operators.day_stats import OFFSETS, TRAILING_WEIGHTS, Stats, aggregate_days, all_stats
+from daygrain.operators.day_stats import OFFSETS, TRAILING_WEIGHTS, aggregate_days, all_stats
 from daygrain.operators.day_table import cut_days_into_parts, day_table, with_day_windows
 from daygrain.operators.distincts import distinct_counts
 from daygrain.operators.gaps import GAP_STATS, late_gap_stats
