@@ -63,10 +63,11 @@ def population_days(intervals: DataFrame, register: DataFrame) -> DataFrame:
     An interval without a bound takes all of them.
     """
     span = register.agg(F.min("day").alias("first"), F.max("day").alias("last"))  # one row
-    bounds = intervals.join(F.broadcast(span)).selectExpr(
-        "interval_id", "end", "first", "least(coalesce(registered_by, last), last) AS bound"
+    bounds = intervals.join(F.broadcast(span)).selectExpr("*", "least(coalesce(registered_by, last), last) AS bound")
+    more = [c for c in intervals.columns if c not in COLUMNS.replace(" int", "").split(", ")]
+    return bounds.where("first <= bound").selectExpr(
+        "explode(sequence(first, bound)) AS day", "interval_id", "end AS last_day", *more
     )
-    return bounds.where("first <= bound").selectExpr("explode(sequence(first, bound)) AS day", "interval_id", "end AS last_day")
 
 
 def assign(df: DataFrame, days: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
@@ -86,13 +87,27 @@ def cut_days_by_table(days: DataFrame, intervals: DataFrame) -> DataFrame:
 def labels_by_table(stacked: DataFrame, intervals: DataFrame) -> DataFrame:
     """``interval_id, user_id, label`` for the intervals that have a label week.
 
-    Users are first reduced to their days, and to their first registration: a row of the log is
-    never multiplied by the intervals.
+    Users are first reduced to one row with their first registration and the days they were active, of which there
+    are no more than days of the log. Only that row meets the intervals, and carries all that tells the label:
+    the rows of users and intervals, by far the most, are neither shuffled nor aggregated.
     """
-    labelled = intervals.where("label_begin IS NOT NULL")
-    active = stacked.where("log <> 'register'").select("user_id", "day").distinct()
-    first = aggregate(stacked.where("log = 'register'"), ["user_id"], ["min(day) AS day"])
-    acted = assign(active, label_days(labelled)).selectExpr("interval_id", "user_id", "1 AS acted", "0 AS member")
-    members = assign(first, population_days(labelled, first)).selectExpr("interval_id", "user_id", "0 AS acted", "1 AS member")
-    flags = ["max(acted) AS label", "max(member) AS member"]
-    return aggregate(acted.unionByName(members), ("interval_id", "user_id"), flags).where("member = 1").drop("member")
+    days = stacked.selectExpr("user_id", "log = 'register' AS registers", "day").distinct()
+    sides = ["min(IF(registers, day, NULL)) AS day", "collect_list(IF(registers, NULL, day)) AS active"]
+    users = aggregate(days, ["user_id"], sides).where("day IS NOT NULL")
+    acted = "exists(weeks, w -> exists(active, d -> d BETWEEN w.begin AND w.end))"
+    weeks = _weeks_by_population_day(intervals.where("label_begin IS NOT NULL"), stacked.where("log = 'register'"))
+    return assign(users, weeks).selectExpr("interval_id", "user_id", f"int(coalesce({acted}, false)) AS label")
+
+
+def _weeks_by_population_day(intervals: DataFrame, register: DataFrame) -> DataFrame:
+    """``day, interval_id, weeks``: population days, with the label weeks (``begin, end``) of the interval; rows of one id are one."""
+    weeks = aggregate(
+        intervals,
+        ["interval_id"],
+        [
+            "max(end) AS end",
+            "IF(count(*) > count(registered_by), NULL, max(registered_by)) AS registered_by",
+            "collect_list(named_struct('begin', label_begin, 'end', label_end)) AS weeks",
+        ],
+    )
+    return population_days(weeks, register).drop("last_day")

@@ -1,5 +1,7 @@
 """Intervals from a table against the literal ones and against plain loops."""
 
+import re
+
 import helpers
 import pytest
 from daygrain.operators import day_stats as stats
@@ -31,6 +33,39 @@ def test_labels_equal_the_literal_ones(spark, logs):
     assert rows(it.labels_by_table(stacked, it.interval_table(spark, INTERVALS))) == rows(labels(stacked, INTERVALS))
 
 
+def test_labels_of_repeated_and_unbounded_intervals(spark, logs):
+    """Rows of one id are one interval with all their label weeks; without an end a week has no days."""
+    table = [(1, 1, 9, 10, 12, 9), (1, 2, 9, 20, 21, 14), (2, 1, 9, 8, 6, None), (2, 1, 9, 15, None, 3), (None, 1, 9, 5, 30, 4), (4, 1, 9, None, 30, 9)]
+    got = it.labels_by_table(helpers.stacked(spark, logs), spark.createDataFrame(table, it.COLUMNS))
+    first, active = {}, {}
+    for log in logs:
+        for r in logs[log]:
+            if r["day"] <= 30 and log == "register":
+                first[r["user_id"]] = min(r["day"], first.get(r["user_id"], 99))
+            elif r["day"] <= 30:
+                active.setdefault(r["user_id"], set()).add(r["day"])
+    want = {}
+    for i, _, _, begin, end, by in table:
+        for user, day in first.items():
+            if begin is not None and (by is None or day <= by):
+                want.setdefault((i, user), 0)
+    for i, _, _, begin, end, _ in table:
+        for user, days in active.items():
+            if (i, user) in want and end is not None and any(begin <= d <= end for d in days):
+                want[i, user] = 1
+    assert sorted(map(str, got.collect())) == sorted(f"Row(interval_id={i}, user_id={u}, label={x})" for (i, u), x in want.items())
+    assert set(want.values()) == {0, 1}
+
+
+def test_rows_of_users_and_intervals_are_not_shuffled(spark, logs):
+    stacked = helpers.stacked(spark, logs)
+    table = it.rolling_intervals(stacked.where("log = 'launch'"), 200, width=7, label_width=3)
+    plan = it.labels_by_table(stacked, table)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"(hashpartitioning|keys=)[(\[]interval_id#\d+, user_id", plan)
+    # the join with the intervals is the last step
+    assert plan.count("BroadcastHashJoin") == 1 and plan.index("BroadcastHashJoin") < plan.index("Exchange")
+
+
 def test_statistics_equal_the_literal_ones(spark, logs):
     days = day_table(helpers.stacked(spark, logs))
     both = []
