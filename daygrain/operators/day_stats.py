@@ -234,6 +234,6 @@ def summarise(days: DataFrame, stats: Stats) -> DataFrame:
     return aggregate_days(days, stats).selectExpr(*GROUP, *outputs)
 
 
-def summarise_windows(days: DataFrame, stats: Stats) -> DataFrame:
+def summarise_windows(days: DataFrame, stats: Stats, tasks: int | None = None) -> DataFrame:
     """Like ``summarise``, for statistics that need the day windows."""
-    return summarise(with_day_windows(days), stats)
+    return summarise(with_day_windows(days, tasks), stats)

@@ -18,6 +18,8 @@ from daygrain.sources.logs import ACTION_TYPES, PAGES
 
 # A user's rows of one log within one interval.
 GROUP = ("interval_id", "user_id", "part")
+# Rows of the cut day table per task, from its windows to the features: their sorts and aggregates take up to 5 KB a row.
+ROWS_PER_TASK = 1 << 17
 
 
 def day_table(stacked: DataFrame) -> DataFrame:
@@ -47,7 +49,21 @@ def cut_days_into_parts(days: DataFrame, intervals: Sequence[Interval]) -> DataF
     return days.selectExpr(parts_of_day(intervals), "*").drop("log")
 
 
-def with_day_windows(days: DataFrame) -> DataFrame:
+def tasks_for(days: DataFrame, rows: int = ROWS_PER_TASK) -> int | None:
+    """Tasks of at most about ``rows`` rows for the cut ``days``, which are counted; None if one task may have them all.
+
+    The day table must be stored, so that counting reads it and not the logs.
+    """
+    n = days.count()
+    return max(-(-n // rows), days.sparkSession.sparkContext.defaultParallelism) if n > rows else None
+
+
+def by_user(df: DataFrame, tasks: int | None) -> DataFrame:
+    """``df`` hashed on (interval, user) over a given number of tasks, or over as many as Spark likes."""
+    return df.repartition(*[tasks] if tasks else [], "interval_id", "user_id")
+
+
+def with_day_windows(days: DataFrame, tasks: int | None = None) -> DataFrame:
     """Add what the gap, rank and streak statistics need, with one shuffle and one sort.
 
     ``step`` is the distance to the user's previous day, ``day_rank`` the dense rank
@@ -57,7 +73,9 @@ def with_day_windows(days: DataFrame) -> DataFrame:
     may come in any order; ``mixed`` marks a day that begins before the rows of such a day end.
 
     The rows are hashed on (interval, user) rather than on the whole group, so that the
-    parts of a user can later be put side by side, and joined, without another shuffle.
+    parts of a user can later be put side by side, and joined, without another shuffle. They are
+    dealt over ``tasks`` (see ``tasks_for``): Spark joins shuffle partitions by their compressed
+    size, of which a task needs some fifty times as much memory.
     """
     whole = f"PARTITION BY {', '.join(GROUP)}"
     by_day, so_far = f"{whole} ORDER BY day", f"{whole} ORDER BY day ROWS UNBOUNDED PRECEDING"
@@ -90,7 +108,7 @@ def with_day_windows(days: DataFrame) -> DataFrame:
         FROM {{days}}
     """
     sql = days.sparkSession.sql
-    days = days.repartition("interval_id", "user_id")
+    days = by_user(days, tasks)
     return sql(runs, links=sql(links, neighbours=sql(neighbours, days=sql(in_file, days=days))))
 
 

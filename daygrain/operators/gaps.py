@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from daygrain.functions.stats import aggregate, sample_skewness
 from daygrain.operators.day_stats import gap_stats, summarise_windows
-from daygrain.operators.day_table import GROUP, cut_days, day_table, mixed_days
+from daygrain.operators.day_table import GROUP, cut_days, day_table, mixed_days, tasks_for
 from daygrain.operators.intervals import Interval, assign_intervals
 from daygrain.session import staged
 
@@ -256,7 +256,8 @@ GAP_STATS = ("diff_max", "diff_min", "diff_mean", "diff_ske", "diff_last")
 def complete_gap_stats(stacked: DataFrame, intervals: Sequence[Interval], pieces: int | None = None) -> DataFrame:
     """Gap statistics of every (interval, user, part): from the staged day table where it tells, else from the rows."""
     days = staged(day_table(stacked), "days")
-    from_days = summarise_windows(cut_days(days, intervals), gap_stats()).drop("out_of_order")
+    cut = cut_days(days, intervals)
+    from_days = summarise_windows(cut, gap_stats(), tasks_for(cut)).drop("out_of_order")
     late = late_gap_stats(stacked, days, intervals, pieces)
     if late is None:
         return from_days.select(*GROUP, *GAP_STATS)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from daygrain.functions.stats import aggregate, ratio
 from daygrain.operators.day_stats import OFFSETS, TRAILING_WEIGHTS, aggregate_days, all_stats
-from daygrain.operators.day_table import cut_days_into_parts, day_table, with_day_windows
+from daygrain.operators.day_table import by_user, cut_days_into_parts, day_table, tasks_for, with_day_windows
 from daygrain.operators.distincts import distinct_counts
 from daygrain.operators.gaps import GAP_STATS, late_gap_stats
 from daygrain.operators.intervals import INTERVALS, Interval, assign_intervals, last_day
@@ -180,18 +180,25 @@ def feature_matrix(
         used |= {(log, a) for a in aggregates}
 
     table = staged_days(stacked) if days is None else days
-    days = with_day_windows(cut_days_into_parts(table, intervals))
+    cut = cut_days_into_parts(table, intervals)
+    tasks = tasks_for(cut)
+
+    def beside(df: DataFrame) -> DataFrame:
+        """Dealt like the users, which then stay where they are in the join."""
+        return by_user(df, tasks) if tasks else df
+
+    days = with_day_windows(cut, tasks)
     users = _pivot_parts(aggregate_days(days, stats), sorted(used))
     raw = assign_intervals(register.select("user_id", *RAW_REGISTER), "register_day", intervals)
     wide = (
-        users.join(distinct_counts(stacked, intervals), KEYS, "left")
-        .join(raw, KEYS, "left")
+        users.join(beside(distinct_counts(stacked, intervals)), KEYS, "left")
+        .join(beside(raw), KEYS, "left")
         # one row per interval
         .join(F.broadcast(log_scalars(table, intervals)), "interval_id", "left")
     )
     late = late_gap_stats(stacked, table, intervals, pieces)
     if late is not None:
-        wide = wide.join(_side_by_side(late), KEYS, "left")
+        wide = wide.join(_side_by_side(beside(late)), KEYS, "left")
         outputs |= {name: f"coalesce({outputs[name]}, late_{name})" for name in _late_gaps()}
     # a user with activity rows but only NULL videos has 0 distinct videos, not NULL
     outputs |= {

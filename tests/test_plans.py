@@ -5,9 +5,10 @@ import re
 import helpers
 import pytest
 from daygrain import job
-from daygrain.operators.day_table import day_table
+from daygrain.operators.day_table import cut_days_into_parts, day_table, tasks_for
 from daygrain.operators.gaps import complete_gap_stats, out_of_order_users, row_gap_stats, split_summaries
 from daygrain.operators.intervals import INTERVALS, day_span
+from daygrain.plans import features
 from daygrain.plans.features import feature_matrix, staged_days
 from daygrain.sources.events import logs_from_events
 from daygrain.sources.logs import read_log, stack_logs
@@ -47,6 +48,24 @@ def test_feature_plan_shuffles(spark, no_broadcast):
     assert "Python" not in plan and "Exchange SinglePartition" not in plan
 
 
+def test_feature_tasks_follow_the_rows(spark, no_broadcast, monkeypatch):
+    """Many rows are dealt over as many tasks as they need, and the joins leave them there."""
+    logs = helpers.frames(spark, helpers.random_logs(1, users=20, rows=200))
+    stacked = stack_logs(logs, day_span(INTERVALS))
+    days = staged_days(stacked)
+    cut = cut_days_into_parts(days, INTERVALS)
+    assert tasks_for(cut) is None and tasks_for(cut, 10) == -(-cut.count() // 10) > 20
+    whole = feature_matrix(stacked, logs["register"], days=days)
+    monkeypatch.setattr(features, "tasks_for", lambda df: tasks_for(df, 10))
+    dealt = feature_matrix(stacked, logs["register"], days=days)
+    tasks = str(tasks_for(cut, 10))
+    wide = [line for line in plan_of(dealt).splitlines() if "Exchange hashpartitioning(interval_id" in line]
+    # windows, late gaps, distinct counts and registrations; no sorted or aggregated row of features
+    assert sum(f", {tasks}), REPARTITION_BY_NUM" in line for line in wide) == 4
+    assert dealt.rdd.getNumPartitions() == int(tasks)
+    assert dealt.exceptAll(whole).isEmpty() and whole.exceptAll(dealt).isEmpty()
+
+
 def test_interval_cut_reads_its_own_days(spark):
     import __spark_entry__ as contract
 
