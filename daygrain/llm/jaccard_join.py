@@ -12,12 +12,15 @@ shingles in both. Each group's content is a key; documents without a common key
 Documents with equal sets are one class from the start. The least class of a key is its hub.
 A first round verifies one pair a class, with the likeliest of its hubs; classes in one
 component need no further pairs among themselves. A second round builds a tree over each
-hub's documents and verifies the pairs between components that the points leave. So a
-cluster of m near copies costs about m verifications, not m squared.
+hub's documents. Those in a pair between components that the points leave get their texts,
+meet once more, and are joined up to a forest: a pair whose documents a link has brought
+together meanwhile is not verified. So a cluster of m near copies gives at most m rows at a
+hub, whether its members are alike enough to the hub or not.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.llm.common import Batches, as_bytes, components, staged, table
+from daygrain.llm.common import Batches, as_bytes, components, staged, stretches, table
 from daygrain.llm.repeats import mixed, prefix, prepared, ranges, rolled, word_units
 
 U = np.uint64
@@ -34,6 +37,8 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 4, 5
 #: Coordinates of a point at least and, from as many shingles on, at most; points of a leaf, children of a node.
 LEAST, MOST, LEAF, FAN = 64, 1 << 17, 32, 8
+#: Counts of a coordinate that blocks of points are compared by with matrix products, and coordinates of one product.
+LAYERS, STRETCH = 2, 1 << 12
 
 
 def shingles(text: bytes | None, words: int = WORDS) -> np.ndarray:
@@ -71,7 +76,10 @@ def folded(points: list[bytes]) -> np.ndarray:
     """Points in one matrix: those of more coordinates give sums of neighbouring ones."""
     raw = [np.frombuffer(p, np.uint8) for p in points]
     least = min(map(len, raw))
-    return np.stack([p.reshape(least, -1).sum(axis=1, dtype=np.uint32) for p in raw])
+    if all(len(p) == least for p in raw):
+        return np.stack(raw)
+    out = np.stack([p.reshape(least, -1).sum(axis=1, dtype=np.uint32) for p in raw])
+    return out.astype(np.min_scalar_type(out.max()))
 
 
 @lru_cache(None)
@@ -135,12 +143,13 @@ class CountTree:
         near = (DENOMINATOR * high_a >= NUMERATOR * low_b) & (DENOMINATOR * high_b >= NUMERATOR * low_a)
         return near & ((NUMERATOR + DENOMINATOR) * shared >= NUMERATOR * (low_a + low_b))
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of points that may link and lie in different parts; by their numbers in the input."""
+    def blocks(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of points that may link and lie in different parts, block by block; by their numbers in the input."""
         a = b = np.zeros(1, np.int64)
-        for depth in reversed(range(len(self.levels))):
-            most, low, high, first, last = self.levels[depth]
-            apart = (first[a] != last[a]) | (first[b] != last[b]) | (first[a] != first[b])
+        last = min(1, len(self.levels) - 1)
+        for depth in reversed(range(last, len(self.levels))):
+            most, low, high, first, upto = self.levels[depth]
+            apart = (first[a] != upto[a]) | (first[b] != upto[b]) | (first[a] != first[b])
             a, b = a[apart], b[apart]
             may = [
                 self._may(most[i], most[j], low[i], low[j], high[i], high[j])
@@ -148,16 +157,44 @@ class CountTree:
             ]
             may = np.concatenate(may) if may else np.empty(0, bool)
             a, b = a[may], b[may]
-            if depth:
+            if depth > last:
                 a, b = self._below(a, b, FAN, len(self.levels[depth - 1][1]))
-        found = [self._across(*self._below(i, j, LEAF, len(self.sizes))) for i, j in _slices(a, b, 1 << 13)]
-        a, b = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64),) * 2
-        return self.order[a], self.order[b]
+        width = LEAF * FAN**last
+        for i, j in zip((a * width).tolist(), (b * width).tolist()):
+            x, y = self._across(*self._between(i, j, width))
+            if len(x):
+                yield self.order[x], self.order[y]
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs of the blocks."""
+        found = list(self.blocks())
+        return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64),) * 2
+
+    def _between(self, i: int, j: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of two blocks of ``width`` points from i and j on that an upper bound of their shared counts leaves.
+
+        The summed minima of two points are the coordinates in which both count 1, 2, ... or
+        more: matrix products up to LAYERS, and of the counts beyond at most the fewer.
+        """
+        a, b = self.points[i : i + width], self.points[j : j + width]
+        shared = np.zeros((len(a), len(b)), np.float32)
+        rest_a, rest_b = a.sum(axis=1, dtype=np.int64), b.sum(axis=1, dtype=np.int64)
+        for at in range(0, a.shape[1], STRETCH):
+            for t in range(LAYERS):
+                x, y = a[:, at : at + STRETCH] > t, b[:, at : at + STRETCH] > t
+                rest_a -= x.sum(axis=1)
+                rest_b -= y.sum(axis=1)
+                shared += x.astype(np.float32) @ y.astype(np.float32).T
+        shared = shared.astype(np.int64) + np.minimum(rest_a[:, None], rest_b)
+        m, n = self.sizes[i : i + width, None], self.sizes[j : j + width]
+        may = (NUMERATOR + DENOMINATOR) * shared >= NUMERATOR * (m + n)
+        may &= (DENOMINATOR * m >= NUMERATOR * n) & (DENOMINATOR * n >= NUMERATOR * m)
+        may &= self.parts[i : i + width, None] != self.parts[j : j + width]
+        x, y = np.nonzero(np.triu(may, 1) if i == j else may)
+        return x + i, y + j
 
     def _across(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Those of the pairs of points that may link and lie in different parts."""
-        apart = self.parts[a] != self.parts[b]
-        a, b = a[apart], b[apart]
+        """Those of the pairs of points that may link."""
         may = [
             self._may(self.points[i], self.points[j], *[self.sizes[x] for x in (i, j, i, j)])
             for i, j in _slices(a, b, self.points.shape[1])
@@ -193,7 +230,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     body = prepared(docs, key, text, "texts")
 
     def describe(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in stretches(batches):
             rows = []
             for t in as_bytes(batch.column("text")):
                 s = shingles(t)
@@ -218,7 +255,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     reps = classes.selectExpr("id AS row_key")
 
     def emit(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in stretches(batches):
             made = [keys(shingles(t)) for t in as_bytes(batch.column("text"))]
             row = np.repeat(batch.column("row_key").to_numpy(), [len(k) for k in made])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made)), pa.array(row)], names=["key", "id"])
@@ -242,8 +279,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     # second round: documents with a key in common have its hub in common, so each hub's documents get a tree
     around = _open_stars(stars, first, part)
     pointed = around.join(points, "id").repartition("hub").sortWithinPartitions("hub", "n")
-    pairs = pointed.select("hub", "id", "n", "point", "part").mapInArrow(_tree_pairs, "id long, hub long").distinct()
-    second = staged(_verified(body, pairs.join(best, ["id", "hub"], "left_anti")), "links")
+    apart = pointed.select("hub", "id", "part", "n", "point").mapInArrow(_apart, "hub long, id long, part long")
+    texts = body.select(F.col("row_key").alias("id"), "text")
+    gathered = apart.join(texts, "id").repartition("hub").sortWithinPartitions("hub", "id")
+    second = staged(gathered.select("hub", "id", "part", "text").mapInArrow(_joined, "id long, hub long"), "links")
 
     of = components(first.unionByName(second), "id", "hub", "parts")
     of = of.withColumnsRenamed({"node": "id", "component": "root"})
@@ -323,26 +362,68 @@ def _bounded(batches: Batches) -> Batches:
         yield pa.RecordBatch.from_arrays(columns, names=["id", "hub", "may", "near", "score"])
 
 
-def _tree_pairs(batches: Batches) -> Batches:
-    """Pairs of each hub's tree. The rows come sorted by hub."""
+def _by_hub(batches: Batches) -> Iterator[list[tuple]]:
+    """The rows of each hub, the first column. They come sorted by hub."""
     held: list[tuple] = []
-
-    def settle() -> pa.RecordBatch:
-        ids, sizes, points, parts = (list(c) for c in zip(*[h[1:] for h in held]))
-        ids = np.array(ids, np.int64)
-        a, b = CountTree(folded(points), np.array(sizes, np.int64), np.array(parts, np.int64)).pairs()
-        columns = [np.maximum(ids[a], ids[b]), np.minimum(ids[a], ids[b])]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "hub"])
-
-    for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns]):
+    for batch in stretches(batches):
+        columns = [as_bytes(c) if pa.types.is_string(c.type) else c.to_pylist() for c in batch.columns]
+        for row in zip(*columns):
             if held and row[0] != held[0][0]:
-                if len(held) > 1:
-                    yield settle()
+                yield held
                 held = []
             held.append(row)
-    if len(held) > 1:
-        yield settle()
+    if held:
+        yield held
+
+
+def _apart(batches: Batches) -> Batches:
+    """(hub, id, part) of the documents that, by their points, may link with one of another part around the hub."""
+    for rows in _by_hub(batches):
+        _, ids, parts, sizes, points = zip(*rows)
+        flags = np.zeros(len(ids), bool)
+        for a, b in CountTree(folded(points), np.array(sizes, np.int64), np.array(parts, np.int64)).blocks():
+            flags[a] = flags[b] = True
+        columns = [np.full(flags.sum(), rows[0][0]), np.array(ids)[flags], np.array(parts)[flags]]
+        if flags.any():
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["hub", "id", "part"])
+
+
+def _joined(batches: Batches) -> Batches:
+    """Links (id, hub) that join the parts of the documents around each hub."""
+    for rows in _by_hub(batches):
+        ids = np.array([row[1] for row in rows], np.int64)
+        links = forest([shingles(row[3]) for row in rows], np.array([row[2] for row in rows], np.int64))
+        if links:
+            a, b = ids[np.array(links)].T
+            columns = [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "hub"])
+
+
+def forest(sets: list[np.ndarray], parts: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of sets that link, by their numbers: as few as join all parts that any linked pair joins."""
+    sizes = np.array([len(s) for s in sets])
+    tree = CountTree(folded([counts(s).tobytes() for s in sets]), sizes, parts)
+    names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    sets = np.split(flat, np.cumsum(sizes)[:-1])
+    root = np.unique(parts, return_inverse=True)[1]
+    held = np.zeros(len(names), bool)
+    out = []
+    for a, b in tree.blocks():
+        for i in np.unique(a).tolist():
+            others = b[a == i]
+            others = others[root[others] != root[i]]
+            if not len(others):
+                continue
+            held[sets[i]] = True
+            starts = np.cumsum(sizes[others]) - sizes[others]
+            both = np.add.reduceat(held[np.concatenate([sets[j] for j in others])], starts, dtype=np.int64)
+            held[sets[i]] = False
+            fine = (both > 0) & (DENOMINATOR * both >= NUMERATOR * (sizes[i] + sizes[others] - both))
+            for j in others[fine].tolist():
+                if root[j] != root[i]:
+                    out.append((i, j))
+                    root[root == root[j]] = root[i]
+    return out
 
 
 def _verified(body: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -353,7 +434,7 @@ def _verified(body: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def verify(batches: Batches) -> Batches:
         known: tuple = (None, None)
-        for batch in batches:
+        for batch in stretches(batches):
             fine = []
             hubs = batch.column("hub").to_pylist()
             for i, (t, o) in enumerate(zip(as_bytes(batch.column("text")), as_bytes(batch.column("hub_text")))):

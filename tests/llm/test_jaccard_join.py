@@ -112,3 +112,55 @@ def test_tree_loses_no_pair(seed):
     assert len(got) == len(a)
     want = {(i, j) for j in range(150) for i in range(j) if parts[i] != parts[j] and join.linked(sets[i], sets[j])}
     assert want and want <= got
+
+
+def test_near_copies_that_miss_their_hub_give_no_row_a_pair(spark, documents, monkeypatch):
+    """The first documents have parts of the copies' text and so are the hubs of its keys, but link with none."""
+    rng = random.Random(5)
+    base = [word(rng) + str(i) for i in range(110)]
+    texts = []
+    for i in range(60):
+        words, at = list(base), 8 * i % 95
+        words[at : at + 15] = [f"part{i}x{j}" for j in range(15)]
+        texts.append(" ".join(words))
+    for i in range(300):
+        words = list(base)
+        words[rng.randrange(110)] = f"copy{i}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    made = {}
+
+    def counted(df, name, staged=join.staged):
+        out = staged(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(join, "staged", counted)
+    out = join.near_duplicates(documents(rows).coalesce(1)).collect()
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in out}
+    assert [got[i] for i, _ in rows] == brute(rows)
+    assert len({c for _, c, _ in got.values()}) < 70
+    assert made["links"] < made["stars"]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_forest_joins_what_links(seed):
+    rng = np.random.default_rng(seed)
+    base = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (40, 44, 300, 5000)]
+    sets = []
+    for _ in range(300):
+        c = base[rng.integers(4)]
+        keep = rng.random(len(c)) > rng.choice([0, 0.04, 0.1, 0.2])
+        sets.append(np.unique(np.concatenate([c[keep], rng.integers(0, 2**63, rng.integers(1, 9)).astype(np.uint64)])))
+    parts = rng.integers(0, 200, len(sets))
+
+    def groups(pairs):
+        root = parts.copy()
+        for i, j in pairs:
+            root[root == root[j]] = root[i]
+        return {tuple(np.flatnonzero(root == r)) for r in root}, len(np.unique(root))
+
+    links = [(i, j) for j in range(len(sets)) for i in range(j) if join.linked(sets[i], sets[j])]
+    got = join.forest(sets, parts)
+    assert groups(got) == groups(links)
+    assert len(got) == len(np.unique(parts)) - groups(links)[1]
