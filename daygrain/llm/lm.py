@@ -19,17 +19,19 @@ dictionary are joined, not broadcast.
 
 from __future__ import annotations
 
+import heapq
+import math
 import zlib
 from collections import Counter
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.llm.common import Batches, as_bytes, crc_fold, staged, table
+from daygrain.llm.common import Batches, as_bytes, crc_fold, staged, stretches, table
 
 #: Words in the broadcast dictionary at most, and output words among them.
 DICTIONARY, OUTPUTS = 1 << 17, 4096
@@ -127,7 +129,7 @@ def vocabulary(counts: DataFrame, dictionary: int = DICTIONARY, outputs: int = O
 
 @dataclass
 class Model:
-    """x: gate inputs of each id, u: state to gates, wc, bc: classes, ww, bw: words within their class."""
+    """x: gate inputs of each id, u: state to gates, wc, bc: groups, then classes within their group, ww, bw: words within their class."""
 
     x: np.ndarray
     u: np.ndarray
@@ -145,11 +147,13 @@ class Model:
         for w, i in v.ids.items():
             word[i] = v.counts.get(w, 0) + 0.5
         mass = np.concatenate([np.add.reduceat(word, v.starts[:-1]), v.tail_total])
+        grouped = np.add.reduceat(mass, np.arange(0, len(mass), math.ceil(math.sqrt(len(mass)))))
+        mass = np.concatenate([grouped, mass])
         arrays = [
             draw.normal(0, 0.1, (v.n_out + TAILS, 3 * state)),
             draw.normal(0, 0.3 / np.sqrt(state), (state, 3 * state)),
             np.zeros((len(mass), state)),
-            np.log(mass / mass.sum()),
+            np.log(mass / grouped.sum()),
             np.zeros((v.n_out, state)),
             np.log(word),
         ]
@@ -176,22 +180,38 @@ class Model:
         """The class of each id."""
         heads = len(self.starts) - 1
         of = np.repeat(np.arange(heads), np.diff(self.starts))
-        return np.concatenate([of, heads + np.arange(TAILS)])
+        return np.concatenate([of, heads + np.arange(TAILS)]).astype(np.uint16)
 
-    def forward(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
-        """States after each step of ids (steps x lanes) from h, and what the way back needs."""
+    @property
+    def groups(self) -> np.ndarray:
+        """The classes at which groups start, and their end."""
+        classes = len(self.starts) - 1 + TAILS
+        groups = len(self.bc) - classes
+        return np.minimum(np.arange(groups + 1) * math.ceil(classes / groups), classes)
+
+    def forward(
+        self, ids: np.ndarray, h: np.ndarray, fresh: np.ndarray | None = None, back: bool = True
+    ) -> tuple[np.ndarray, tuple | None]:
+        """States after each step of ids (steps x lanes) from h, and what the way back needs if ``back``.
+
+        ``fresh`` marks the steps before which a lane's state is set to zero.
+        """
         n = h.shape[1]
         shape = (*ids.shape, n)
         states = np.empty(shape, h.dtype)
-        gates_of, rh_of, new_of = np.empty((*ids.shape, 2 * n), h.dtype), np.empty(shape, h.dtype), np.empty(shape, h.dtype)
+        held = shape if back else (1, *shape[1:])
+        gates_of, rh_of, new_of = np.empty((*held[:2], 2 * n), h.dtype), np.empty(held, h.dtype), np.empty(held, h.dtype)
         inputs = np.take(self.x, ids.ravel(), axis=0).reshape(*ids.shape, -1)
-        u_gates, u_new = self.u[:, : 2 * n].copy(), self.u[:, 2 * n :].copy()
+        u_gates, u_new = -self.u[:, : 2 * n], self.u[:, 2 * n :].copy()
+        resets = np.zeros(len(ids), bool) if fresh is None else fresh.any(axis=1)
         first = h
         for t in range(len(ids)):
-            gates, rh, new = gates_of[t], rh_of[t], new_of[t]
+            at = t if back else 0
+            gates, rh, new = gates_of[at], rh_of[at], new_of[at]
+            if resets[t]:
+                h = np.where(fresh[t, :, None], h.dtype.type(0), h)
             np.matmul(h, u_gates, out=gates)
-            gates += inputs[t, :, : 2 * n]
-            np.negative(gates, out=gates)
+            gates -= inputs[t, :, : 2 * n]
             np.exp(gates, out=gates)
             gates += 1
             np.reciprocal(gates, out=gates)
@@ -200,45 +220,67 @@ class Model:
             new += inputs[t, :, 2 * n :]
             np.tanh(new, out=new)
             h = np.add(h, gates[:, :n] * (new - h), out=states[t])
+        if not back:
+            return states, None
         before = np.concatenate([first[None], states[:-1]])
-        return states, (before, gates_of, rh_of, new_of)
+        if fresh is not None:
+            before[fresh] = 0
+        return states, (before, gates_of, rh_of, new_of, fresh)
 
     def output(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> np.ndarray:
         """Log-probabilities of targets (rows); with ``grads``, also the gradients of their sum."""
         classes = np.take(self.classes, targets)
         order = np.argsort(classes, kind="stable")
         s, of, word = states[order], classes[order], targets[order]
-        p = s @ self.wc.T
-        p += self.bc
-        logs = p[np.arange(len(of)), of].astype(np.float64)
-        np.exp(p, out=p)
-        total = p @ np.ones(p.shape[1], p.dtype)
-        logs -= np.log(total)
-        edges = np.searchsorted(of, np.arange(len(self.bc) + 1))
+        groups = self.groups
+        heads = len(groups) - 1
+        back = np.zeros_like(s) if grads is not None else None
         if grads is not None:
-            share = (1 / total)[:, None]
-            back = np.take(self.wc, of, axis=0) - (p @ self.wc) * share
-            grads["wc"], grads["bc"] = -(p.T @ (s * share)), -(share[:, 0] @ p)
-            full = np.flatnonzero(np.diff(edges))
-            grads["wc"][full] += np.add.reduceat(s, edges[full], axis=0)
-            grads["bc"][full] += np.diff(edges)[full]
-        for c in np.flatnonzero(np.diff(edges[: len(self.starts)])):
-            a, b = self.starts[c], self.starts[c + 1]
-            if b - a == 1:
-                continue
-            here = slice(edges[c], edges[c + 1])
-            h, at = s[here], word[here] - a
-            q = h @ self.ww[a:b].T
-            q += self.bw[a:b]
-            logs[here] += q[np.arange(len(at)), at]
+            grads["wc"], grads["bc"] = np.zeros_like(self.wc), np.zeros_like(self.bc)
+        logs = np.zeros(len(of))
+        ones = np.ones((len(s), 1), s.dtype)
+        s = np.concatenate([s, ones], axis=1)
+
+        def choose(of_w: str, of_b: str, sets: list[tuple], at: np.ndarray) -> None:
+            """Adds the logs of the choices ``at``, for each of ``sets`` (a, b, c, d) among weights c:d for states a:b."""
+            w = getattr(self, of_w)
+            weights = np.concatenate([w, getattr(self, of_b)[:, None]], axis=1)
+            a, b, c, d = np.array(sets).T
+            widths = np.repeat(d - c, b - a)
+            starts = np.cumsum(widths) - widths
+            edges = np.cumsum((b - a) * (d - c)).tolist()
+            rows = slice(a[0], b[-1])
+            q = np.empty(edges[-1], s.dtype)
+            blocks = [q[e - (b - a) * (d - c) : e].reshape(b - a, d - c) for e, (a, b, c, d) in zip(edges, sets)]
+            for block, (a, b, c, d) in zip(blocks, sets):
+                np.matmul(s[a:b], weights[c:d].T, out=block)
+            cells = starts + at[rows]
+            logs[rows] += q[cells]
             np.exp(q, out=q)
-            sums = q @ np.ones(b - a, q.dtype)
-            logs[here] -= np.log(sums)
+            total = np.add.reduceat(q, starts)
+            logs[rows] -= np.log(total)
             if grads is not None:
-                q *= (-1 / sums)[:, None]
-                q[np.arange(len(at)), at] += 1
-                back[here] += q @ self.ww[a:b]
-                grads["ww"][a:b], grads["bw"][a:b] = q.T @ h, q.sum(axis=0)
+                q *= np.repeat(-1 / total, widths)
+                q[cells] += 1
+                for block, (a, b, c, d) in zip(blocks, sets):
+                    back[a:b] += block @ w[c:d]
+                    g = block.T @ s[a:b]
+                    grads[of_w][c:d], grads[of_b][c:d] = g[:, :-1], g[:, -1]
+
+        edges = np.searchsorted(of, np.arange(groups[-1] + 1))
+        group = np.repeat(np.arange(heads), np.diff(edges[groups]))
+        choose("wc", "bc", [(0, len(s), 0, heads)], group)
+        choose(
+            "wc", "bc",
+            [(*edges[groups[g : g + 2]].tolist(), *(heads + groups[g : g + 2]).tolist()) for g in np.flatnonzero(np.diff(edges[groups]))],
+            of - groups[group],
+        )
+        full = np.flatnonzero(np.diff(edges[: len(self.starts)]))
+        if len(full):
+            sets = np.stack([edges[full], edges[full + 1], self.starts[full], self.starts[full + 1]], axis=1).tolist()
+            words = slice(0, sets[-1][1])
+            at = word[words] - self.starts[of[words]]
+            choose("ww", "bw", [*map(tuple, sets)], at)
         out = np.empty_like(logs)
         out[order] = logs
         if grads is not None:
@@ -249,7 +291,8 @@ class Model:
     def backward(self, kept: tuple, dstates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Gradients of the gate inputs (steps x lanes x 3n) and of u."""
         n = dstates.shape[2]
-        before, gates, rh, new = kept
+        before, gates, rh, new, fresh = kept
+        resets = np.zeros(len(dstates), bool) if fresh is None else fresh.any(axis=1)
         z, r = gates[:, :, :n], gates[:, :, n:]
         by_z, by_new, by_r, stay = (new - before) * z * (1 - z), z * (1 - new * new), before * r * (1 - r), 1 - z
         u_gates, u_new = self.u[:, : 2 * n].T.copy(), self.u[:, 2 * n :].T.copy()
@@ -266,24 +309,43 @@ class Model:
             drh *= r[t]
             dh += drh
             dh += d[:, : 2 * n] @ u_gates
+            if resets[t]:
+                dh[fresh[t]] = 0
         flat = dinputs.reshape(-1, 3 * n)
         du = [before.reshape(-1, n).T @ flat[:, : 2 * n], rh.reshape(-1, n).T @ flat[:, 2 * n :]]
         return dinputs, np.concatenate(du, axis=1)
 
 
-def _windows(docs: list[np.ndarray], end: int, steps: int):
-    """Documents side by side, long ones first, in windows of (inputs, targets, valid); each from the word before."""
-    docs = sorted(docs, key=len, reverse=True)
-    lengths = np.array([len(d) for d in docs])
-    flat = np.concatenate(docs).astype(np.int64)
-    starts = np.cumsum(lengths) - lengths
-    for at in range(0, int(lengths[0]), steps):
-        lanes = int((lengths > at).sum())
-        step = np.arange(at, min(at + steps, int(lengths[0])))[:, None]
-        valid = step < lengths[:lanes]
-        place = np.where(valid, starts[:lanes] + step, 0)
-        inputs = np.where(step > 0, flat[place - 1], end)
-        yield inputs, flat[place], valid
+def _windows(docs: list[np.ndarray], end: int, steps: int, lanes: int):
+    """Documents end to end in lanes of like length, in windows of (inputs, targets, fresh, documents, valid).
+
+    Each word comes from the one before; ``fresh`` are the first words of documents.
+    """
+    lengths = [len(d) for d in docs]
+    least = [(0, lane) for lane in range(min(lanes, len(docs)))]
+    held: list[list[int]] = [[] for _ in least]
+    for i in sorted(range(len(docs)), key=lambda i: -lengths[i]):
+        size, lane = least[0]
+        heapq.heapreplace(least, (size + lengths[i], lane))
+        held[lane].append(i)
+    taken = sorted(least, reverse=True)
+    sizes = np.array([size for size, _ in taken])
+    order = np.array([i for _, lane in taken for i in sorted(held[lane])])
+    flat = np.concatenate([docs[i] for i in order])
+    counts = np.array(lengths)[order]
+    starts = np.cumsum(counts) - counts
+    before = np.concatenate([flat[:1], flat[:-1]])
+    before[starts] = end
+    first = np.zeros(len(flat), bool)
+    first[starts] = True
+    document = np.repeat(order.astype(np.int32), counts)
+    lane_starts = np.cumsum(sizes) - sizes
+    for at in range(0, int(sizes[0]), steps):
+        n = int((sizes > at).sum())
+        step = np.arange(at, min(at + steps, int(sizes[0])))[:, None]
+        valid = step < sizes[:n]
+        place = np.where(valid, lane_starts[:n] + step, 0)
+        yield before[place], flat[place], first[place], document[place], valid
 
 
 class Trainer:
@@ -303,11 +365,11 @@ class Trainer:
             a[rows] = np.clip(a[rows], -LARGEST, LARGEST)
 
     def learn(self, docs: list[np.ndarray]) -> None:
-        h = np.zeros((len(docs), self.m.u.shape[0]), np.float32)
-        for inputs, targets, valid in _windows(docs, self.end, self.steps):
+        h = np.zeros((min(LANES, len(docs)), self.m.u.shape[0]), np.float32)
+        for inputs, targets, fresh, _, valid in _windows(docs, self.end, self.steps, LANES):
             m = self.m
             h = h[: inputs.shape[1]]
-            states, kept = m.forward(inputs, h)
+            states, kept = m.forward(inputs, h, fresh)
             flat = valid.ravel()
             grads = {"ww": np.zeros_like(m.ww), "bw": np.zeros_like(m.bw)}
             m.output(states.reshape(-1, h.shape[1])[flat], targets.ravel()[flat], grads)
@@ -317,8 +379,9 @@ class Trainer:
             dinputs, du = m.backward(kept, dstates.reshape(states.shape))
             ids = inputs.ravel()
             order = np.argsort(ids, kind="stable")
-            new = np.flatnonzero(np.diff(ids[order], prepend=-1))
-            self._step(0, np.add.reduceat(dinputs.reshape(len(ids), -1)[order], new, axis=0), ids[order][new])
+            ids = ids[order]
+            new = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+            self._step(0, np.add.reduceat(dinputs.reshape(len(ids), -1)[order], new, axis=0), ids[new])
             self._step(1, du)
             self._step(2, grads["wc"] * scale)
             self._step(3, grads["bc"] * scale)
@@ -332,28 +395,22 @@ class Trainer:
 def score(model: Model, docs: list[np.ndarray], end: int, steps: int = 64) -> np.ndarray:
     """Natural log-likelihood of each document up to the choice among a tail class's words."""
     out = np.zeros(len(docs))
-    order = np.argsort([-len(d) for d in docs], kind="stable")
-    h = np.zeros((len(docs), model.u.shape[0]), np.float32)
-    for inputs, targets, valid in _windows([docs[i] for i in order], end, steps):
+    h = np.zeros((min(2 * LANES, len(docs)), model.u.shape[0]), np.float32)
+    for inputs, targets, fresh, document, valid in _windows(docs, end, steps, 2 * LANES):
         h = h[: inputs.shape[1]]
-        states, _ = model.forward(inputs, h)
+        states, _ = model.forward(inputs, h, fresh, back=False)
         flat = valid.ravel()
-        lane = np.broadcast_to(np.arange(inputs.shape[1]), inputs.shape).ravel()[flat]
         logs = model.output(states.reshape(-1, h.shape[1])[flat], targets.ravel()[flat])
-        out[order[: inputs.shape[1]]] += np.bincount(lane, logs, minlength=inputs.shape[1])
+        out += np.bincount(document.ravel()[flat], logs, minlength=len(docs))
         h = states[-1]
     return out
 
 
-def _groups(batches: Batches, lanes: int):
-    """Of each batch, documents of like length, ``lanes`` at a time: their row keys and ids."""
+def _batches(batches: Batches):
+    """Of each batch with rows, the row keys and ids of its documents."""
     for batch in batches:
-        keys = batch.column("row_key").to_numpy()
-        ids = [np.frombuffer(b, np.uint16) for b in batch.column("ids").to_pylist()]
-        order = sorted(range(len(ids)), key=lambda i: -len(ids[i]))
-        for at in range(0, len(order), lanes):
-            here = order[at : at + lanes]
-            yield keys[here], [ids[i] for i in here]
+        if batch.num_rows:
+            yield batch.column("row_key").to_numpy(), [np.frombuffer(b, np.uint16) for b in batch.column("ids").to_pylist()]
 
 
 def _encoded(docs: DataFrame, v: Vocabulary) -> DataFrame:
@@ -371,38 +428,45 @@ def _encoded(docs: DataFrame, v: Vocabulary) -> DataFrame:
         log_total = np.log10(v.tail_total)
         words_known = [*v.counts, *([] if END in v.counts else [END])]
         place = {w: i for i, w in enumerate(words_known)}
-        ids_of, logs, tails = (np.zeros(len(place) + TAILS, t) for t in (np.uint16, float, float))
-        for w, i in place.items():
-            logs[i] = np.log10(v.counts.get(w, 0) + 0.5)
-            k = tail_class(w)
-            ids_of[i] = v.ids.get(w, v.n_out + k)
-            if w not in v.ids:
-                tails[i] = logs[i] - log_total[k]
         # a word beyond the dictionary has the place of its tail class
-        ids_of[len(place) :] = v.n_out + np.arange(TAILS)
-        tails[len(place) :] = -log_total
+        classes = np.array([*map(tail_class, words_known), *range(TAILS)])
+        ids_of = (v.n_out + classes).astype(np.uint16)
+        logs = np.zeros(len(ids_of))
+        logs[: len(place)] = np.log10(np.array([v.counts.get(w, 0) for w in words_known]) + 0.5)
+        tails = logs - log_total[classes]
+        for w, i in v.ids.items():
+            ids_of[place[w]], tails[place[w]] = i, 0
         unseen_end = END not in v.counts
-        for batch in batches:
-            rows = []
-            for text in as_bytes(batch.column("text")):
-                words = tokens(text)
-                at = np.fromiter(map(place.get, words, repeat(-1)), np.int32, len(words))
-                rare: Counter = Counter()
-                if len(beyond := np.flatnonzero(at < 0)):
+        for batch in stretches(batches):
+            if not batch.num_rows:
+                continue
+            texts = [tokens(text) for text in as_bytes(batch.column("text"))]
+            ends = np.cumsum([len(words) for words in texts])
+            at = np.fromiter(map(place.get, chain.from_iterable(texts), repeat(-1)), np.int32, ends[-1])
+            sums, rare, n_rare, seen, starts = [], [], [], [], [0]
+            for words, end in zip(texts, ends.tolist()):
+                here = at[end - len(words) : end]
+                beyond = np.flatnonzero(here < 0)
+                seen.append(len(words) - len(beyond) - unseen_end)
+                if len(beyond):
                     other = [words[i] for i in beyond.tolist()]
-                    rare.update(other)
-                    at[beyond] = [len(place) + tail_class(w) for w in other]
-                rows.append(
-                    (
-                        ids_of[at].tobytes(), len(words), len(words) - len(beyond) - unseen_end, float(logs[at].sum()),
-                        float(tails[at].sum()), [{"word": w, "n": n} for w, n in rare.items()],
-                    )
-                )
-            pair = pa.struct([("word", pa.binary()), ("n", pa.int64())])
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pair))
-            made = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds]
-            names = ["ids", "n_tokens", "n_known", "base", "tail", "rare"]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), *made], names=[*kept, *names])
+                    here[beyond] = [len(place) + tail_class(w) for w in other]
+                    counts = Counter(other)
+                    rare += counts
+                    n_rare += counts.values()
+                starts.append(len(rare))
+                sums.append((logs[here].sum(), tails[here].sum()))
+            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32) * ids_of.itemsize)
+            pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(n_rare, pa.int64())], ["word", "n"])
+            made = {
+                "ids": pa.Array.from_buffers(pa.binary(), len(texts), [None, offsets.buffers()[1], pa.py_buffer(ids_of[at])]),
+                "n_tokens": pa.array(np.diff(ends, prepend=0), pa.int64()),
+                "n_known": pa.array(seen, pa.int64()),
+                "base": pa.array([s[0] for s in sums], pa.float64()),
+                "tail": pa.array([s[1] for s in sums], pa.float64()),
+                "rare": pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pairs),
+            }
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), *made.values()], names=[*kept, *made])
 
     key = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"row_key long, doc_id {key}, held_out boolean, learnt boolean, {fields}")
@@ -413,6 +477,7 @@ def train(encoded: DataFrame, v: Vocabulary, rounds: tuple[int, ...] = ROUNDS) -
     model = Model.fresh(v)
     sc = encoded.sparkSession.sparkContext
     end = v.ids[END]
+    parts = encoded.rdd.getNumPartitions()
     at = 0
     cell = F.pmod(F.xxhash64("row_key"), F.lit(sum(rounds)))
     for share in rounds:
@@ -420,7 +485,7 @@ def train(encoded: DataFrame, v: Vocabulary, rounds: tuple[int, ...] = ROUNDS) -
 
         def learn(batches: Batches) -> Batches:
             trainer = Trainer(shared.value.copy(), end)
-            for _, docs in _groups(batches, LANES):
+            for _, docs in _batches(batches):
                 trainer.learn(docs)
             if trainer.tokens:
                 flat = trainer.m.flat().astype(np.float64) * trainer.tokens
@@ -441,6 +506,8 @@ def train(encoded: DataFrame, v: Vocabulary, rounds: tuple[int, ...] = ROUNDS) -
 
         schema = "block int, n long, part binary"
         rows = encoded.where("learnt").where((cell >= at) & (cell < at + share)).select("row_key", "ids")
+        # as many documents a task as in the largest round: with few, the longest one leaves most lanes empty
+        rows = rows.coalesce(max(1, parts * share // max(rounds)))
         blocks = rows.mapInArrow(learn, schema).repartition("block").mapInArrow(add, schema).collect()
         at += share
         if blocks:
@@ -473,7 +540,7 @@ def score_documents(
     end = v.ids[END]
 
     def run(batches: Batches) -> Batches:
-        for keys, ids in _groups(batches, 2 * LANES):
+        for keys, ids in _batches(batches):
             logs = score(shared.value, ids, end) / np.log(10)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(logs)], names=["row_key", "model"])
 

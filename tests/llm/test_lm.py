@@ -155,3 +155,45 @@ def test_nothing_to_learn_from_and_empty_table(spark, documents):
     assert [(r.n_known, r.train_tokens) for r in out.collect()] == [(0, 0), (0, 0)]
     out, _ = lm.score_documents(spark.createDataFrame([], "doc_id long, text string"))
     assert out.collect() == []
+
+
+def test_lanes_stay_filled_though_one_document_is_long():
+    """Documents follow one another in a lane, each from a state of zero; before, most windows held one document alone."""
+    rng = np.random.default_rng(17)
+    docs = [rng.integers(0, 9, n) for n in [700, *rng.integers(1, 60, 900)]]
+    windows = list(lm._windows(docs, 8, 32, 16))
+    total = sum(map(len, docs))
+    assert len(windows) <= total // (32 * 16) + 3
+    seen = [[] for _ in docs]
+    for inputs, targets, fresh, document, valid in windows:
+        for t, lane in zip(*np.nonzero(valid)):
+            d = seen[document[t, lane]]
+            assert fresh[t, lane] == (not d) and inputs[t, lane] == (d[-1] if d else 8)
+            d.append(targets[t, lane])
+    assert [list(map(int, d)) for d in docs] == [list(map(int, d)) for d in seen]
+
+
+def test_documents_in_one_lane_do_not_see_one_another(model):
+    v, m = model
+    rng = np.random.default_rng(18)
+    docs = [rng.integers(0, v.n_out + lm.TAILS, n) for n in (5, 90, 1, 33, 64)]
+    end = v.ids[lm.END]
+    alone = [lm.score(m, [d], end)[0] for d in docs]
+    flat = np.concatenate(docs)
+    first = np.isin(np.arange(len(flat)), np.cumsum([0, *map(len, docs[:-1])]))
+    states, _ = m.forward(np.where(first, end, np.roll(flat, 1))[:, None], np.zeros((1, 5), np.float32), first[:, None])
+    logs = m.output(states.reshape(-1, 5), flat)
+    assert np.allclose(np.add.reduceat(logs, np.flatnonzero(first)), alone, atol=1e-3)
+
+
+def test_gradients_stop_at_the_start_of_a_document(model):
+    v, m = model
+    rng = np.random.default_rng(19)
+    ids, targets = rng.integers(0, v.n_out + lm.TAILS, (6, 2)), rng.integers(0, v.n_out + lm.TAILS, 12)
+    fresh = np.zeros((6, 2), bool)
+    fresh[3, 0] = True
+    states, kept = m.forward(ids, np.zeros((2, 5), np.float32), fresh)
+    dstates = np.zeros_like(states)
+    dstates[3:] = 1
+    dinputs, _ = m.backward(kept, dstates)
+    assert not dinputs[:3, 0].any() and dinputs[:3, 1].any()
