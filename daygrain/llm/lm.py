@@ -22,16 +22,16 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections import Counter
 from dataclasses import dataclass
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.llm.common import Batches, as_bytes, crc_fold, staged, stretches, table
+from daygrain.llm.common import Batches, crc_fold, staged, stretches, table
 
 #: Words in the broadcast dictionary at most, and output words among them.
 DICTIONARY, OUTPUTS = 1 << 17, 4096
@@ -50,6 +50,16 @@ def tokens(text: bytes | None) -> list[bytes]:
     return [*(text or b"").lower().split(), END]
 
 
+def batch_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all ``tokens`` but the ends, and the row of each."""
+    # taken, that is, copied: the functions below misread a long slice that starts within its buffers
+    whole = pc.fill_null(texts.cast(pa.large_string()), "").take(pa.array(np.arange(len(texts))))
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(whole))
+    words = lists.flatten()
+    full = pc.greater(pc.binary_length(words), 0)
+    return words.filter(full), pc.list_parent_indices(lists).filter(full).to_numpy()
+
+
 def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % TAILS
 
@@ -58,20 +68,25 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c, tail) of all words and the end of ``docs`` (text)."""
 
     def count(batches: Batches) -> Batches:
-        seen: Counter = Counter()
+        held: list[pa.Table] = []
 
-        def out() -> pa.RecordBatch:
-            rows = [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())]
-            seen.clear()
-            return pa.RecordBatch.from_arrays(rows, names=["word", "n"])
+        def summed() -> pa.Table:
+            out = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            return out.select(["word", "n_sum"]).rename_columns(["word", "n"])
 
-        for batch in batches:
-            for text in as_bytes(batch.column("text")):
-                seen.update(tokens(text))
-                if len(seen) > COUNTED:
-                    yield out()
-        if seen:
-            yield out()
+        for rows in stretches(batches):
+            if not rows.num_rows:
+                continue
+            seen = batch_words(rows.column("text"))[0].value_counts()
+            words = pa.concat_arrays([seen.field("values").cast(pa.binary()), pa.array([END], pa.binary())])
+            n = pa.concat_arrays([seen.field("counts"), pa.array([rows.num_rows], pa.int64())])
+            held.append(pa.table({"word": words, "n": n}))
+            if sum(t.num_rows for t in held) > 2 * COUNTED:
+                held = [summed()]
+                if held[0].num_rows > COUNTED:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from summed().to_batches()
 
     counts = docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
     last = F.expr("substring(word, greatest(1, octet_length(word) - 1), 2)")
@@ -98,12 +113,17 @@ class Vocabulary:
 def vocabulary(counts: DataFrame, dictionary: int = DICTIONARY, outputs: int = OUTPUTS) -> Vocabulary:
     """The words whose count reaches the least power of 2^(1/8) that at most ``dictionary`` words reach."""
     level = F.floor(F.log2("c") * 8)
-    levels = counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
+    cells = counts.groupBy(level.alias("level"), "tail").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
+    levels: dict[int, int] = {}
+    tails = np.zeros((TAILS, 2))
+    for r in cells:
+        levels[r["level"]] = levels.get(r["level"], 0) + r["v"]
+        tails[r["tail"]] += r["c"], r["v"]
     held, least = 0, None
-    for r in levels:
-        if held + r["n"] > dictionary:
+    for at in sorted(levels, reverse=True):
+        if held + levels[at] > dictionary:
             break
-        held, least = held + r["n"], r["level"]
+        held, least = held + levels[at], at
     frequent = [] if least is None else counts.where(level >= F.lit(least)).select("word", "c").collect()
     known = sorted(((bytes(r["word"]), r["c"]) for r in frequent), key=lambda x: (-x[1], x[0]))
     top = [w for w, _ in known if w != END][: outputs - 1]
@@ -114,10 +134,6 @@ def vocabulary(counts: DataFrame, dictionary: int = DICTIONARY, outputs: int = O
     classes = np.minimum((mass - 1e-9) / mass[-1] * CLASSES, CLASSES - 1).astype(int)
     starts = np.concatenate([np.flatnonzero(np.diff(classes, prepend=-1)), [len(top)]])
     ids = {w: i for i, w in enumerate(top)}
-    tails = np.zeros((TAILS, 2))
-    totals = counts.groupBy("tail").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
-    for r in totals:
-        tails[r["tail"]] = r["c"], r["v"]
     total, distinct = int(tails[:, 0].sum()), int(tails[:, 1].sum())
     for w in top:
         if by_count[w]:
@@ -370,10 +386,11 @@ class Trainer:
             m = self.m
             h = h[: inputs.shape[1]]
             states, kept = m.forward(inputs, h, fresh)
-            flat = valid.ravel()
+            n = int(valid.sum())
+            flat = slice(None) if n == valid.size else valid.ravel()
             grads = {"ww": np.zeros_like(m.ww), "bw": np.zeros_like(m.bw)}
             m.output(states.reshape(-1, h.shape[1])[flat], targets.ravel()[flat], grads)
-            scale = np.float32(1 / max(256, flat.sum()))
+            scale = np.float32(1 / max(256, n))
             dstates = np.zeros_like(states).reshape(-1, h.shape[1])
             dstates[flat] = grads["states"] * scale
             dinputs, du = m.backward(kept, dstates.reshape(states.shape))
@@ -386,10 +403,12 @@ class Trainer:
             self._step(2, grads["wc"] * scale)
             self._step(3, grads["bc"] * scale)
             used = np.flatnonzero(grads["bw"])
+            if 4 * len(used) > len(m.bw):
+                used = slice(None)  # a row without a gradient stays as it is
             self._step(4, grads["ww"][used] * scale, used)
             self._step(5, grads["bw"][used] * scale, used)
             h = states[-1]
-            self.tokens += int(flat.sum())
+            self.tokens += n
 
 
 def score(model: Model, docs: list[np.ndarray], end: int, steps: int = 64) -> np.ndarray:
@@ -399,7 +418,7 @@ def score(model: Model, docs: list[np.ndarray], end: int, steps: int = 64) -> np
     for inputs, targets, fresh, document, valid in _windows(docs, end, steps, 2 * LANES):
         h = h[: inputs.shape[1]]
         states, _ = model.forward(inputs, h, fresh, back=False)
-        flat = valid.ravel()
+        flat = slice(None) if valid.all() else valid.ravel()
         logs = model.output(states.reshape(-1, h.shape[1])[flat], targets.ravel()[flat])
         out += np.bincount(document.ravel()[flat], logs, minlength=len(docs))
         h = states[-1]
@@ -440,30 +459,34 @@ def _encoded(docs: DataFrame, v: Vocabulary) -> DataFrame:
         for batch in stretches(batches):
             if not batch.num_rows:
                 continue
-            texts = [tokens(text) for text in as_bytes(batch.column("text"))]
-            ends = np.cumsum([len(words) for words in texts])
-            at = np.fromiter(map(place.get, chain.from_iterable(texts), repeat(-1)), np.int32, ends[-1])
-            sums, rare, n_rare, seen, starts = [], [], [], [], [0]
-            for words, end in zip(texts, ends.tolist()):
-                here = at[end - len(words) : end]
-                beyond = np.flatnonzero(here < 0)
-                seen.append(len(words) - len(beyond) - unseen_end)
-                if len(beyond):
-                    other = [words[i] for i in beyond.tolist()]
-                    here[beyond] = [len(place) + tail_class(w) for w in other]
-                    counts = Counter(other)
-                    rare += counts
-                    n_rare += counts.values()
-                starts.append(len(rare))
-                sums.append((logs[here].sum(), tails[here].sum()))
+            words, row = batch_words(batch.column("text"))
+            coded = words.dictionary_encode()
+            distinct = coded.dictionary.cast(pa.binary())
+            code = coded.indices.to_numpy()
+            as_list = distinct.to_numpy(zero_copy_only=False).tolist()
+            places = np.fromiter(map(place.get, as_list, repeat(-1)), np.int32, len(as_list))
+            unknown = places < 0
+            last = pc.binary_slice(distinct.filter(pa.array(unknown)), -2).dictionary_encode()
+            of_last = np.array([tail_class(x) for x in last.dictionary.to_pylist()], np.int32)
+            places[unknown] = len(place) + of_last[last.indices.to_numpy()]
+            counts = np.bincount(row, minlength=batch.num_rows)
+            ends = np.cumsum(counts + 1)
+            at = np.full(ends[-1], place[END], np.int32)
+            at[np.arange(len(row)) + row] = places[code]
+            beyond = unknown[code]
+            n_beyond = np.bincount(row[beyond], minlength=batch.num_rows)
+            pair, n_rare = np.unique(row[beyond].astype(np.int64) * len(as_list) + code[beyond], return_counts=True)
+            starts = np.searchsorted(pair, np.arange(batch.num_rows + 1) * len(as_list))
+            rare = distinct.take(pa.array(pair % max(1, len(as_list))))
+            cuts = np.split(at, ends[:-1])
             offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32) * ids_of.itemsize)
-            pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(n_rare, pa.int64())], ["word", "n"])
+            pairs = pa.StructArray.from_arrays([rare, pa.array(n_rare, pa.int64())], ["word", "n"])
             made = {
-                "ids": pa.Array.from_buffers(pa.binary(), len(texts), [None, offsets.buffers()[1], pa.py_buffer(ids_of[at])]),
-                "n_tokens": pa.array(np.diff(ends, prepend=0), pa.int64()),
-                "n_known": pa.array(seen, pa.int64()),
-                "base": pa.array([s[0] for s in sums], pa.float64()),
-                "tail": pa.array([s[1] for s in sums], pa.float64()),
+                "ids": pa.Array.from_buffers(pa.binary(), len(ends), [None, offsets.buffers()[1], pa.py_buffer(ids_of[at])]),
+                "n_tokens": pa.array(counts + 1, pa.int64()),
+                "n_known": pa.array(counts + 1 - n_beyond - unseen_end, pa.int64()),
+                "base": pa.array([logs[cut].sum() for cut in cuts], pa.float64()),
+                "tail": pa.array([tails[cut].sum() for cut in cuts], pa.float64()),
                 "rare": pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pairs),
             }
             yield pa.RecordBatch.from_arrays([*map(batch.column, kept), *made.values()], names=[*kept, *made])
@@ -541,7 +564,9 @@ def score_documents(
 
     def run(batches: Batches) -> Batches:
         for keys, ids in _batches(batches):
-            logs = score(shared.value, ids, end) / np.log(10)
+            places: dict[bytes, int] = {}  # equal documents of a batch are scored once
+            at = [places.setdefault(x.tobytes(), len(places)) for x in ids]
+            logs = score(shared.value, [np.frombuffer(x, np.uint16) for x in places], end)[at] / np.log(10)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(logs)], names=["row_key", "model"])
 
     scored = encoded.select("row_key", "ids").mapInArrow(run, "row_key long, model double")

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,3 +198,18 @@ def test_gradients_stop_at_the_start_of_a_document(model):
     dstates[3:] = 1
     dinputs, _ = m.backward(kept, dstates)
     assert not dinputs[:3, 0].any() and dinputs[:3, 1].any()
+
+
+def test_words_of_a_batch_are_those_of_its_texts():
+    """Also of a slice, with white space of all kinds, nulls, and characters that only Unicode takes for blanks."""
+    rng = random.Random(20)
+    odd = ["", None, "  A\tb\x0bC\x0c\r\n", "x\x1cy\x85z\u00a0\u2003\u00c9", " \n ", "\x00 \x1f"]
+    for texts in ([prose(rng, rng.randint(0, 300)) for _ in range(3000)], [rng.choice([*odd, prose(rng, 9)]) for _ in range(3000)]):
+        for part in (pa.array(texts, pa.string()), pa.array(texts, pa.string()).slice(1700, 1000)):
+            words, rows = lm.batch_words(part)
+            got = [[] for _ in part]
+            for word, row in zip(words.to_pylist(), rows.tolist()):
+                got[row].append(word.encode())
+            assert got == [lm.tokens(t and t.encode())[:-1] for t in part.to_pylist()]
+    words, rows = lm.batch_words(pa.array([], pa.string()))
+    assert (len(words), len(rows)) == (0, 0)
