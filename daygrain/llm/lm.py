@@ -335,7 +335,8 @@ class Model:
 def _windows(docs: list[np.ndarray], end: int, steps: int, lanes: int):
     """Documents end to end in lanes of like length, in windows of (inputs, targets, fresh, documents, valid).
 
-    Each word comes from the one before; ``fresh`` are the first words of documents.
+    Each word comes from the one before; ``fresh`` are the first words of documents. Lanes end together,
+    so that a long lane is alone at first and the last steps of training are over many documents.
     """
     lengths = [len(d) for d in docs]
     least = [(0, lane) for lane in range(min(lanes, len(docs)))]
@@ -356,10 +357,12 @@ def _windows(docs: list[np.ndarray], end: int, steps: int, lanes: int):
     first[starts] = True
     document = np.repeat(order.astype(np.int32), counts)
     lane_starts = np.cumsum(sizes) - sizes
+    late = sizes[0] - sizes
     for at in range(0, int(sizes[0]), steps):
-        n = int((sizes > at).sum())
-        step = np.arange(at, min(at + steps, int(sizes[0])))[:, None]
-        valid = step < sizes[:n]
+        upto = min(at + steps, int(sizes[0]))
+        n = int((late < upto).sum())
+        step = np.arange(at, upto)[:, None] - late[:n]
+        valid = step >= 0
         place = np.where(valid, lane_starts[:n] + step, 0)
         yield before[place], flat[place], first[place], document[place], valid
 
@@ -384,8 +387,8 @@ class Trainer:
         h = np.zeros((min(LANES, len(docs)), self.m.u.shape[0]), np.float32)
         for inputs, targets, fresh, _, valid in _windows(docs, self.end, self.steps, LANES):
             m = self.m
-            h = h[: inputs.shape[1]]
-            states, kept = m.forward(inputs, h, fresh)
+            lanes = inputs.shape[1]
+            states, kept = m.forward(inputs, h[:lanes], fresh)
             n = int(valid.sum())
             flat = slice(None) if n == valid.size else valid.ravel()
             grads = {"ww": np.zeros_like(m.ww), "bw": np.zeros_like(m.bw)}
@@ -407,7 +410,7 @@ class Trainer:
                 used = slice(None)  # a row without a gradient stays as it is
             self._step(4, grads["ww"][used] * scale, used)
             self._step(5, grads["bw"][used] * scale, used)
-            h = states[-1]
+            h[:lanes] = states[-1]
             self.tokens += n
 
 
@@ -416,12 +419,12 @@ def score(model: Model, docs: list[np.ndarray], end: int, steps: int = 64) -> np
     out = np.zeros(len(docs))
     h = np.zeros((min(2 * LANES, len(docs)), model.u.shape[0]), np.float32)
     for inputs, targets, fresh, document, valid in _windows(docs, end, steps, 2 * LANES):
-        h = h[: inputs.shape[1]]
-        states, _ = model.forward(inputs, h, fresh, back=False)
+        lanes = inputs.shape[1]
+        states, _ = model.forward(inputs, h[:lanes], fresh, back=False)
         flat = slice(None) if valid.all() else valid.ravel()
         logs = model.output(states.reshape(-1, h.shape[1])[flat], targets.ravel()[flat])
         out += np.bincount(document.ravel()[flat], logs, minlength=len(docs))
-        h = states[-1]
+        h[:lanes] = states[-1]
     return out
 
 

@@ -213,3 +213,10 @@ def test_words_of_a_batch_are_those_of_its_texts():
             assert got == [lm.tokens(t and t.encode())[:-1] for t in part.to_pylist()]
     words, rows = lm.batch_words(pa.array([], pa.string()))
     assert (len(words), len(rows)) == (0, 0)
+
+
+def test_the_last_windows_hold_many_documents():
+    """A model that ended on one long document alone would lean towards it."""
+    docs = [np.zeros(n, int) for n in (3000, *[20] * 200)]
+    counts = [valid.sum() for *_, valid in lm._windows(docs, 8, 32, 128)]
+    assert sum(counts) == 7000 and counts[0] == 32 and counts[-1] > 1000
